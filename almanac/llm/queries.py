@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, sharding, token_counts, vocab
+from . import chat, quality, sharding, token_counts, vocab
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +35,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_t(spark, sf_dir, "documents"), vocab.path("byte_bpe_50k.json"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_t(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_sharding, op8_chat, op9_token_counts)}
+    return {f.__name__: f for f in (op4_sharding, op8_chat, op9_token_counts, op10_quality_rules)}
 
 
 #: A conversation's digest from its rows; formatted_chars follows from the template's lengths.
