@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, quality, sharding, token_counts, vocab
+from . import chat, quality, sharding, substring, token_counts, vocab
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_t(spark, sf_dir, "documents"), N_SHARDS)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(_t(spark, sf_dir, "documents"))
+
+
 #: Conversation -1, whose texts hold the template's own control strings.
 PROBE_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -40,7 +44,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_sharding, op8_chat, op9_token_counts, op10_quality_rules)}
+    return {f.__name__: f for f in (op4_sharding, op6_substring_dedup, op8_chat, op9_token_counts, op10_quality_rules)}
 
 
 #: A conversation's digest from its rows; formatted_chars follows from the template's lengths.
@@ -69,5 +73,18 @@ FROM d
 """
 
 
+#: Every 13-word window with the smallest document that has it; covered words go.
+OP6_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM w, unnest(range(1, len(ws) - 11)) AS t(i)),
+f AS (SELECT k, min(doc_id) AS m FROM g GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM g JOIN f USING (k), range(13) AS r(j) WHERE m < doc_id),
+words AS (SELECT doc_id, p, ws[p] AS word FROM w, unnest(range(1, len(ws) + 1)) AS t(p)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS s FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat": OP8_SQL}
+    return {"op6_substring_dedup": OP6_SQL, "op8_chat": OP8_SQL}
