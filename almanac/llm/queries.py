@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, quality, sharding, substring, token_counts, vocab
+from . import chat, quality, sharding, simhash, substring, token_counts, vocab
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_t(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_t(spark, sf_dir, "documents"), N_SHARDS)
 
@@ -44,7 +50,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_sharding, op6_substring_dedup, op8_chat, op9_token_counts, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_simhash, op4_sharding, op6_substring_dedup, op8_chat, op9_token_counts, op10_quality_rules)}
 
 
 #: A conversation's digest from its rows; formatted_chars follows from the template's lengths.
