@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality, sharding, simhash, substring, token_counts, vocab
+from . import chat, packing, quality, sharding, simhash, substring, token_counts, vocab
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(_t(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_t(spark, sf_dir, "documents"), vocab.path("word_bpe_49k.json"))
+
+
 #: Conversation -1, whose texts hold the template's own control strings.
 PROBE_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -50,7 +54,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash, op4_sharding, op6_substring_dedup, op8_chat, op9_token_counts, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_simhash, op4_sharding, op6_substring_dedup, op7_packing, op8_chat, op9_token_counts, op10_quality_rules)}
 
 
 #: A conversation's digest from its rows; formatted_chars follows from the template's lengths.
