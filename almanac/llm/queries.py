@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality, sharding, simhash, substring, token_counts, vocab
+from . import chat, decontaminate, packing, quality, sharding, simhash, substring, token_counts, vocab
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_t(spark, sf_dir, "documents"), N_SHARDS)
 
@@ -54,7 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash, op4_sharding, op6_substring_dedup, op7_packing, op8_chat, op9_token_counts, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_simhash, op3_decontamination, op4_sharding, op6_substring_dedup, op7_packing, op8_chat, op9_token_counts, op10_quality_rules)}
 
 
 #: A conversation's digest from its rows; formatted_chars follows from the template's lengths.
@@ -83,6 +87,24 @@ FROM d
 """
 
 
+#: Document words inside any occurrence of a benchmark window (13 words, or a shorter item whole).
+OP3_SQL = r"""
+WITH b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+pat AS (SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[i:i + least(len(ws), 13) - 1], ' ') AS k
+        FROM b, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS t(i) WHERE len(ws) > 0),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, s.n, array_to_string(ws[i:i + s.n - 1], ' ') AS k
+      FROM d, (SELECT DISTINCT n FROM pat) AS s, unnest(range(1, len(ws) - s.n + 2)) AS t(i)),
+hit AS (SELECT doc_id, item_id, i, g.n FROM g JOIN pat ON g.k = pat.k AND g.n = pat.n),
+cov AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM hit, unnest(range(0, n)) AS r(j) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
 #: Every 13-word window with the smallest document that has it; covered words go.
 OP6_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -97,4 +119,4 @@ FROM w LEFT JOIN kept USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_substring_dedup": OP6_SQL, "op8_chat": OP8_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_substring_dedup": OP6_SQL, "op8_chat": OP8_SQL}
