@@ -10,7 +10,6 @@ sequences whose lengths are powers of two, so nothing is padded.
 
 from __future__ import annotations
 
-import array
 import functools
 import zlib
 from collections.abc import Iterator
@@ -27,37 +26,80 @@ from .sizes import buckets
 LENGTH, END_ID = 4096, 2
 DIMS, BITS = 3, 10
 #: Documents from which the partition bounds are read: so many a partition, and at most. They only even out partitions.
-SAMPLE_EACH, SAMPLE_MOST = 64, 100_000
+SAMPLE_EACH, SAMPLE_MOST = 24, 100_000
 PARTITION_BYTES = 8 << 20
-#: Words in each of two generations of the table of encoded words: when one is full it becomes the old one. About 200 bytes each.
-REMEMBERED = 400_000
+#: Distinct words whose ids a process remembers, about 40 bytes each; beyond, it starts anew.
+REMEMBERED = 3_000_000
+_CHECK = np.uint64(0xD6E8FEB86659FD93)
 
 
 class Encoder:
-    """Ids of texts as the library gives them, word by word: no token crosses white space, so words are encoded once and remembered."""
+    """Ids of texts as the library gives them, word by word: no token crosses white space, so each distinct word is encoded once.
+
+    Known words are a sorted array of 64-bit hashes (with a second hash as a check) beside their
+    ids in one pool, so a batch of texts is encoded by sorts, searches and gathers.
+    """
 
     def __init__(self, file: str):
-        self.tok, self.known, self.old = vocab.library(file), {}, {}
+        self.tok = vocab.library(file)
         size = self.tok.get_vocab_size()
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         directions = tx.mix(np.arange(1, size * DIMS + 1, dtype=np.uint64)).reshape(size, DIMS)
         self.directions = (directions / 2.0**63 - 1).astype(np.float32)
-
-    def encode(self, texts: list[str], end_id: int) -> list[bytes]:
-        parts = [t.split() for t in texts]
-        odd = {i for i, t in enumerate(texts) if any(c in t for c in "\x1c\x1d\x1e\x1f")}  # white space for Python alone
-        if len(self.known) > REMEMBERED:
-            self.known, self.old = {}, self.known
-        if new := set().union(*parts) - self.known.keys():
-            self.known |= {w: self.old[w] for w in new & self.old.keys()}
-            new = list(new - self.old.keys())
-            for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[w] = array.array(self.dtype.char, e.ids).tobytes()
-        get, end = self.known.__getitem__, np.array([end_id], self.dtype).tobytes()
-        out = [b"".join(map(get, p)) + end for p in parts]
-        for i in odd:
-            out[i] = np.array(self.tok.encode(texts[i], add_special_tokens=False).ids, self.dtype).tobytes() + end
-        return out
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hash = self.check = np.zeros(0, np.uint64)
+        self.at = self.n = np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
+
+    def _learn(self, words: list[bytes], h: np.ndarray, check: np.ndarray) -> None:
+        """Encode new words as one text, word by word apart through the tokens' offsets, and remember them."""
+        texts = [w.decode() for w in words]
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        got = self.tok.encode(" ".join(texts), add_special_tokens=False)
+        owner = np.searchsorted(begins, np.fromiter((o[0] for o in got.offsets), np.int64, len(got)), "right") - 1
+        if self.used + len(owner) > len(self.pool):
+            self.pool = np.concatenate((self.pool[: self.used], np.zeros(max(len(self.pool), len(owner)), self.dtype)))
+        self.pool[self.used : self.used + len(owner)] = got.ids
+        n = np.bincount(owner, minlength=len(words))
+        at = self.used + np.cumsum(n) - n
+        self.used += len(owner)
+        place = np.searchsorted(self.hash, h)
+        self.hash, self.check, self.at, self.n = (np.insert(x, place, y) for x, y in ((self.hash, h), (self.check, check), (self.at, at), (self.n, n)))
+
+    def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by the end id; where each text begins, one more entry than texts)."""
+        data, off = tx.raw(column)
+        begin, end, first = tx.words(data, off, tx.WS)
+        h = tx.word_hashes(data, begin, end)
+        order = np.argsort(h)
+        sorted_h = h[order]
+        new = np.concatenate(([True], sorted_h[1:] != sorted_h[:-1])) if len(h) else np.zeros(0, bool)
+        rep, uniq = order[new], sorted_h[new]
+        check = tx.word_hashes(data, begin[rep], end[rep], tx.mix(tx.BYTE ^ _CHECK))
+        if len(self.hash) > REMEMBERED:
+            self._clear()
+        place = np.minimum(np.searchsorted(self.hash, uniq), max(len(self.hash) - 1, 0))
+        known = (self.hash[place] == uniq) & (self.check[place] == check) if len(self.hash) else np.zeros(len(uniq), bool)
+        if not known.all():
+            if len(self.hash) and ((self.hash[place] == uniq) & ~known).any():  # two words of one hash: forget the other
+                self._clear()
+                known[:] = False
+            raw = data.tobytes()
+            self._learn([raw[s:e] for s, e in zip(begin[rep[~known]].tolist(), end[rep[~known]].tolist(), strict=True)], uniq[~known], check[~known])
+            place = np.searchsorted(self.hash, uniq)
+        word = np.empty(len(h), np.int64)
+        word[order] = place[np.cumsum(new) - 1]
+        # every text ends with one id more: a word of its own, kept at the end of the pool
+        if self.used == len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros(len(self.pool), self.dtype)))
+        self.pool[self.used] = end_id
+        n = np.insert(self.n[word], first[1:], 1)
+        at = np.insert(self.at[word], first[1:], self.used)
+        stop = np.cumsum(n)
+        ids = self.pool[np.arange(stop[-1] if len(stop) else 0) + np.repeat(at - (stop - n), n)]
+        return ids, np.concatenate(([0], stop))[first + np.arange(len(first))]
 
     def vectors(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Mean direction of each document's ids (documents begin at ``first`` and none is empty)."""
@@ -112,12 +154,12 @@ def encoded(docs: DataFrame, file: str, end_id: int = END_ID, bounds: np.ndarray
         for b in batches:
             column = tx.plain(b.column(1))
             for i, j in tx.pieces(column, 2 << 20):
-                blobs = enc.encode(column.slice(i, j - i).to_pylist(), end_id)
-                flat = np.frombuffer(b"".join(blobs), enc.dtype)
-                first = np.cumsum([0, *(len(x) for x in blobs)])[:-1] // enc.dtype.itemsize
-                key = curve_keys(enc.vectors(flat, first), b.column(2).slice(i, j - i).to_numpy(zero_copy_only=False))
+                ids, first = enc.encode(column.slice(i, j - i), end_id)
+                key = curve_keys(enc.vectors(ids, first[:-1]), b.column(2).slice(i, j - i).to_numpy(zero_copy_only=False))
+                size = enc.dtype.itemsize
+                blobs = pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((first * size).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
                 part = np.zeros(len(key), np.int32) if bounds is None else np.searchsorted(bounds, key, "right").astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(key), b.column(0).slice(i, j - i), pa.array(blobs, pa.binary())], ["part", "sort_key", "doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(key), b.column(0).slice(i, j - i), blobs], ["part", "sort_key", "doc_id", "ids"])
 
     return docs.mapInArrow(run, f"part int, sort_key long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
 

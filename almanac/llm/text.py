@@ -30,7 +30,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+#: A random value for each byte.
+BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 _BASE = 0x5851F42D4C957F2D
 _WORD_BASE = 0x2545F4914F6CDD1D
 
@@ -94,20 +95,32 @@ def words(data: np.ndarray, at: np.ndarray, sep: np.ndarray) -> tuple[np.ndarray
     return starts, ends, np.searchsorted(starts, at)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: a polynomial over random values of its bytes, mixed with its length."""
-    if not len(starts):
-        return np.zeros(0, U64)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE, at_once: int = 1 << 19) -> np.ndarray:
+    """A 64-bit hash of each word: a polynomial over random values of its bytes, mixed with its length.
+
+    Words are taken in slices of about ``at_once`` bytes, so the temporaries stay small and in cache.
+    """
     global _POW
+    n = len(starts)
+    out = np.empty(n, U64)
+    if not n:
+        return out
     length = ends - starts
     if (longest := int(length.max())) > len(_POW):
         _POW = _powers(_BASE, longest)
-    total = int(length.sum())
-    first = np.zeros(len(starts), np.int64)
-    np.cumsum(length[:-1], out=first[1:])
-    rel = np.arange(total) - np.repeat(first, length)
-    vals = _BYTE[data[rel + np.repeat(starts, length)]] * _POW[rel]
-    return mix(np.add.reduceat(vals, first) + length.astype(U64) * U64(0x9E3779B97F4A7C15))
+    stop = np.cumsum(length)
+    i = 0
+    while i < n:
+        base = int(stop[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(stop, base + at_once, "right")))
+        size = length[i:j]
+        first = stop[i:j] - size - base
+        rel = np.arange(int(stop[j - 1]) - base)
+        byte = data[rel + np.repeat(starts[i:j] - first, size)]
+        rel -= np.repeat(first, size)
+        out[i:j] = np.add.reduceat(values[byte] * _POW[rel], first)
+        i = j
+    return mix(out + length.astype(U64) * U64(0x9E3779B97F4A7C15))
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:
