@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, quality, sharding, simhash, substring, token_counts, vocab
+from . import chat, decontaminate, hmm, licenses, packing, quality, sharding, simhash, substring, token_counts, vocab
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents")
+    return hmm.score(docs, hmm.train_model(docs))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_t(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -31,6 +36,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_t(spark, sf_dir, "documents"), N_SHARDS)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_t(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(_t(spark, sf_dir, "documents"))
 
@@ -58,7 +67,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash, op3_decontamination, op4_sharding, op6_substring_dedup, op7_packing, op8_chat, op9_token_counts, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_hmm, op2_simhash, op3_decontamination, op4_sharding, op5_license_scan, op6_substring_dedup, op7_packing, op8_chat, op9_token_counts, op10_quality_rules)}
 
 
 #: A conversation's digest from its rows; formatted_chars follows from the template's lengths.
