@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept by ``checkpoint()`` in the folder of spark.checkpoint.dir; a folder of its own only where none is set."""
-    sc = df.sparkSession.sparkContext
+def folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder: the one of spark.checkpoint.dir; one of its own only where none is set."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept by ``checkpoint()`` in the shared folder."""
+    folder(df.sparkSession)
     return df.checkpoint()
