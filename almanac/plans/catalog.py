@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_rank  # noqa: F401
+from . import q_corpus, q_rank  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
