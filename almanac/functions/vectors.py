@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,9 +52,6 @@ def symmetric_kl(a: Column, b: Column) -> Column:
 
 def singular_values(matrix: Column, columns: int) -> Column:
     """Singular values of row-major matrices, in Arrow batches (same-shape matrices are stacked)."""
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("array<double>")
     def run(s: pd.Series) -> pd.Series:
         out = pd.Series([None] * len(s), index=s.index, dtype=object)
