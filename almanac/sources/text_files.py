@@ -53,7 +53,7 @@ def json_lines(content: Column, min_chars: int = 1) -> Column:
     by_line = long(F.transform(lines, lambda x: F.when(is_json(x), json_text(x)).otherwise(x)))
     whole = strip(content)
     items = F.coalesce(F.from_json(whole, "array<string>", {"mode": "PERMISSIVE"}), F.array(whole))
-    return F.when(F.startswith(whole, F.lit("[")), long(F.transform(items, json_text))).otherwise(by_line)
+    return F.when(F.startswith(whole, F.lit("[")), long(F.transform(items, lambda x: F.when(F.startswith(F.ltrim(x), F.lit("{")), json_text(x)).otherwise(strip(x))))).otherwise(by_line)
 
 
 def local_documents(spark: SparkSession, path: str, min_chars: int = 1) -> DataFrame:
