@@ -26,7 +26,7 @@ from .fmindex import FMIndex
 
 WINDOW = 13
 #: Bytes of benchmark text in one broadcast block, and of documents in one shard.
-BLOCK_BYTES, SHARD_BYTES = 16 << 20, 8 << 20
+BLOCK_BYTES, SHARD_BYTES = 16 << 20, 4 << 20
 
 
 @dataclass
@@ -137,6 +137,7 @@ def _search(docs: DataFrame, benchmark: DataFrame, schema: str, make: Callable,
                         continue
                     spans = [[int(x) for pair in zip(*tx.runs(hit[first[d] : first[d + 1]]), strict=True) for x in pair] for d in range(len(column))]
                     yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(spans, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], [*rows.schema.names, "_spans", "_items"])
+            tx.trim()
 
         docs = docs.mapInArrow(run, schema if last else before)
     return docs

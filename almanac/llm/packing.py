@@ -29,7 +29,7 @@ DIMS, BITS = 3, 10
 SAMPLE_EACH, SAMPLE_MOST = 24, 100_000
 PARTITION_BYTES = 8 << 20
 #: Distinct words whose ids a process remembers, about 40 bytes each; beyond, it starts anew.
-REMEMBERED = 3_000_000
+REMEMBERED = 1_500_000
 _CHECK = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -160,6 +160,7 @@ def encoded(docs: DataFrame, file: str, end_id: int = END_ID, bounds: np.ndarray
                 blobs = pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((first * size).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
                 part = np.zeros(len(key), np.int32) if bounds is None else np.searchsorted(bounds, key, "right").astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(key), b.column(0).slice(i, j - i), blobs], ["part", "sort_key", "doc_id", "ids"])
+        tx.trim()
 
     return docs.mapInArrow(run, f"part int, sort_key long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
 

@@ -70,6 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             column = tx.plain(b.column(1))
             for i, j in tx.pieces(column, 2 << 20):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(fingerprint_texts(column.slice(i, j - i)).view(np.int64))], ["doc_id", "fp"])
+        tx.trim()
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 

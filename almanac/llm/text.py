@@ -7,6 +7,7 @@ per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,23 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
 
+def trim() -> None:
+    """Give memory that a finished piece of work has freed back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _find_trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+_TRIM = _find_trim()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64: a bijection that spreads every bit."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
@@ -149,3 +167,17 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each run of true values."""
     edge = np.diff(np.concatenate(([0], flags.view(np.int8), [0])))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def xxh64_longs(x: np.ndarray, seed: int = 42) -> np.ndarray:
+    """XXH64 of 64-bit integers as Spark's xxhash64 gives it for a long column."""
+    p1, p2, p3, p4, p5 = (U64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def rotl(v: np.ndarray, r: int) -> np.ndarray:
+        return v << U64(r) | v >> U64(64 - r)
+
+    h = (p5 + U64(seed + 8)) ^ rotl(x.astype(np.int64).view(U64) * p2, 31) * p1
+    h = rotl(h, 27) * p1 + p4
+    h = (h ^ h >> U64(33)) * p2
+    h = (h ^ h >> U64(29)) * p3
+    return (h ^ h >> U64(32)).view(np.int64)
