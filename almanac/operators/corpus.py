@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import crawl_year, snapshot_year, uniform
 from ..functions.fixed import SKILLS
+from .order import numbered, running_total
 
 
 class CutoffError(ValueError):
@@ -99,8 +100,7 @@ def pick_source(rows: DataFrame, weights: DataFrame, key: Column, source: str =
 
 def turns(rows: DataFrame, source: str, order: str, docs_per_turn: int) -> DataFrame:
     """Rows numbered within their source, and the turn each falls into."""
-    n = F.row_number().over(Window.partitionBy(source).orderBy(order)) - 1
-    return rows.withColumn("pos", n).withColumn("turn", F.floor(F.col("pos") / docs_per_turn).cast("long"))
+    return numbered(rows, [source, order], [source]).withColumn("turn", F.floor(F.col("pos") / docs_per_turn).cast("long"))
 
 
 def mix(rows: DataFrame, weights: DataFrame, source: str, order: str) -> DataFrame:
@@ -109,9 +109,8 @@ def mix(rows: DataFrame, weights: DataFrame, source: str, order: str) -> DataFra
     Sources that run out leave the rest to the others, which is what renormalising among the
     living sources does; rows of sources without weight go.
     """
-    n = F.row_number().over(Window.partitionBy(source).orderBy(order))
-    joined = rows.join(F.broadcast(weights.where("weight > 0").select(F.col(source).alias("_s"), "weight")), F.col(source) == F.col("_s")).drop("_s")
-    return joined.withColumn("place", (n - 0.5) / F.col("weight")).drop("weight")
+    joined = numbered(rows, [source, order], [source], name="_k").join(F.broadcast(weights.where("weight > 0").select(F.col(source).alias("_s"), "weight")), F.col(source) == F.col("_s")).drop("_s")
+    return joined.withColumn("place", (F.col("_k") + 0.5) / F.col("weight")).drop("weight", "_k")
 
 
 def sequential(rows: DataFrame, names: list[str], source: str, order: str) -> DataFrame:
@@ -148,18 +147,9 @@ def skill_mix(rows: DataFrame, skill: Column, key: Column, fraction: float = 0.2
     return joined.withColumn("copies", 1 + extra).drop("_rate").withColumnRenamed("_skill", "skill")
 
 
-def token_offsets(docs: DataFrame, n_tokens: Column, order: str, group_rows: int = 4096) -> DataFrame:
-    """The running token offset of each document in the order of ``order``, without gathering all rows in one task.
-
-    Documents are range-partitioned by order; totals of the ranges (a row each) give every range its begin.
-    """
-    n_parts = max(1, docs.sparkSession.sparkContext.defaultParallelism)
-    dealt = docs.withColumn("_n", n_tokens).repartitionByRange(n_parts, order).withColumn("_part", F.spark_partition_id())
-    inner = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = dealt.withColumn("_end", F.sum("_n").over(inner))
-    totals = local.groupBy("_part").agg(F.sum("_n").alias("_t"), F.min(order).alias("_first"))
-    begins = totals.select("_part", F.coalesce(F.sum("_t").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    return local.join(F.broadcast(begins), "_part").withColumn("offset", F.col("_b") + F.col("_end") - F.col("_n")).drop("_part", "_end", "_b").withColumnRenamed("_n", "n_tokens")
+def token_offsets(docs: DataFrame, n_tokens: Column, order: str) -> DataFrame:
+    """``docs`` with their tokens and the running token offset in the order of ``order``."""
+    return running_total(docs.withColumn("n_tokens", n_tokens), F.col("n_tokens"), [order], name="offset")
 
 
 def pack_blocks(tokens: DataFrame, block: int, order: str = "doc_id", eos: int = 0) -> DataFrame:

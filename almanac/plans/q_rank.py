@@ -9,6 +9,7 @@ from ..functions import names
 from ..functions.core import strip
 from ..functions.fixed import DEFAULTS
 from ..operators import rank
+from ..operators.order import numbered
 from ..session import table
 from .registry import query
 from .views import view
@@ -141,13 +142,9 @@ def three_medians(spark, sf_dir):
 
 @query("SELECT event_id, uid, row_number() OVER (ORDER BY coalesce(snapshot_at, '9999'), event_id) AS place FROM submissions", ("submissions",))
 def submission_order(spark, sf_dir):
-    """Oldest first, a missing time last. The place is global, so the sort is one range sort and places come from per-range counts."""
+    """Oldest first, a missing time last, then the given position."""
     s = view(spark, sf_dir, "submissions").select("event_id", "uid", F.coalesce("snapshot_at", F.lit("9999")).alias("t"))
-    dealt = s.repartitionByRange("t", "event_id").withColumn("_p", F.spark_partition_id())
-    local = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("t", "event_id")))
-    counts = dealt.groupBy("_p").agg(F.count("*").alias("_n"), F.min(F.struct("t", "event_id")).alias("_f"))
-    begins = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    return local.join(F.broadcast(begins), "_p").select("event_id", "uid", (F.col("_b") + F.col("_r")).alias("place"))
+    return numbered(s, ["t", "event_id"]).select("event_id", "uid", (F.col("pos") + 1).alias("place"))
 
 
 @query("""SELECT event_id, regexp_extract(repo, '^(.*)@', 1) AS name, regexp_extract(repo, '@([^@]*)$', 1) AS revision, regexp_matches(repo, '^[^/@\\s]+/[^/@\\s]+@[0-9a-f]{40}$') AS valid FROM submissions""", ("submissions",))
