@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .fmindex import FMIndex
+from .sizes import fresh
 
 WINDOW = 13
 #: Bytes of benchmark text in one broadcast block, and of documents in one shard.
@@ -112,7 +113,8 @@ def _search(docs: DataFrame, benchmark: DataFrame, schema: str, make: Callable,
     """``make(batch, column, first, begin, end, hit, items of each document)`` over shards; the last column of docs is the text."""
     blocks = blocks_of(benchmark, item_col, bench_text, window, block_bytes)
     sc = docs.sparkSession.sparkContext
-    before = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _spans array<long>, _items array<string>"
+    spans_name, items_name = fresh(docs, "_spans"), fresh(docs, "_items")
+    before = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {spans_name} array<long>, {items_name} array<string>"
     for k, block in enumerate(blocks):
         last, seen, shared = k == len(blocks) - 1, k > 0, sc.broadcast(block)
 
@@ -136,7 +138,7 @@ def _search(docs: DataFrame, benchmark: DataFrame, schema: str, make: Callable,
                         yield make(rows, column, first, begin, end, hit, items)
                         continue
                     spans = [[int(x) for pair in zip(*tx.runs(hit[first[d] : first[d + 1]]), strict=True) for x in pair] for d in range(len(column))]
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(spans, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], [*rows.schema.names, "_spans", "_items"])
+                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(spans, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], [*rows.schema.names, spans_name, items_name])
             tx.trim()
 
         docs = docs.mapInArrow(run, schema if last else before)

@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sizes import fresh
+
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: A line is frequent in a host if more distinct documents hold it than both this many and this share of the host's documents.
@@ -129,18 +131,18 @@ def clean(docs: DataFrame, left_share: float = LEFT_SHARE, **limits) -> DataFram
     """The kept rows of ``docs`` with all their columns; frequent lines are cut from the text (and n_chars follows, where it exists)."""
     cols = {k: v for k, v in limits.items() if k in ("id_col", "text_col", "host_col")}
     id_col, text_col = cols.get("id_col", "doc_id"), cols.get("text_col", "text")
-    verdict = features(docs, **cols).where(~F.col("base_failed")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "n_words").dropDuplicates(["_id", "_key"])
-    removed = removed_lines(docs, **limits).withColumnsRenamed({"doc_id": "_rid", "text_key": "_rkey"})
-    both = verdict.join(removed, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_key") == F.col("_rkey")), "left")
-    kept = both.where(F.col("n_words") - F.coalesce("n_removed_words", F.lit(0)) >= left_share * F.col("n_words")).select("_id", "_key", F.col("positions").alias("_cut"))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    out = docs.withColumn("_tkey", F.xxhash64(text)).join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_tkey") == F.col("_key")))
+    of_id, of_key, cut_at, own_key = (fresh(docs, x) for x in ("_id", "_key", "_cut", "_own"))
+    verdict = features(docs, **cols).where(~F.col("base_failed")).select(F.col("doc_id").alias(of_id), F.col("text_key").alias(of_key), "n_words").dropDuplicates([of_id, of_key])
+    removed = removed_lines(docs, **limits)
+    both = verdict.join(removed, F.col(of_id).eqNullSafe(F.col("doc_id")) & (F.col(of_key) == F.col("text_key")), "left")
+    kept = both.where(F.col("n_words") - F.coalesce("n_removed_words", F.lit(0)) >= left_share * F.col("n_words")).select(of_id, of_key, F.col("positions").alias(cut_at))
+    text, cut = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(cut_at)
+    out = docs.withColumn(own_key, F.xxhash64(text)).join(kept, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(own_key) == F.col(of_key)))
 
     def without(lines: Column) -> Column:
-        ends = F.concat(F.col("_cut"), F.array(F.size(lines)))
+        ends = F.concat(cut, F.array(F.size(lines)))
         spans = F.transform(ends, lambda p, k: F.slice(lines, F.coalesce(F.get(ends, k - 1) + 2, F.lit(1)), p - F.coalesce(F.get(ends, k - 1) + 1, F.lit(0))))
         return F.array_join(F.flatten(spans), "\n")
 
-    cut = F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(let(F.split(text, "\n"), without))
-    out = out.withColumn(text_col, cut).select(*docs.columns)
+    out = out.withColumn(text_col, F.when(cut.isNull(), F.col(text_col)).otherwise(let(F.split(text, "\n"), without))).select(*docs.columns)
     return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -15,3 +15,11 @@ def buckets(df: DataFrame, bytes_each: int) -> int:
     if size > 1 << 55:  # an estimate through joins has no meaning any more
         size = df.count() * 4096
     return max(MIN_BUCKETS, math.ceil(size / bytes_each))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

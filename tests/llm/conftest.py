@@ -1,12 +1,18 @@
 import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, note string"
+#: Names that the operators use themselves.
+CLASHES = ["_cut", "_id", "_key", "_own", "_spans", "_items", "_sid", "h", "fp", "pos", "host", "part", "tie", "bucket", "shard", "slot", "begin", "sketch", "text_key", "component_id", "n_words", "kept", "ids", "key", "o", "turns"]
 
 
 def rows_of(spark, sf):
     return [(r.doc_id, r.text, r.lang, r.source, r.n_chars, "x") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
 
 
+def clashing(df):
+    return df.selectExpr("*", *(f"'clash' AS {c}" for c in CLASHES))
+
+
 @pytest.fixture(scope="session")
 def odd(spark, sf):
     """Documents of the smallest tables plus nulls, empty and very long texts, repeats, ties and a clashing extra column."""
@@ -23,9 +29,9 @@ def odd(spark, sf):
 
 @pytest.fixture(scope="session")
 def docs(spark, odd):
-    return spark.createDataFrame(odd, SCHEMA).repartition(3)
+    return clashing(spark.createDataFrame(odd, SCHEMA).repartition(3))
 
 
 @pytest.fixture(scope="session")
 def no_docs(spark):
-    return spark.createDataFrame([], SCHEMA)
+    return clashing(spark.createDataFrame([], SCHEMA))
