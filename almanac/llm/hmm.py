@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import text as tx
 from .sizes import buckets
 
-STATES, CLASSES, SUFFIX = 6, 8192, 4
+STATES, CLASSES, SUFFIX = 12, 8192, 4
 #: Rounds over all documents; rounds and words of the pilot; strength of the prior in emissions and transitions.
 ROUNDS, PILOT_ROUNDS, PILOT_WORDS = 2, 25, 300_000
 PRIOR_E, PRIOR_A = 20.0, 0.5
