@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_corpus, q_duplicates, q_rank, q_stream, q_text  # noqa: F401
+from . import q_corpus, q_duplicates, q_more, q_rank, q_stream, q_text  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
