@@ -26,7 +26,8 @@ def with_range(rows: DataFrame, order: list[str], n_ranges: int | None = None) -
     if not bounds:
         return rows.withColumn("_range", F.lit(0))
     literal = F.array(*(F.struct(*(F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(order, b, strict=True))) for b in bounds))
-    return rows.withColumn("_range", F.size(F.filter(literal, lambda b: b <= key)))
+    # exploded, because the optimizer may otherwise put the expression in a filter on the side of the totals
+    return rows.select("*", F.explode(F.array(F.size(F.filter(literal, lambda b: b <= key)))).alias("_range"))
 
 
 def running_total(rows: DataFrame, value: Column, order: list[str], by: list[str] | None = None, n_ranges: int | None = None, name: str = "before") -> DataFrame:
@@ -34,9 +35,10 @@ def running_total(rows: DataFrame, value: Column, order: list[str], by: list[str
     by = by or []
     dealt = with_range(rows.withColumn("_v", value), order, n_ranges)
     inner = Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = Window.partitionBy(*(by or [F.lit(1)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = dealt.groupBy(*by, "_range").agg(F.sum("_v").alias("_t"))
-    begins = totals.select(*(F.col(c).alias(f"_by_{c}") for c in by), F.col("_range").alias("_r"), F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_b"))
+    keys = [f"_by_{c}" for c in by]
+    ahead = Window.partitionBy(*(keys or [F.lit(1)])).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*(F.col(c).alias(k) for c, k in zip(by, keys, strict=True)), F.col("_range").alias("_r")).agg(F.sum("_v").alias("_t"))
+    begins = totals.select(*keys, "_r", F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_b"))
     on = F.col("_range") == F.col("_r")
     for c in by:
         on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
