@@ -29,20 +29,25 @@ def capped(events: DataFrame, cap: int = 12, key: str = "user_id", ts: str = "ts
     return events.withColumn("attempt", n).where(F.col("attempt") <= cap)
 
 
+#: Days of counts that a key keeps behind its latest day; what comes later still counts from 1 again.
+KEPT_DAYS = 31
+
+
 def capped_stream(events: DataFrame, cap: int = 12) -> DataFrame:
-    """The same over a stream of (event_id, ts, user_id): a counter per key and day in the state store; rejects are marked, as a client sees them."""
-    rows = events.select("event_id", "ts", "user_id", F.to_date("ts").alias("day"))
+    """The same over a stream of (event_id, ts, user_id): counts by day for each key in the state store; rejects are marked, as a client sees them."""
+    rows = events.select("event_id", "ts", "user_id", F.unix_date(F.to_date("ts")).alias("day"))
 
     def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n = state.get[0] if state.exists else 0
+        counts = dict(zip(*state.get, strict=True)) if state.exists else {}
         for b in batches:
             b = b.sort_values(["ts", "event_id"])
-            attempt = range(n + 1, n + len(b) + 1)
-            n += len(b)
-            yield pd.DataFrame({"event_id": b["event_id"], "user_id": b["user_id"], "attempt": attempt, "accepted": [a <= cap for a in attempt]})
-        state.update((n,))
+            attempt = b.groupby("day").cumcount() + 1 + b["day"].map(counts).fillna(0).astype("int64")
+            counts |= attempt.groupby(b["day"]).max().to_dict()
+            yield pd.DataFrame({"event_id": b["event_id"], "user_id": b["user_id"], "attempt": attempt, "accepted": attempt <= cap})
+        days = sorted(d for d in counts if d >= max(counts) - KEPT_DAYS)
+        state.update(([int(d) for d in days], [int(counts[d]) for d in days]))
 
-    return rows.groupBy("user_id", "day").applyInPandasWithState(count, "event_id long, user_id long, attempt long, accepted boolean", "n long", "append", GroupStateTimeout.NoTimeout)
+    return rows.groupBy("user_id").applyInPandasWithState(count, "event_id long, user_id long, attempt long, accepted boolean", "days array<int>, counts array<long>", "append", GroupStateTimeout.NoTimeout)
 
 
 def stable_spans(samples: DataFrame, key: str, value: str, ts: str, at_least_seconds: float) -> DataFrame:
