@@ -19,3 +19,9 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept by ``checkpoint()`` in the shared folder."""
     folder(df.sparkSession)
     return df.checkpoint()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reaches."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
