@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from ..functions import dates
 from ..operators import bpe, corpus
-from ..session import table
+from ..session import spread, table
 from ..sources import text_files
 from .registry import query
 from .views import view
@@ -194,6 +194,6 @@ def skill_upsampling(spark, sf_dir):
 @query()
 def bpe_encode(spark, sf_dir):
     """Merges from distributed pair counts of a bounded sample, then every document encoded."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     merges = bpe.train(bpe.word_counts(d, "doc_id"), 12)
     return bpe.encode(d.select("doc_id", "text"), merges).select("doc_id", F.size("ids").alias("n_tokens"), F.octet_length("text").alias("n_bytes"))

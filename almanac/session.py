@@ -25,3 +25,9 @@ def build(app: str = "almanac", master: str | None = None, **conf: str) -> Spark
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; the path may be local or any URI that Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` dealt over all cores where they come from fewer files than that; larger tables stay as they are, without a shuffle."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, *keys) if len(rows.inputFiles()) < cores else rows
