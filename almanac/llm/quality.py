@@ -1,10 +1,9 @@
 """Quality rules with cross-document line frequency, in DataFrame functions only.
 
 Lines are normalised and hashed; for every (host, line) the distinct documents that hold it
-are counted. Copies are not distinct documents: those that share the least of their line
-hashes count once. A line above the host's limit is removed from all of its documents but the
-one with the smallest id, so nothing is lost from the corpus; a document of which too little
-is left is rejected.
+are counted. Copies are not distinct documents: rows of a host with equal texts count once. A
+line above the host's limit is removed from all of its documents but the one with the smallest
+id, so nothing is lost from the corpus; a document of which too little is left is rejected.
 """
 
 from __future__ import annotations
@@ -79,7 +78,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Lines with a word: (doc_id, host, text_key, pos, line hash h, words, sketch: least hash of the document)."""
+    """Lines with a word: (doc_id, host, text_key, pos, line hash h, words)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
     def line(x: Column, i: Column) -> Column:
@@ -89,13 +88,13 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     hashed = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.xxhash64(text).alias("text_key"),
         F.filter(F.transform(F.split(text, "\n"), line), lambda s: s["h"].isNotNull()).alias("lines"),
-    ).withColumn("sketch", F.array_min(F.transform("lines", lambda s: s["h"])))
-    return hashed.select("doc_id", "host", "text_key", "sketch", F.inline("lines"))
+    )
+    return hashed.select("doc_id", "host", "text_key", F.inline("lines"))
 
 
 def frequent_lines(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, host_col: str = "source", **cols: str) -> DataFrame:
     """(host, h, first_id) of lines above their host's limit. Both counts are summed before and after the shuffle."""
-    held = lines_of(docs, host_col=host_col, **cols).groupBy("host", "h", "sketch").agg(F.min("doc_id").alias("first_id"))
+    held = lines_of(docs, host_col=host_col, **cols).groupBy("host", "h", "text_key").agg(F.min("doc_id").alias("first_id"))
     counted = held.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("first_id").alias("first_id")).where(F.col("n") > line_docs)
     hosts = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host")).groupBy("host").agg(F.count("*").alias("host_docs"))
     return counted.join(hosts, "host").where(F.col("n") > line_share * F.col("host_docs")).select("host", "h", "first_id")

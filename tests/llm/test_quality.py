@@ -1,5 +1,7 @@
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+import xxhash
 
 from almanac.llm import quality
 
@@ -72,3 +74,13 @@ def test_repeated_rows_do_not_change_verdicts(spark):
     once = {tuple(r) for r in quality.judge(rows).collect()}
     twice = quality.judge(rows.unionAll(rows)).collect()
     assert {tuple(r) for r in twice} == once and len(twice) == 2 * rows.count()
+
+
+def test_lines_of_least_hash_are_counted(spark):
+    lines = [f"shared line {k} of the host" for k in range(12)]
+    least = lines[min(range(12), key=lambda k: xxhash.xxh64_intdigest(lines[k].encode(), seed=42) + 2**63 & 2**64 - 1)]
+    rows = [(i, f"{least}\n" + " ".join(f"own{i}x{j}" for j in range(25)), "h") for i in range(30)]
+    rows += [(100 + i, "\n".join([*lines, f"end of {i}"]), "g") for i in range(30)]
+    rows += [(200 + i, f"{least}\n" + " ".join(f"one{j}" for j in range(25)), "c") for i in range(30)]
+    found = quality.frequent_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert Counter((r.host, r.first_id) for r in found) == {("h", 0): 1, ("g", 100): 12}
