@@ -2,7 +2,7 @@
 
 Lines are normalised and hashed; for every (host, line) the distinct documents that hold it
 are counted. Copies are not distinct documents: rows of a host with equal texts count once. A
-line above the host's limit is removed from all of its documents but the one with the smallest
+line above the limit is removed from all of its documents but the one with the smallest
 id, so nothing is lost from the corpus; a document of which too little is left is rejected.
 """
 
@@ -17,7 +17,8 @@ from .sizes import fresh
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-#: A line is frequent in a host if more distinct documents hold it than both this many and this share of the host's documents.
+#: A line is frequent in a host if more distinct documents hold it than this many, however large the host.
+#: LINE_SHARE is no part of the default rule; a caller can ask for a share of the host's distinct documents besides.
 LINE_DOCS, LINE_SHARE = 20, 0.03
 #: A document is depleted if fewer than this share of its words are left.
 LEFT_SHARE = 0.3
@@ -92,12 +93,18 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     return hashed.select("doc_id", "host", "text_key", F.inline("lines"))
 
 
-def frequent_lines(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, host_col: str = "source", **cols: str) -> DataFrame:
-    """(host, h, first_id) of lines above their host's limit. Both counts are summed before and after the shuffle."""
+def frequent_lines(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float | None = None, host_col: str = "source", **cols: str) -> DataFrame:
+    """(host, h, first_id) of lines above the limit. Counts are summed before and after the shuffle.
+
+    With ``line_share`` a line must also be in more than this share of its host's distinct documents.
+    """
     held = lines_of(docs, host_col=host_col, **cols).groupBy("host", "h", "text_key").agg(F.min("doc_id").alias("first_id"))
     counted = held.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("first_id").alias("first_id")).where(F.col("n") > line_docs)
-    hosts = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host")).groupBy("host").agg(F.count("*").alias("host_docs"))
-    return counted.join(hosts, "host").where(F.col("n") > line_share * F.col("host_docs")).select("host", "h", "first_id")
+    if line_share is not None:
+        text = F.coalesce(F.col(cols.get("text_col", "text")).cast("string"), F.lit(""))
+        texts = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.xxhash64(text).alias("text_key")).distinct()
+        counted = counted.join(texts.groupBy("host").agg(F.count("*").alias("host_docs")), "host").where(F.col("n") > line_share * F.col("host_docs"))
+    return counted.select("host", "h", "first_id")
 
 
 def removed_lines(docs: DataFrame, **limits) -> DataFrame:

@@ -84,3 +84,13 @@ def test_lines_of_least_hash_are_counted(spark):
     rows += [(200 + i, f"{least}\n" + " ".join(f"one{j}" for j in range(25)), "c") for i in range(30)]
     found = quality.frequent_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert Counter((r.host, r.first_id) for r in found) == {("h", 0): 1, ("g", 100): 12}
+
+
+def test_verdict_does_not_hinge_on_the_host(spark):
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(25))
+    rows = [(n * 10_000 + i, f"subscribe to our news\n{own(i)}", h) for n, h in enumerate("abc") for i in range(60)]
+    rows += [(11_000 + i, own(999), "b") for i in range(3000)]
+    rows += [(21_000 + i, f"text {i}", "c") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {(r.host, r.first_id) for r in quality.frequent_lines(docs).collect()} == {("a", 0), ("b", 10_000), ("c", 20_000)}
+    assert {r.host for r in quality.frequent_lines(docs, line_share=0.03).collect()} == {"a", "b"}  # copies are in neither side of a share
