@@ -10,6 +10,8 @@ pairs are verified by exact shingle containment.
 A window and a template can only agree in a band if the shingle with the template's least
 hash is in the window. So only windows around such shingles are built; this leaves out no
 pair that any band would retrieve.
+
+Notices of fewer than SHINGLE words are one shingle of their own length and are compared exactly.
 """
 
 from __future__ import annotations
@@ -41,6 +43,14 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 ]
 
+#: Notices of fewer than SHINGLE words, by name.
+NOTICES = [
+    ("all-rights-reserved", "All rights reserved"),
+    ("isc-spdx", "SPDX-License-Identifier: ISC"),
+    ("mit-spdx", "SPDX-License-Identifier: MIT"),
+    ("unlicense-spdx", "SPDX-License-Identifier: Unlicense"),
+]
+
 
 def miss_bound(contained: float = CONTAINED, bands: int = BANDS) -> float:
     """The most likely it gets that no band retrieves a window that holds this share of a template."""
@@ -67,6 +77,36 @@ def _table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     return spark.range(1).select(F.inline(rows)).withColumn("set", F.array_distinct(shingles_of(words_of(F.col("template")))))
 
 
+def short_notices(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``scan`` for notices of fewer than SHINGLE words, each found wherever its words follow one another.
+
+    As for a template of one shingle, windows have two and begin at every word. A notice without
+    words, or of SHINGLE or more, is refused.
+    """
+    spark = docs.sparkSession
+    if not notices:
+        return spark.createDataFrame([], "doc_id {}, license_id string, containment double, first_word long, n_windows long".format(docs.schema[id_col].dataType.simpleString()))
+    rows = F.array(*(F.struct(F.lit(n).alias("license_id"), F.lit(t).alias("notice")) for n, t in notices))
+    known = {r.license_id: r.words for r in spark.range(1).select(F.inline(rows)).select("license_id", words_of(F.col("notice")).alias("words")).collect()}
+    if wrong := [n for n, w in known.items() if not 0 < len(w) < SHINGLE]:
+        raise ValueError(f"notices without words or of {SHINGLE} words or more: {wrong}")
+
+    def places(words: Column, name: str, notice: list[str]) -> Column:
+        own = F.array(*map(F.lit, notice))
+        at = F.filter(F.transform(words, lambda w, i: F.when((w == notice[0]) & (F.slice(words, i + 1, len(notice)) == own), i)), lambda i: i.isNotNull())
+        return F.struct(F.lit(name).alias("license_id"), at.alias("at"))
+
+    text = F.col(text_col).cast("string")
+    may = F.lit(False)
+    for notice in known.values():
+        may = may | F.lower(text).contains(max(notice, key=len))
+    some = docs.where(may).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), words_of(text).alias("words"))
+    found = some.select("doc_id", "text_key", F.inline(let(F.col("words"), lambda w: F.array(*(places(w, n, x) for n, x in known.items()))))).where(F.size("at") > 0)
+    begins = F.array_distinct(F.flatten(F.transform("at", lambda p: F.array(p, F.greatest(p - 1, F.lit(0))))))
+    out = found.select("doc_id", "text_key", "license_id", F.lit(1.0).alias("containment"), F.get("at", 0).cast("long").alias("first_word"), F.size(begins).cast("long").alias("n_windows"))
+    return out.dropDuplicates(["doc_id", "text_key", "license_id"]).drop("text_key")
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, contained: float = CONTAINED, bands: int = BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, license_id, containment, first_word, n_windows): every template of which a window of the text holds the share.
 

@@ -37,7 +37,8 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_t(spark, sf_dir, "documents"))
+    docs = _t(spark, sf_dir, "documents")
+    return licenses.scan(docs).unionByName(licenses.short_notices(docs))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from almanac.llm import licenses
+from almanac.llm import licenses, queries
 
 
 def words(t):
@@ -62,3 +62,19 @@ def test_edges(spark, no_docs):
     assert licenses.scan(rows, []).count() == 0
     with pytest.raises(ValueError):
         licenses.scan(rows, [("short", "all rights reserved")])
+
+
+def test_short_notices(spark, sf, docs, odd):
+    notice = [("n", "all rights reserved")]
+    own = ["all", "rights", "reserved"]
+    at = {r[0]: [i for i in range(len(w)) if w[i : i + 3] == own] for r in odd for w in [words(r[1])]}
+    want = {(d, "n", 1.0, p[0]) for d, p in at.items() if p}
+    assert got(licenses.short_notices(docs, notice)) == want and want
+    rows = spark.createDataFrame([(None, "ALL rights\nReserved."), (1, None), (1, ""), (2, "all rights are reserved"), (3, "x all rights reserved y all rights reserved"), (3, "x all rights reserved y all rights reserved"), (4, "x all rights")], "doc_id long, text string")
+    assert {tuple(r) for r in licenses.short_notices(rows, notice).collect()} == {(None, "n", 1.0, 0, 1), (3, "n", 1.0, 1, 4)}
+    assert licenses.short_notices(rows, notice).count() == 2 and licenses.short_notices(rows, []).count() == 0
+    with pytest.raises(ValueError):
+        licenses.short_notices(rows, [("long", "Released under the MIT License")])
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    planted = {r.doc_id for r in table.collect() if "All rights reserved." in (r.text or "")}
+    assert {r.doc_id for r in queries.op5_license_scan(spark, sf).collect() if r.license_id == "all-rights-reserved"} == planted and planted
