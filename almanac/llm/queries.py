@@ -128,5 +128,29 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 
+#: Base figures from words and lines; a line is frequent if over 20 distinct texts of its host hold it. Kept: at least 30 % of the words are in other lines.
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, host, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS k FROM w, unnest(range(1, len(ws) - 6)) AS t(i)),
+twice AS (SELECT doc_id, k FROM g GROUP BY doc_id, k HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM g JOIN twice USING (doc_id, k), range(8) AS r(j) GROUP BY doc_id),
+raw AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
+lines AS (SELECT doc_id, host, text, line, lower(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' ')) AS norm, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+          FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),
+often AS (SELECT host, norm FROM lines GROUP BY host, norm HAVING count(DISTINCT text) > 20),
+gone AS (SELECT doc_id, sum(n) AS n FROM lines JOIN often USING (host, norm) GROUP BY doc_id),
+f AS (
+    SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words
+    FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_words - n_removed_words >= CAST(0.3 AS DOUBLE) * n_words AS kept
+FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op6_substring_dedup": OP6_SQL, "op8_chat": OP8_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_substring_dedup": OP6_SQL, "op8_chat": OP8_SQL, "op10_quality_rules": OP10_SQL}
