@@ -6,6 +6,10 @@ dimensions is one table look-up. The Hilbert key of the quantised vector orders
 that neighbours are alike; they are range-partitioned and sorted by it, and each partition is
 cut into sequences of the full length. What is left at the end of a partition is cut into
 sequences whose lengths are powers of two, so nothing is padded.
+
+Texts are encoded once and kept by a checkpoint. Ranges come from exact token counts: those
+of all cells of the curve give each cell its share of partitions, and a cell of many tokens,
+such as a great group of equal documents, is cut evenly by a hash within it.
 """
 
 from __future__ import annotations
@@ -18,16 +22,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import text as tx
 from . import vocab
+from .shared import cut
 from .sizes import buckets
 
 LENGTH, END_ID = 4096, 2
 DIMS, BITS = 3, 10
-#: Documents from which the partition bounds are read: so many a partition, and at most. They only even out partitions.
-SAMPLE_EACH, SAMPLE_MOST = 24, 100_000
-PARTITION_BYTES = 8 << 20
+#: Bits of a document's tie, which spreads equal documents, and of the cells whose tokens are counted: at most 2 ** CELL_BITS rows.
+TIE_BITS, CELL_BITS = 33, 18
+#: Stored bytes of documents in one partition.
+PARTITION_BYTES = 32 << 20
 #: Distinct words whose ids a process remembers, about 40 bytes each; beyond, it starts anew.
 REMEMBERED = 1_500_000
 _CHECK = np.uint64(0xD6E8FEB86659FD93)
@@ -143,11 +150,11 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 def curve_keys(vectors: np.ndarray, tie: np.ndarray) -> np.ndarray:
     """Sort keys: the Hilbert position above 33 bits of the tie, so that equal documents spread over a range too."""
     cells = np.clip(((np.tanh(4 * vectors) + 1) * (1 << (BITS - 1))).astype(np.int64), 0, (1 << BITS) - 1)
-    return (hilbert(cells) << 33) | (tie.view(np.uint64) >> np.uint64(31)).astype(np.int64)
+    return (hilbert(cells) << TIE_BITS) | (tie.view(np.uint64) >> np.uint64(64 - TIE_BITS)).astype(np.int64)
 
 
-def encoded(docs: DataFrame, file: str, end_id: int = END_ID, bounds: np.ndarray | None = None) -> DataFrame:
-    """(part, sort_key, doc_id, ids) of rows (doc_id, text, tie)."""
+def encoded(docs: DataFrame, file: str, end_id: int = END_ID) -> DataFrame:
+    """(sort_key, doc_id, n_tokens, ids) of rows (doc_id, text, tie)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(file)
@@ -158,11 +165,25 @@ def encoded(docs: DataFrame, file: str, end_id: int = END_ID, bounds: np.ndarray
                 key = curve_keys(enc.vectors(ids, first[:-1]), b.column(2).slice(i, j - i).to_numpy(zero_copy_only=False))
                 size = enc.dtype.itemsize
                 blobs = pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((first * size).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
-                part = np.zeros(len(key), np.int32) if bounds is None else np.searchsorted(bounds, key, "right").astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(key), b.column(0).slice(i, j - i), blobs], ["part", "sort_key", "doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), b.column(0).slice(i, j - i), pa.array(np.diff(first)), blobs], ["sort_key", "doc_id", "n_tokens", "ids"])
         tx.trim()
 
-    return docs.mapInArrow(run, f"part int, sort_key long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return docs.mapInArrow(run, f"sort_key long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary")
+
+
+def dealt(rows: DataFrame, n_parts: int) -> DataFrame:
+    """``rows`` (sort_key, n_tokens, ...) with ``part``: ranges of the curve's cells with about equal tokens, whatever the skew.
+
+    A cell's rows are spread by their ties over the parts that its tokens fill. The table of
+    cells has at most 2 ** CELL_BITS small rows, so it is broadcast.
+    """
+    cell = F.shiftrightunsigned("sort_key", 63 - CELL_BITS)
+    counts = rows.groupBy(cell.alias("cell")).agg(F.sum("n_tokens").cast("double").alias("here"))
+    ahead = Window.partitionBy(F.lit(1)).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = counts.select("cell", "here", F.coalesce(F.sum("here").over(ahead), F.lit(0.0)).alias("ahead"), F.sum("here").over(Window.partitionBy(F.lit(1))).alias("all"))
+    tie = F.col("sort_key").bitwiseAND(F.lit((1 << TIE_BITS) - 1)) / float(1 << TIE_BITS)
+    part = F.floor((F.col("ahead") + tie * F.col("here")) / F.col("all") * n_parts)
+    return rows.withColumn("cell", cell).join(F.broadcast(cells), "cell").withColumn("part", F.least(part, F.lit(n_parts - 1)).cast("int")).drop("cell", "here", "ahead", "all")
 
 
 class Packer:
@@ -212,16 +233,12 @@ def pack(docs: DataFrame, file: str, length: int = LENGTH, end_id: int = END_ID,
     """Pieces of all rows: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
     A null text is empty and still has its end id. Null ids and repeated rows are packed like any
-    other row. An empty table gives no rows; other columns are dropped.
+    other row; ties in the order are broken by the id. A very long text is cut over many
+    sequences. An empty table gives no rows; other columns are dropped.
     """
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), F.xxhash64(docs[id_col].cast("string"), F.xxhash64(docs[text_col].cast("string"))).alias("tie"))
     n_parts = buckets(docs, PARTITION_BYTES)
-    want = min(SAMPLE_EACH * n_parts, SAMPLE_MOST)
-    share = max(1, docs.count() // want)
-    sample = rows.where(F.pmod(F.xxhash64("tie", F.lit("sample")), F.lit(share)) == 0)
-    keys = np.sort(encoded(sample, file, end_id).select("sort_key").limit(4 * want).toPandas()["sort_key"].to_numpy(np.int64))
-    bounds = keys[(np.arange(1, n_parts) * len(keys)) // n_parts] if len(keys) else np.zeros(0, np.int64)
-    dealt = encoded(rows, file, end_id, bounds).repartitionById(n_parts, F.col("part")).sortWithinPartitions("part", "sort_key", "doc_id")
+    placed = dealt(cut(encoded(rows, file, end_id)), n_parts).select("part", "sort_key", "doc_id", "ids").repartitionById(n_parts, F.col("part")).sortWithinPartitions("part", "sort_key", "doc_id")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,4 +269,4 @@ def pack(docs: DataFrame, file: str, length: int = LENGTH, end_id: int = END_ID,
             if packer.rows:
                 yield out(packer.rows, kind)
 
-    return dealt.mapInArrow(run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return placed.mapInArrow(run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -82,3 +82,14 @@ def test_empty_and_nulls(spark, no_docs):
     assert packing.pack(no_docs, FILE).count() == 0
     out = packing.pack(spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string"), FILE).collect()
     assert sorted((r.doc_id or 0, r.length, r.ids_crc32) for r in out) == [(0, 1, crc([2])), (1, 1, crc([2]))]
+
+
+def test_ranges_are_even_whatever_the_skew(spark):
+    F = packing.F
+    tie = F.pmod(F.xxhash64("id"), F.lit(1 << packing.TIE_BITS))
+    curve = F.when(F.col("id") % 3 == 0, 5).otherwise(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 30)))  # a third of the rows are equal
+    rows = spark.range(30_000).select(F.shiftleft(curve.cast("long"), packing.TIE_BITS).bitwiseOR(tie).alias("sort_key"), (1 + F.col("id") % 50).cast("long").alias("n_tokens"))
+    got = packing.dealt(rows, 20).groupBy("part").agg(F.sum("n_tokens").alias("n"), F.min(F.shiftrightunsigned("sort_key", 63 - packing.CELL_BITS)).alias("lo"), F.max(F.shiftrightunsigned("sort_key", 63 - packing.CELL_BITS)).alias("hi")).orderBy("part").collect()
+    mean = sum(r.n for r in got) / 20
+    assert [r.part for r in got] == list(range(20)) and all(0.8 * mean < r.n < 1.2 * mean for r in got)
+    assert all(a.hi <= b.lo for a, b in zip(got, got[1:]))
