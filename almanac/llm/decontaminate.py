@@ -1,18 +1,18 @@
 """Benchmark decontamination with one FM-index per shard of training text.
 
-A shard is a few megabytes of documents. Its words become the numbers they have in the
-benchmark's vocabulary (all other words are one separator, and runs of it one symbol), an
-FM-index over them is searched backwards for every benchmark window at once, occurrences are
-located through sampled suffix positions, and the found spans are merged.
+A shard is a few megabytes of documents. Its words become numbers, an FM-index over them is
+built once and searched backwards for the windows of every block of the benchmark at once,
+occurrences are located through sampled suffix positions, and the found spans are merged.
 
-The benchmark reaches the executors as a broadcast of bounded size; a larger one is taken in
-blocks, each searched over all documents in turn, with the spans found so far kept in the row.
+A block is a bounded number of benchmark windows. Blocks are built by a job, one group of
+items each; the driver passes them on one by one, and a task has one in memory at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -23,16 +23,16 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .fmindex import FMIndex
-from .sizes import fresh
 
 WINDOW = 13
-#: Bytes of benchmark text in one broadcast block, and of documents in one shard.
-BLOCK_BYTES, SHARD_BYTES = 16 << 20, 4 << 20
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Benchmark windows in one block (about 150 bytes each in memory), and bytes of documents in one shard.
+BLOCK_WINDOWS, SHARD_BYTES = 50_000, 4 << 20
 
 
 @dataclass
 class Phrases:
-    """Windows of a block of benchmark items: vocabulary hashes (sorted), distinct windows as symbols, and the items of each."""
+    """Windows of a block of benchmark items: distinct words (hashes, sorted), distinct windows as places in them, and the items of each."""
 
     words: np.ndarray
     patterns: np.ndarray
@@ -46,111 +46,127 @@ def phrases(ids: list[str], texts: pa.Array, window: int = WINDOW) -> Phrases:
     data, at = tx.raw(texts)
     data = tx.lower(data)
     starts, ends, first = tx.words(data, at, tx.PUNCT)
-    words, symbol = np.unique(tx.word_hashes(data, starts, ends), return_inverse=True)
+    words, place = np.unique(tx.word_hashes(data, starts, ends), return_inverse=True)
+    place = place.astype(np.int32)
     names = sorted(set(ids))
     number = {x: k for k, x in enumerate(names)}
     found: dict[bytes, set[int]] = {}
     for k, name in enumerate(ids):
-        s = symbol[first[k] : first[k + 1]].astype(np.int64) + 2  # 1 is the separator
+        s = place[first[k] : first[k + 1]]
         for i in range(len(s) - window + 1 if len(s) >= window else len(s) > 0):
             found.setdefault(s[i : i + window].tobytes(), set()).add(number[name])
-    patterns, lengths = np.zeros((len(found), window), np.int64), np.zeros(len(found), np.int64)
+    patterns, lengths = np.zeros((len(found), window), np.int32), np.zeros(len(found), np.int64)
     for r, b in enumerate(found):
-        s = np.frombuffer(b, np.int64)
+        s = np.frombuffer(b, np.int32)
         patterns[r, window - len(s) :], lengths[r] = s, len(s)
     counts = [len(x) for x in found.values()]
     return Phrases(words, patterns, lengths, np.concatenate(([0], np.cumsum(counts))).astype(np.int64), np.array([i for x in found.values() for i in sorted(x)], np.int64), names)
 
 
-def shard_hits(column: pa.Array, ph: Phrases, sample: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first word of each text, begin and end of each word, hit words, documents and items that meet)."""
-    data, at = tx.raw(column)
-    low = tx.lower(data)
-    begin, end, first = tx.words(low, at, tx.PUNCT)
-    n, none = len(begin), np.zeros(0, np.int64)
-    if not n or not len(ph.lengths):
-        return first, begin, end, np.zeros(n, bool), none, none
-    h = tx.word_hashes(low, begin, end)
-    k = np.minimum(np.searchsorted(ph.words, h), len(ph.words) - 1)
-    seq = np.where(ph.words[k] == h, k + 2, 1)
-    seq, word = np.insert(seq, first[:-1], 1), np.insert(np.arange(n), first[:-1], -1)
-    keep = seq != 1
-    keep[1:] |= seq[:-1] != 1
-    keep[0] = True
-    seq, word = seq[keep], word[keep]
-    index = FMIndex(seq, sample)
-    lo, hi = index.search(ph.patterns, ph.lengths)
-    found = np.flatnonzero(lo < hi)
-    size = (hi - lo)[found]
-    pattern = np.repeat(found, size)
-    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - lo[found], size)
-    where = word[index.locate(place)]
-    mark = np.zeros(n + 1, np.int64)
-    np.add.at(mark, where, 1)
-    np.add.at(mark, where + ph.lengths[pattern], -1)
-    doc = np.searchsorted(first, where, "right") - 1
-    pair = np.unique(doc * len(ph.lengths) + pattern)
-    doc, pattern = pair // len(ph.lengths), pair % len(ph.lengths)
-    n_items = (ph.items_at[1:] - ph.items_at[:-1])[pattern]
-    item = ph.items[np.arange(n_items.sum()) - np.repeat(np.cumsum(n_items) - n_items - ph.items_at[pattern], n_items)]
-    met = np.unique(np.repeat(doc, n_items) * len(ph.names) + item)
-    return first, begin, end, np.cumsum(mark)[:-1] > 0, met // len(ph.names), met % len(ph.names)
-
-
-def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list[Phrases]:
-    """The benchmark in blocks of bounded size."""
+class Shard:
+    """The words of some documents and the FM-index over them.
+
+    ``known`` (sorted hashes), if given, are the only words that are searched for: all others are one
+    separator, and a run of it one symbol.
+    """
+
+    def __init__(self, column: pa.Array, known: np.ndarray | None = None, sample: int = 16):
+        data, at = tx.raw(column)
+        low = tx.lower(data)
+        self.begin, self.end, self.first = tx.words(low, at, tx.PUNCT)
+        n = len(self.begin)
+        self.hit = np.zeros(n, bool)
+        h = tx.word_hashes(low, self.begin, self.end)
+        if known is None:
+            self.words, number = np.unique(h, return_inverse=True)
+            seq = number + 2
+        else:
+            self.words = known
+            k = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
+            seq = np.where(known[k] == h, k + 2, 1) if len(known) else np.ones(n, np.int64)
+        # 1 stands before every text and for words that no window has
+        seq, self.word = np.insert(seq, self.first[:-1], 1), np.insert(np.arange(n), self.first[:-1], -1)
+        keep = seq != 1
+        keep[1:] |= seq[:-1] != 1
+        keep[:1] = True
+        self.word = self.word[keep]
+        self.index = FMIndex(seq[keep], sample) if n else None
+
+    def search(self, ph: Phrases) -> tuple[np.ndarray, np.ndarray]:
+        """Mark the words that windows of ``ph`` cover; (documents, items) that meet."""
+        none = np.zeros(0, np.int64)
+        if self.index is None or not len(ph.lengths) or not len(self.words):
+            return none, none
+        k = np.minimum(np.searchsorted(self.words, ph.words), len(self.words) - 1)
+        symbol = np.where(self.words[k] == ph.words, k + 2, 0)
+        width = ph.patterns.shape[1]
+        pad = np.arange(width) < width - ph.lengths[:, None]
+        may = np.flatnonzero(((symbol[ph.patterns] > 0) | pad).all(1))  # windows whose words all occur here
+        lo, hi = self.index.search(symbol[ph.patterns[may]], ph.lengths[may])
+        found = np.flatnonzero(lo < hi)
+        size = (hi - lo)[found]
+        pattern = np.repeat(may[found], size)
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - lo[found], size)
+        where = self.word[self.index.locate(place)]
+        mark = np.zeros(len(self.hit) + 1, np.int64)
+        np.add.at(mark, where, 1)
+        np.add.at(mark, where + ph.lengths[pattern], -1)
+        self.hit |= np.cumsum(mark)[:-1] > 0
+        doc = np.searchsorted(self.first, where, "right") - 1
+        pair = np.unique(doc * len(ph.lengths) + pattern)
+        doc, pattern = pair // len(ph.lengths), pair % len(ph.lengths)
+        n_items = (ph.items_at[1:] - ph.items_at[:-1])[pattern]
+        item = ph.items[np.arange(n_items.sum()) - np.repeat(np.cumsum(n_items) - n_items - ph.items_at[pattern], n_items)]
+        met = np.unique(np.repeat(doc, n_items) * len(ph.names) + item)
+        return met // len(ph.names), met % len(ph.names)
+
+
+def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_windows: int) -> Iterator[Phrases]:
+    """The benchmark in blocks of about ``block_windows`` windows (an item is never split), one after another."""
     rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    n = max(1, math.ceil(size / block_bytes))
-    found = []
-    for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).distinct().toPandas().sort_values(["id", "text"])
-        found.append(phrases(part["id"].tolist(), pa.array(part["text"].tolist(), pa.large_string()), window))
-    return found
+    n = max(1, math.ceil((rows.agg(F.sum(F.size(F.split("text", SEPARATORS)))).first()[0] or 0) / block_windows))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int"))
+
+    def build(t: pa.Table) -> pa.Table:
+        t = t.group_by(["id", "text"]).aggregate([]).sort_by([("id", "ascending"), ("text", "ascending")])  # repeated items count once
+        made = phrases(t.column("id").to_pylist(), tx.plain(t.column("text")), window)
+        return pa.table({"phrases": pa.array([pickle.dumps(made, 5)], pa.binary())})
 
+    for row in dealt.groupBy("block").applyInArrow(build, "phrases binary").toLocalIterator():
+        yield pickle.loads(row.phrases)
 
-def _search(docs: DataFrame, benchmark: DataFrame, schema: str, make: Callable, item_col: str = "item_id", bench_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+
+def _search(docs: DataFrame, benchmark: DataFrame, schema: str, make: Callable, item_col: str = "item_id", bench_text: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``make(batch, column, first, begin, end, hit, items of each document)`` over shards; the last column of docs is the text."""
-    blocks = blocks_of(benchmark, item_col, bench_text, window, block_bytes)
     sc = docs.sparkSession.sparkContext
-    spans_name, items_name = fresh(docs, "_spans"), fresh(docs, "_items")
-    before = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {spans_name} array<long>, {items_name} array<string>"
-    for k, block in enumerate(blocks):
-        last, seen, shared = k == len(blocks) - 1, k > 0, sc.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], last=last, seen=seen, shared=shared) -> Iterator[pa.RecordBatch]:
-            ph = shared.value
-            for b in batches:
-                width = b.num_columns - 2 * seen
-                for i, j in tx.pieces(b.column(width - 1), SHARD_BYTES):
-                    part = b.slice(i, j - i)
-                    column = tx.plain(part.column(width - 1))
-                    first, begin, end, hit, doc, item = shard_hits(column, ph)
-                    items: list[set[str]] = [set(x) for x in part.column(width + 1).to_pylist()] if seen else [set() for _ in range(len(column))]
-                    for d, x in zip(doc.tolist(), item.tolist(), strict=True):
+    blocks = [sc.broadcast(block) for block in blocks_of(benchmark, item_col, bench_text, window, block_windows)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j in tx.pieces(b.column(b.num_columns - 1), SHARD_BYTES):
+                part = b.slice(i, j - i)
+                column = tx.plain(part.column(b.num_columns - 1))
+                shard = Shard(column, blocks[0].value.words if len(blocks) == 1 else None)
+                items: list[set[str]] = [set() for _ in range(len(column))]
+                for block in blocks:
+                    ph = block.value
+                    for d, x in zip(*(y.tolist() for y in shard.search(ph)), strict=True):
                         items[d].add(ph.names[x])
-                    if seen:
-                        for d, spans in enumerate(part.column(width).to_pylist()):
-                            for s, e in zip(spans[::2], spans[1::2], strict=True):
-                                hit[first[d] + s : first[d] + e] = True
-                    rows = pa.RecordBatch.from_arrays(part.columns[:width], part.schema.names[:width])
-                    if last:
-                        yield make(rows, column, first, begin, end, hit, items)
-                        continue
-                    spans = [[int(x) for pair in zip(*tx.runs(hit[first[d] : first[d + 1]]), strict=True) for x in pair] for d in range(len(column))]
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(spans, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], [*rows.schema.names, spans_name, items_name])
-            tx.trim()
-
-        docs = docs.mapInArrow(run, schema if last else before)
-    return docs
+                    if len(blocks) > 1:
+                        block.__dict__.pop("_value", None)  # read again from the executor's disk for the next shard
+                yield make(part, column, shard.first, shard.begin, shard.end, shard.hit, items)
+        tx.trim()
+
+    return docs.mapInArrow(run, schema)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opts) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row.
 
     A null text has no words; a benchmark item without words has no window and a null item id
-    is the empty string. Repeated items count once. Repeated rows and null ids stay. An empty
-    table gives no rows, an empty benchmark no hits; other columns are dropped.
+    is the empty string. Repeated items count once. Repeated rows and null ids stay. A very long
+    text is a shard of its own. An empty table gives no rows, an empty benchmark no hits; other
+    columns are dropped.
     """
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
@@ -163,7 +179,12 @@ def digest(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opts) -> DataFrame:
-    """``docs`` without contaminated rows; from the others the hit spans are cut (n_chars follows, where it exists)."""
+    """``docs`` without contaminated rows; from the others the hit spans are cut (n_chars follows, where it exists).
+
+    Null and empty texts have no words and stay, as do null ids and repeated rows, each judged on
+    its own text. A very long text is a shard of its own. An empty table gives none, an empty
+    benchmark leaves all; other columns stay as they are, whatever their names.
+    """
     cols = docs.columns
     other = [c for c in cols if c != text_col]
     rows = docs.select(*other, text_col)

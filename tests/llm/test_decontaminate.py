@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from almanac.llm import decontaminate, fmindex
@@ -36,14 +37,16 @@ def bench_rows(spark, sf):
     return [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
 
 
-@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 3000])
-def test_matches_brute_force(spark, sf, docs, odd, block_bytes):
+@pytest.mark.parametrize("block_windows", [decontaminate.BLOCK_WINDOWS, 300])
+def test_matches_brute_force(spark, sf, docs, odd, block_windows):
     b = bench_rows(spark, sf)
     b += [(900, "the of"), (901, "Of, THE!"), (902, None), (903, " .. "), (None, b[0][1]), (904, b[1][1]), (905, "a b c d e f g h i j k l m n"), b[2]]
     bench = spark.createDataFrame(b, "item_id long, text string")
-    got = sorted((tuple(r) for r in decontaminate.digest(docs, bench, block_bytes=block_bytes).collect()), key=str)
+    got = sorted((tuple(r) for r in decontaminate.digest(docs, bench, block_windows=block_windows).collect()), key=str)
     want = brute([(r[0], r[1]) for r in odd], b)
     assert got == want
+    n = len(list(decontaminate.blocks_of(bench, "item_id", "text", 13, block_windows)))
+    assert n == 1 if block_windows == decontaminate.BLOCK_WINDOWS else n > 3
     assert sum(r[2] > 13 for r in want) > 3 and any(r[5] for r in want) and not all(r[5] for r in want)
 
 
@@ -77,3 +80,14 @@ def test_index_against_plain_search():
         for p, a, b in zip(pats, lo, hi, strict=True):
             want = [i for i in range(n - len(p) + 1) if (seq[i : i + len(p)] == p).all()]
             assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+def test_a_shard_gives_the_same_with_all_words_and_with_the_searched_ones():
+    texts = pa.array(["a b c d e", "x y z", "", "e d c b a b c"], pa.large_string())
+    ph = decontaminate.phrases(["i", "j", "k"], pa.array(["b c", "y", "q r"], pa.large_string()), 2)
+    got = []
+    for known in (None, ph.words):
+        shard = decontaminate.Shard(texts, known)
+        met = shard.search(ph)
+        got.append((shard.hit.tolist(), [x.tolist() for x in met]))
+    assert got[0] == got[1] and got[0][1] == [[0, 1, 3], [0, 1, 0]] and sum(got[0][0]) == 5
