@@ -9,7 +9,8 @@ pairs are verified by exact shingle containment.
 
 A window and a template can only agree in a band if the shingle with the template's least
 hash is in the window. So only windows around such shingles are built; this leaves out no
-pair that any band would retrieve.
+pair that any band would retrieve. The gate is one literal, a table of bytes that a shingle's
+low bits address; shingles that share a cell with a gated one only build a window too many.
 
 Notices of fewer than SHINGLE words are one shingle of their own length and are compared exactly.
 """
@@ -24,9 +25,11 @@ from .quality import let
 SHINGLE, CONTAINED, BANDS = 5, 0.8, 32
 #: Templates up to which their band table is broadcast (BANDS rows of about 50 bytes each).
 BROADCAST_TEMPLATES = 10_000
+#: The gate has this many cells for each of its shingles, and at most GATE_MOST (bytes) in all.
+GATE_CELLS, GATE_MOST = 64, 4 << 20
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: Notices and grants of public licenses, by name.
+#: Notices, grants and (-text) whole texts of public licenses, by name.
 TEMPLATES = [
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("apache-2.0-header", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
@@ -41,6 +44,30 @@ TEMPLATES = [
     ("mit-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("0bsd-text", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("bsd-2-clause-text", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("bsl-1.0-text", """Boost Software License - Version 1.0 - August 17th, 2003
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("isc-text", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("mit-text", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("unlicense-text", """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("zlib-text", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""),
 ]
 
 #: Notices of fewer than SHINGLE words, by name.
@@ -111,7 +138,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containe
     """(doc_id, license_id, containment, first_word, n_windows): every template of which a window of the text holds the share.
 
     A null or short text matches nothing; a null id stays null. Rows that repeat an id and text
-    are one document. An empty table or list of templates gives no rows; other columns are
+    are one document. Of windows that tie the first gives first_word. A very long text is one row
+    of work, and only its windows around gated shingles are built. An empty table or list of templates gives no rows; other columns are
     dropped. Templates of fewer than SHINGLE words are refused.
     """
     spark = docs.sparkSession
@@ -125,11 +153,20 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containe
         raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
     size_of = {r.license_id: 1 << (r.n - 1).bit_length() for r in known}
     sizes = sorted(set(size_of.values()))
-    gate = sorted({x for r in known for x in r.least})
+    least_of_all = {x for r in known for x in r.least}
+    cells = min(GATE_MOST, 1 << (GATE_CELLS * len(least_of_all)).bit_length())
+    table_of = bytearray(cells)
+    for x in least_of_all:
+        table_of[x & (cells - 1)] = 1
+    gate = F.lit(bytes(table_of))
+
+    def gated(h: Column) -> Column:
+        return F.substring(gate, h.bitwiseAND(F.lit(cells - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+
 
     text = F.col(text_col).cast("string")
     hashed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), words_of(text).alias("words")).withColumn("sh", shingles_of(F.col("words")))
-    at = let(F.col("sh"), lambda sh: F.filter(F.transform(sh, lambda h, i: F.when(h.isin(gate), i)), lambda i: i.isNotNull()))
+    at = let(F.col("sh"), lambda sh: F.filter(F.transform(sh, lambda h, i: F.when(gated(h), i)), lambda i: i.isNotNull()))
     held = hashed.withColumn("at", at).where(F.size("at") > 0)
 
     def begins(size: int) -> Column:

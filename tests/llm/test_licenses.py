@@ -47,8 +47,9 @@ def test_whole_and_changed_templates(spark):
         if len(w) > 35:
             k += 1
             rows.append((k, "some words " + " ".join([*w[:20], "changed", *w[21:]])))
-        k += 1
-        rows.append((k, " ".join(w[: len(w) // 2])))
+        for cut in (0.5, 0.8, 0.85, 0.9, 0.95):  # around the share
+            k += 1
+            rows.append((k, "lead in " + " ".join(w[: int(len(w) * cut)]) + " and then something else"))
     want = brute(rows)
     found = got(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))
     assert found <= want and len(want - found) <= 0.01 * len(want)
