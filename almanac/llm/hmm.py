@@ -10,13 +10,17 @@ class's training tokens and its class's distinct training words:
 so every class keeps one share for the words that training never saw. A text's last token is
 its end, a class of its own.
 
-Training: Baum-Welch over all training documents. Each partition sums the expected counts of
-its documents; the sums meet in blocks of classes and only the bounded tables reach the
-driver. The start values come from some rounds over a bounded pilot of training words
-(``PILOT_WORDS``); they only choose where the rounds over all documents begin.
-
-Scoring: documents are dealt into buckets; a bucket asks for its distinct words' counts, once
-each, and is scored with the replies by the scaled forward recursion.
+Training: Baum-Welch over all training documents, round after round until a round gains less
+than ``GAIN`` per token, ``MOST_ROUNDS`` at most. Their class sequences are kept by a checkpoint. Each partition
+sums the expected counts of its documents; the sums meet in a tree of blocks of classes and only the bounded
+tables reach the driver. The first round starts from a model that was fitted on a bounded pilot
+(``PILOT_WORDS``); it only chooses where the rounds over all documents begin.
+
+Word counts: all training words are counted in parts by a hash of the word; the classes' totals
+are summed from them and broadcast (they are bounded). Scoring: documents are dealt into
+buckets; a bucket asks each part for its distinct words' counts, once each, and is scored with
+the replies by the scaled forward recursion. Empty asks aren't sent, so there are never more
+rows than pairs of a bucket and a distinct word in it.
 """
 
 from __future__ import annotations
@@ -27,23 +31,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .shared import cut
 from .sizes import buckets
 
 STATES, CLASSES, SUFFIX = 12, 8192, 4
-#: Rounds over all documents; rounds and words of the pilot; strength of the prior in emissions and transitions.
-ROUNDS, PILOT_ROUNDS, PILOT_WORDS = 2, 25, 300_000
+#: Rounds over all documents at most, and the gain in log likelihood per token under which they end.
+MOST_ROUNDS, GAIN = 5, 0.002
+#: Rounds and words of the pilot (whole texts until there are so many words).
+PILOT_ROUNDS, PILOT_WORDS = 25, 300_000
+#: Strength of the prior in emissions and transitions.
 PRIOR_E, PRIOR_A = 20.0, 0.5
 BUCKET_BYTES = 8 << 20
+#: Stored bytes of documents for which one part of the word counts is made.
+PART_BYTES = 32 << 20
 #: Tokens whose state probabilities are held at once.
 TOKENS_AT_ONCE = 1_000_000
-#: Classes whose expected counts are summed in one task.
-CLASS_BLOCK = 1024
+#: Classes whose expected counts are summed in one task, and partitions' sums that meet in one.
+CLASS_BLOCK, FAN_IN = 1024, 256
 _END_HASH = np.uint64(0x9E3779B97F4A7C15)
-_ZSTD = pa.Codec("zstd", compression_level=1)
 
 
 @dataclass
@@ -179,10 +189,23 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(_key(id_col)) % 7 == 2
 
 
+def sequences(train: DataFrame, n_classes: int) -> DataFrame:
+    """(first, cls): the class sequences of rows (text), some megabytes of documents in each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            column = tx.plain(b.column(0))
+            for i, j in tx.pieces(column, 8 << 20):
+                at, cls, _ = tokens(column.slice(i, j - i), n_classes, False)
+                yield pa.RecordBatch.from_arrays([pa.array([at.tobytes()], pa.binary()), pa.array([cls.astype(np.uint16).tobytes()], pa.binary())], ["first", "cls"])
+
+    return cut(train.select("text").mapInArrow(run, "first binary, cls binary"))
+
+
 def _start_model(train: DataFrame, states: int, n_classes: int) -> Model:
     n = train.count()
     share = max(1, n // 4000)
-    some = train.select("text", F.xxhash64("key", "text").alias("o")).where(F.pmod(F.xxhash64("key", F.lit("pilot")), F.lit(share)) == 0)
+    some = train.select("text", F.xxhash64("key", "text", F.monotonically_increasing_id()).alias("o")).where(F.pmod(F.xxhash64("o", F.lit("pilot")), F.lit(share)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, first, got = [], [0], 0
@@ -190,8 +213,8 @@ def _start_model(train: DataFrame, states: int, n_classes: int) -> Model:
             at, cls, _ = tokens(tx.plain(b.column(0)), n_classes, False)
             for s, e in zip(at, at[1:], strict=False):
                 if got < PILOT_WORDS:
-                    parts.append(cls[s : min(e, s + PILOT_WORDS)])
-                    got += len(parts[-1])
+                    parts.append(cls[s:e])
+                    got += e - s
                     first.append(got)
         first = np.array(first)
         m = pilot(np.concatenate(parts) if parts else np.zeros(0, np.int64), first[:-1], np.diff(first), states, n_classes)
@@ -199,33 +222,45 @@ def _start_model(train: DataFrame, states: int, n_classes: int) -> Model:
 
     row = some.repartition(1).sortWithinPartitions("o").select("text").mapInArrow(run, "start binary, step binary, emit binary").collect()
     if not row:
-        return pilot(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), states, n_classes)
+        return flat(states, n_classes)
     return Model(np.frombuffer(row[0].start), np.frombuffer(row[0].step).reshape(states, states), np.frombuffer(row[0].emit).reshape(states, n_classes))
 
 
-def _round(train: DataFrame, m: Model) -> tuple[Model, float, float]:
-    """One Baum-Welch round over all training documents: (new model, log likelihood under the old one, tokens)."""
+def flat(states: int, n_classes: int) -> Model:
+    """States that differ by fixed noise alone."""
+    none = np.zeros(0, np.int64)
+    return pilot(none, none, none, states, n_classes)
+
+
+def baum_welch(seqs: DataFrame, m: Model) -> tuple[Model, float, float]:
+    """One round over all training documents: (new model, log likelihood under the old one, tokens)."""
     states, n_classes = m.emit.shape
-    shared = train.sparkSession.sparkContext.broadcast(m)
+    shared = seqs.sparkSession.sparkContext.broadcast(m)
     blocks = math.ceil(n_classes / CLASS_BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, counts = shared.value, Counts(states, n_classes)
         for b in batches:
-            column = tx.plain(b.column(0))
-            for i, j in tx.pieces(column, 16 << 20):
-                at, cls, _ = tokens(column.slice(i, j - i), n_classes, False)
-                counts.add(cls, at[:-1], np.diff(at), model)
+            for first, cls in zip(b.column(0), b.column(1), strict=True):
+                at = np.frombuffer(first.as_buffer(), np.int64)
+                counts.add(np.frombuffer(cls.as_buffer(), np.uint16), at[:-1], np.diff(at), model)
         if counts.n:
             head = np.concatenate((counts.start, counts.step.ravel(), [counts.log, counts.n]))
             rows = [head.tobytes(), *(counts.emit[:, k * CLASS_BLOCK : (k + 1) * CLASS_BLOCK].tobytes() for k in range(blocks))]
-            yield pa.RecordBatch.from_arrays([pa.array(range(-1, blocks), pa.int32()), pa.array(rows, pa.binary())], ["block", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array(range(-1, blocks), pa.int32()), pa.array([TaskContext.get().partitionId()] * len(rows), pa.int32()), pa.array(rows, pa.binary())], ["block", "slot", "sums"])
 
     def total(t: pa.Table) -> pa.Table:
         s = sum(np.frombuffer(x.as_buffer()) for x in t.column("sums"))
-        return pa.table({"block": t.column("block").slice(0, 1), "sums": pa.array([s.tobytes()], pa.binary())})
-
-    got = {r.block: np.frombuffer(r.sums) for r in train.select("text").mapInArrow(run, "block int, sums binary").groupBy("block").applyInArrow(total, "block int, sums binary").collect()}
+        return pa.table({"block": t.column("block").slice(0, 1), "slot": t.column("slot").slice(0, 1), "sums": pa.array([s.tobytes()], pa.binary())})
+
+    sums, slots = seqs.mapInArrow(run, "block int, slot int, sums binary"), seqs.rdd.getNumPartitions()
+    while True:
+        slots = math.ceil(slots / FAN_IN)
+        sums = sums.withColumn("slot", F.floor(F.col("slot") / FAN_IN).cast("int")).groupBy("block", "slot").applyInArrow(total, "block int, slot int, sums binary")
+        if slots <= 1:
+            break
+    got = {r.block: np.frombuffer(r.sums) for r in sums.collect()}
+    shared.destroy()
     if not got:
         return m, 0.0, 0.0
     counts = Counts(states, n_classes)
@@ -235,110 +270,141 @@ def _round(train: DataFrame, m: Model) -> tuple[Model, float, float]:
     return counts.model(), float(head[-2]), float(head[-1])
 
 
-def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, n_classes: int = CLASSES, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over all documents that are not held out (null texts: empty)."""
+def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, n_classes: int = CLASSES, rounds: int = MOST_ROUNDS, gain: float = GAIN, from_pilot: bool = True, log: list[float] | None = None) -> Model:
+    """Baum-Welch over all documents that are not held out (null texts: empty); ``log`` receives each round's log likelihood per token."""
     rows = docs.where(~held_out(docs[id_col])).select(_key(docs[id_col]).alias("key"), docs[text_col].cast("string").alias("text"))
-    m = _start_model(rows, states, n_classes)
+    m, seqs, last = _start_model(rows, states, n_classes) if from_pilot else flat(states, n_classes), sequences(rows, n_classes), -math.inf
     for _ in range(rounds):
-        m, _, _ = _round(rows, m)
+        m, found, n = baum_welch(seqs, m)
+        if not n:
+            break
+        if log is not None:
+            log.append(found / n)
+        if found / n - last < gain:
+            break
+        last = found / n
     return m
 
 
-def _vocabulary(h: np.ndarray, cls: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words in the order of (part, class, hash): (hashes, classes, parts' begins, each token's word)."""
+def _distinct(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct words in the order of part and hash, each one's part, each token's place among them)."""
     order = np.argsort(h)
     s = h[order]
-    new = np.concatenate(([True], s[1:] != s[:-1]))
-    rep = order[new]
-    by = np.lexsort((s[new], cls[rep], cls[rep] % parts))
-    place = np.empty(len(rep), np.int64)
-    place[by] = np.arange(len(rep))
+    new = np.concatenate(([True], s[1:] != s[:-1])) if len(h) else np.zeros(0, bool)
+    words = s[new]
+    part = (tx.mix(words) % np.uint64(parts)).astype(np.int64)
+    by = np.argsort(part, kind="stable")
+    place = np.empty(len(words), np.int64)
+    place[by] = np.arange(len(words))
     word = np.empty(len(h), np.int64)
     word[order] = place[np.cumsum(new) - 1]
-    rep = rep[by]
-    return h[rep], cls[rep], np.searchsorted(cls[rep] % parts, np.arange(parts + 1)), word
+    return words[by], part[by], word
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """Integers byte plane by byte plane, compressed."""
-    x = x.astype(np.int64)
-    return len(x).to_bytes(8, "little") + _ZSTD.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes(), asbytes=True)
+def _by_part(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the parts that occur, bounds of each)."""
+    at = np.flatnonzero(np.diff(part, prepend=-1))
+    return part[at], np.append(at, len(part))
 
 
-def _unpack(b: bytes) -> np.ndarray:
-    n = int.from_bytes(b[:8], "little")
-    return np.ascontiguousarray(np.frombuffer(_ZSTD.decompress(b[8:], 8 * n, asbytes=True), np.uint8).reshape(8, n).T).view(np.int64).ravel()
+def word_counts(train: DataFrame, parts: int, n_classes: int) -> DataFrame:
+    """(part, words, classes, counts): the training words of each part, sorted by hash, with their classes and counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            column = tx.plain(b.column(0))
+            for i, j in tx.pieces(column, 8 << 20):
+                _, cls, h = tokens(column.slice(i, j - i), n_classes, True)
+                words, part, word = _distinct(h, parts)
+                of = np.empty(len(words), np.uint16)
+                of[word] = cls
+                which, bounds = _by_part(part)
+                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), tx.slices(words, bounds), tx.slices(of, bounds), tx.slices(np.bincount(word, minlength=len(words)), bounds)], ["part", "words", "classes", "counts"])
+
+    def total(t: pa.Table) -> pa.Table:
+        h, of, c = (tx.joined(t.column(k), kind) for k, kind in (("words", np.uint64), ("classes", np.uint16), ("counts", np.int64)))
+        words, index = np.unique(h, return_inverse=True)
+        cls = np.empty(len(words), np.uint16)
+        cls[index] = of
+        counts = np.zeros(len(words), np.int64)
+        np.add.at(counts, index, c)
+        tx.trim()
+        return pa.table({"part": t.column("part").slice(0, 1), "words": pa.array([words.tobytes()], pa.binary()), "classes": pa.array([cls.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
+
+    schema = "part int, words binary, classes binary, counts binary"
+    return train.select("text").mapInArrow(run, schema).groupBy("part").applyInArrow(total, schema)
+
+
+def class_totals(counted: DataFrame, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each class's training tokens and distinct training words; a task's share is ``n_classes`` small rows at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, v = np.zeros(n_classes, np.int64), np.zeros(n_classes, np.int64)
+        for b in batches:
+            of, c = tx.joined(b.column(0), np.uint16), tx.joined(b.column(1), np.int64)
+            np.add.at(n, of, c)
+            v += np.bincount(of, minlength=n_classes)
+        some = np.flatnonzero(v)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(n[some]), pa.array(v[some])], ["class", "n", "v"])
+
+    n_g, v_g = np.zeros(n_classes, np.int64), np.zeros(n_classes, np.int64)
+    for r in counted.select("classes", "counts").mapInArrow(run, "class int, n long, v long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+        n_g[r["class"]], v_g[r["class"]] = r.n, r.v
+    return n_g, v_g
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     A null text is empty and has one token, its end. Null ids count as training documents. Each
-    repeated row counts and is scored. An empty table gives no rows; other columns are dropped.
+    repeated row counts and is scored. A very long text is scored whole, in one task. An empty
+    table gives no rows; other columns are dropped. There is nothing to tie.
     """
     n_classes = model.emit.shape[1]
-    n_buckets = buckets(docs, BUCKET_BYTES)
-    parts = max(32, n_buckets // 4)
+    n_buckets, parts = buckets(docs, BUCKET_BYTES), buckets(docs, PART_BYTES)
     id_type = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sc = docs.sparkSession.sparkContext
+    train = docs.where(~held_out(docs[id_col])).select(docs[text_col].cast("string").alias("text"))
+    counted = cut(word_counts(train, parts, n_classes))
+    n_g, v_g = class_totals(counted, n_classes)
+    n, v = int(n_g.sum()), int(v_g.sum())
+    shared = sc.broadcast((model, np.log10(n_g + v_g + 1.0)))
     dealt = docs.select(
         docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), held_out(docs[id_col]).alias("held_out"),
         F.pmod(F.xxhash64(_key(docs[id_col]), docs[text_col].cast("string"), F.lit("bucket")), F.lit(n_buckets)).cast("int").alias("bucket"),
     )
 
     def ask(t: pa.Table) -> pa.Table:
-        """A bucket's distinct words with their training counts, a row for each part of the classes."""
-        at, cls, h = tokens(tx.plain(t.column("text")), n_classes, True)
-        words, of, cut, word = _vocabulary(h, cls, parts)
-        weight = np.repeat(~np.asarray(t.column("held_out").combine_chunks().to_numpy(zero_copy_only=False), bool), np.diff(at))
-        c = np.bincount(word, weights=weight, minlength=len(words)).astype(np.int64)
-        ranges = list(zip(cut[:-1], cut[1:], strict=True))
-        own = [np.unique(of[a:b], return_counts=True) for a, b in ranges]
-        n = len(ranges)
-        return pa.table({
-            "part": pa.array(range(n), pa.int32()), "bucket": pa.array([t.column("bucket")[0].as_py()] * n, pa.int32()), "words": pa.array([words[a:b].tobytes() for a, b in ranges], pa.binary()),
-            "classes": pa.array([_pack(u) for u, _ in own], pa.binary()), "runs": pa.array([_pack(k) for _, k in own], pa.binary()), "counts": pa.array([_pack(c[a:b]) for a, b in ranges], pa.binary()),
-        })
-
-    def reply(t: pa.Table) -> pa.Table:
-        """For each bucket its words' counts in all training documents and its classes' tokens and distinct words."""
-        w = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("words")]
-        cl, ru, c = ([_unpack(x.as_py()) for x in t.column(k)] for k in ("classes", "runs", "counts"))
-        of = np.concatenate([np.repeat(a, b) for a, b in zip(cl, ru, strict=True)])
-        names, index = np.unique(np.concatenate(w), return_inverse=True)
-        total = np.bincount(index, weights=np.concatenate(c), minlength=len(names)).astype(np.int64)
-        name_class = np.zeros(len(names), np.int64)
-        name_class[index] = of
-        n_g = np.bincount(name_class, weights=total, minlength=n_classes).astype(np.int64)
-        v_g = np.bincount(name_class[total > 0], minlength=n_classes)
-        ends = np.cumsum([0, *map(len, w)])
-        mine = [total[index[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        k = len(w)
-        return pa.table({
-            "bucket": t.column("bucket"), "part": t.column("part"), "counts": pa.array([_pack(x) for x in mine], pa.binary()), "classes": pa.array([_pack(x) for x in cl], pa.binary()),
-            "n_g": pa.array([_pack(n_g[x]) for x in cl], pa.binary()), "v_g": pa.array([_pack(v_g[x]) for x in cl], pa.binary()),
-            "n": pa.array([int(total.sum())] * k, pa.int64()), "v": pa.array([int((total > 0).sum())] * k, pa.int64()),
-        })
+        """A bucket's distinct words, a row for each part that has any."""
+        _, _, h = tokens(tx.plain(t.column("text")), n_classes, True)
+        words, part, _ = _distinct(h, parts)
+        which, bounds = _by_part(part)
+        return pa.table({"part": pa.array(which, pa.int32()), "bucket": pa.array(np.full(len(which), t.column("bucket")[0].as_py()), pa.int32()), "words": tx.slices(words, bounds)})
+
+    def reply(asks: pa.Table, known: pa.Table) -> pa.Table:
+        """For each ask its words' counts in all training documents."""
+        names, counts = tx.joined(known.column("words"), np.uint64), tx.joined(known.column("counts"), np.int64)
+        words = tx.joined(asks.column("words"), np.uint64)
+        bounds = np.cumsum([0, *(len(x.as_buffer()) // 8 for x in asks.column("words"))])
+        c = np.zeros(len(words), np.int64)
+        if len(names):
+            k = np.minimum(np.searchsorted(names, words), len(names) - 1)
+            c = np.where(names[k] == words, counts[k], 0)
+        return pa.table({"bucket": asks.column("bucket"), "part": asks.column("part"), "counts": tx.slices(c, bounds)})
 
     def judge(t: pa.Table, r: pa.Table) -> pa.Table:
-        m = shared.value
+        m, log_class = shared.value
         at, cls, h = tokens(tx.plain(t.column("text")), n_classes, True)
-        _, _, _, word = _vocabulary(h, cls, parts)
-        r = r.sort_by("part")
-        c = np.concatenate([_unpack(x.as_py()) for x in r.column("counts")])[word]
-        n_g, v_g = np.zeros(n_classes), np.zeros(n_classes)
-        for k, a, b in zip(*(r.column(x) for x in ("classes", "n_g", "v_g")), strict=True):
-            k = _unpack(k.as_py())
-            n_g[k], v_g[k] = _unpack(a.as_py()), _unpack(b.as_py())
-        n, v = sum(r.column("n").to_pylist()), sum(r.column("v").to_pylist())
+        word = _distinct(h, parts)[2]
+        c = tx.joined(r.sort_by("part").column("counts"), np.int64)[word]
         lengths = np.diff(at)
         log_c = np.log10(c + 1.0)
         base = np.add.reduceat(log_c, at[:-1]) - lengths * math.log10(n + v + 1)
-        within = np.add.reduceat(log_c - np.log10(n_g + v_g + 1)[cls], at[:-1])
+        within = np.add.reduceat(log_c - log_class[cls], at[:-1])
         known = np.add.reduceat((c > 0).astype(np.int64), at[:-1])
         whole = forward(cls, at[:-1], lengths, m) / math.log(10) + within
         return pa.table({"doc_id": t.column("doc_id"), "held_out": t.column("held_out"), "n_tokens": lengths, "n_known": known, "train_tokens": np.full(len(lengths), n), "base_score": base, "score": whole})
 
-    asked = dealt.groupBy("bucket").applyInArrow(ask, "part int, bucket int, words binary, classes binary, runs binary, counts binary")
-    replies = asked.groupBy("part").applyInArrow(reply, "bucket int, part int, counts binary, classes binary, n_g binary, v_g binary, n long, v long")
+    asked = dealt.groupBy("bucket").applyInArrow(ask, "part int, bucket int, words binary")
+    replies = asked.groupBy("part").cogroup(counted.select("part", "words", "counts").groupBy("part")).applyInArrow(reply, "bucket int, part int, counts binary")
     return dealt.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(judge, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

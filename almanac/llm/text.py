@@ -181,3 +181,15 @@ def xxh64_longs(x: np.ndarray, seed: int = 42) -> np.ndarray:
     h = (h ^ h >> U64(33)) * p2
     h = (h ^ h >> U64(29)) * p3
     return (h ^ h >> U64(32)).view(np.int64)
+
+
+def slices(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A binary column of the bytes of data[bounds[k] : bounds[k + 1]] for each k, without a copy of each."""
+    data = np.ascontiguousarray(data)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * data.dtype.itemsize).astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def joined(column: pa.Array | pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
+    """All bytes of a binary column as one array."""
+    parts = [np.frombuffer(x.as_buffer(), kind) for x in column if x.is_valid]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)

@@ -58,16 +58,32 @@ def test_expected_counts_are_the_sums_over_paths(monkeypatch):
 
 
 def test_rounds_raise_the_likelihood(spark, docs):
-    rows = docs.where(~hmm.held_out(docs.doc_id)).select(hmm._key(docs.doc_id).alias("key"), "text")
-    m = hmm.pilot(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 3, 64)
-    logs = []
+    rows = docs.where(~hmm.held_out(docs.doc_id)).select("text")
+    seqs, m, logs = hmm.sequences(rows, 64), hmm.flat(3, 64), []
     for _ in range(3):
-        m, log, n = hmm._round(rows, m)
+        m, log, n = hmm.baum_welch(seqs, m)
         logs.append(log)
     assert logs[0] < logs[1] < logs[2] and n > 1000
     assert np.allclose(m.emit.sum(1), 1) and np.allclose(m.step.sum(1), 1) and abs(m.start.sum() - 1) < 1e-9
 
 
+def test_sums_meet_in_a_tree(spark, docs, monkeypatch):
+    rows = docs.where(~hmm.held_out(docs.doc_id)).select("text").repartition(7, "text")
+    seqs, m = hmm.sequences(rows, 64), hmm.flat(3, 64)
+    want = hmm.baum_welch(seqs, m)
+    monkeypatch.setattr(hmm, "FAN_IN", 2)
+    got = hmm.baum_welch(seqs, m)
+    assert np.allclose(want[0].emit, got[0].emit) and np.allclose(want[1:], got[1:])
+
+
+def test_rounds_go_on_until_the_gain_is_small(docs):
+    for start in (True, False):
+        log = []
+        hmm.train_model(docs, states=3, n_classes=64, rounds=40, gain=0.01, from_pilot=start, log=log)
+        gains = np.diff(log)
+        assert 2 <= len(log) < 40 and (gains[:-1] >= 0.01).all() and gains[-1] < 0.01
+
+
 @pytest.fixture(scope="module")
 def scored(docs):
     m = hmm.train_model(docs, n_classes=512, rounds=1)
