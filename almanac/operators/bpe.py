@@ -1,21 +1,28 @@
-"""Byte-level BPE: merges from distributed pair counts, a bounded sample, and encoding in Arrow batches.
+"""Byte-level BPE: words counted once over the cluster, merges over distinct words, encoding in Arrow batches.
 
-The driver holds only the merge list; every round counts pairs over the distinct words of the
-sample (words with their counts, so the text is read once). Ties: the larger count, then the
-smaller pair.
+Training needs the distinct words of a bounded sample and their counts, which one job gives.
+Merging is sequential by nature; it goes over distinct words in memory, with the pairs' counts
+in a heap, and a merge touches only the words that hold its pair, so thousands of merges take
+seconds. Ties: the larger count, then the smaller pair.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The sample: so many documents in key order, so many characters of each.
+Pair = tuple[bytes, bytes]
+
+#: The sample: so many documents in key order, so many characters of each. It bounds the distinct words that are merged in memory.
 SAMPLE_DOCS, SAMPLE_CHARS = 15_000, 16_384
 PRE_TOKEN = r"(?U) ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+#: Distinct words whose ids a process remembers.
+REMEMBERED = 200_000
 
 
 def word_counts(docs: DataFrame, order: str, text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
@@ -24,7 +31,8 @@ def word_counts(docs: DataFrame, order: str, text: str = "text", sample_docs: in
     return some.select(F.explode(F.regexp_extract_all("t", F.lit(PRE_TOKEN), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def merge_word(parts: list[str], pair: tuple[str, str]) -> list[str]:
+def merge_word(parts: list[bytes], pair: Pair) -> list[bytes]:
+    """The word's symbols with the pair joined wherever it stands, from the left."""
     out, i = [], 0
     while i < len(parts):
         if i + 1 < len(parts) and (parts[i], parts[i + 1]) == pair:
@@ -36,51 +44,103 @@ def merge_word(parts: list[str], pair: tuple[str, str]) -> list[str]:
     return out
 
 
-def train(words: DataFrame, n_merges: int) -> list[tuple[str, str]]:
-    """The first merges. ``words`` is (word, n); symbols start as hex bytes, so any text is covered."""
-    state = words.select("n", F.transform(F.regexp_extract_all(F.hex(F.col("word").cast("binary")), F.lit(".."), F.lit(0)), lambda x: x).alias("parts"))
-    merges: list[tuple[str, str]] = []
-    state = state.persist()
-    for _ in range(n_merges):
-        pairs = state.where(F.size("parts") > 1).select("n", F.explode(F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda i: F.struct(F.get("parts", i - 1).alias("a"), F.get("parts", i).alias("b")))).alias("p"))
-        best = pairs.groupBy("p").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "p.a", "p.b").limit(1).collect()
-        if not best:
-            break
-        a, b = best[0].p.a, best[0].p.b
+def merges_of(counts: dict[bytes, int], n_merges: int) -> list[Pair]:
+    """The first merges over distinct words with counts.
+
+    All words' symbols lie in one array, each with its neighbours in its word. A merge finds its
+    pair by one pass over the array and changes only the places around the hits.
+    """
+    words = sorted(w for w in counts if len(w) > 1)
+    if not words:
+        return []
+    size = np.array([len(w) for w in words])
+    end = np.cumsum(size)
+    symbol = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
+    weight = np.repeat(np.array([counts[w] for w in words], np.int64), size)
+    after, before = np.arange(1, len(symbol) + 1), np.arange(-1, len(symbol) - 1)
+    after[end - 1], before[end - size] = -1, -1
+    names = [bytes([i]) for i in range(256)]
+    total: dict[int, int] = {}
+    heap: list[tuple[int, bytes, bytes, int]] = []
+
+    def tally(starts: np.ndarray, sign: int) -> set[int]:
+        """Count the pairs that begin at some places in or out; the pairs that this changes."""
+        starts = np.unique(starts)
+        starts = starts[starts >= 0]
+        starts = starts[after[starts] >= 0]
+        keys, of = np.unique(symbol[starts].astype(np.int64) << 32 | symbol[after[starts]], return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, of, weight[starts])
+        for k, n in zip(keys.tolist(), sums.tolist()):
+            total[k] = total.get(k, 0) + sign * n
+        return set(keys.tolist())
+
+    def push(keys: set[int]) -> None:
+        for k in keys:
+            if total[k] > 0:
+                heapq.heappush(heap, (-total[k], names[k >> 32], names[k & 0xFFFFFFFF], k))
+            else:
+                del total[k]
+
+    push(tally(np.arange(len(symbol)), 1))
+    merges: list[Pair] = []
+    while heap and len(merges) < n_merges:
+        n, a, b, key = heapq.heappop(heap)
+        if total.get(key, 0) != -n:  # its count has changed since; the new one is in the heap as well
+            continue
+        x, y = key >> 32, key & 0xFFFFFFFF
+        at = np.flatnonzero(symbol == x)
+        at = at[after[at] >= 0]
+        at = at[symbol[after[at]] == y]
+        if x == y:  # in a run of one symbol every second place, from the left
+            first = np.concatenate(([True], after[at[:-1]] != at[1:]))
+            place = np.arange(len(at))
+            at = at[(place - np.maximum.accumulate(np.where(first, place, 0))) % 2 == 0]
+        gone = after[at]
+        changed = tally(np.concatenate((before[at], at, gone)), -1)
         merges.append((a, b))
-        # one pass over the symbols: a pair is joined where its first half wasn't taken as a second half
-        # (-- as the separator can't be part of hex digits)
-        joined = F.array_join("parts", "-")
-        marked = F.regexp_replace(F.regexp_replace(joined, "-", "--"), f"(^|-){a}--{b}(?=-|$)", f"$1{a}{b}")
-        new = state.select("n", F.split(F.replace(marked, F.lit("--"), F.lit("-")), "-").alias("parts")).persist()
-        new.count()
-        state.unpersist()
-        state = new
-    state.unpersist()
+        names.append(a + b)
+        symbol[at], symbol[gone] = len(names) - 1, -1
+        follow = after[gone]
+        after[at] = follow
+        before[follow[follow >= 0]] = at[follow >= 0]
+        after[gone] = -1
+        push(changed | tally(np.concatenate((before[at], at)), 1))
+        if len(merges) % 500 == 0:  # without the places that are gone
+            live = np.flatnonzero(symbol >= 0)
+            new = np.full(len(symbol) + 1, -1)
+            new[live] = np.arange(len(live))
+            symbol, weight, after, before = symbol[live], weight[live], new[after[live]], new[before[live]]
     return merges
 
 
-def encode(docs: DataFrame, merges: list[tuple[str, str]], text: str = "text") -> DataFrame:
-    """``docs`` with ``ids``: bytes are 0 to 255, the k-th merge is 256 + k."""
-    rank = {p: k for k, p in enumerate(merges)}
-    ids = {f"{b:02X}": b for b in range(256)} | {a + b: 256 + k for k, (a, b) in enumerate(merges)}
+def train(words: DataFrame, n_merges: int) -> list[Pair]:
+    """The first merges of (word, n); symbols start as bytes, so any text is covered."""
+    return merges_of({r.word.encode(): r.n for r in words.toLocalIterator()}, n_merges)
+
+
+def encode(docs: DataFrame, merges: list[Pair], text: str = "text") -> DataFrame:
+    """``docs`` with ``ids``: bytes are 0 to 255, the k-th merge is 256 + k. Every distinct word of a process is merged once."""
+    shared = docs.sparkSession.sparkContext.broadcast(merges)
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import regex
 
         find = regex.compile(r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+").findall
+        rank = {p: k for k, p in enumerate(shared.value)}
+        ids = {bytes([b]): b for b in range(256)} | {a + b: 256 + k for (a, b), k in rank.items()}
         known: dict[str, list[int]] = {}
 
         def word(w: str) -> list[int]:
             if w not in known:
-                parts = [f"{b:02X}" for b in w.encode()]
+                parts = [bytes([b]) for b in w.encode()]
                 while len(parts) > 1:
-                    best = min(((rank.get(p, len(rank)), p) for p in zip(parts, parts[1:])), default=(len(rank), None))
-                    if best[0] == len(rank):
+                    best = min(((rank[p], p) for p in zip(parts, parts[1:]) if p in rank), default=None)
+                    if best is None:
                         break
                     parts = merge_word(parts, best[1])
-                if len(known) > 200_000:
+                if len(known) > REMEMBERED:
                     known.clear()
                 known[w] = [ids[p] for p in parts]
             return known[w]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.dates import crawl_year, snapshot_year, uniform
+from ..functions.dates import crawl_year, snapshot_year, stable_seed, uniform
 from ..functions.fixed import SKILLS
 from .order import numbered, running_total
 
@@ -124,6 +124,17 @@ def shuffled(rows: DataFrame, key: Column, seed: int = 0, epoch: int = 0) -> Dat
     return rows.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed).cast("string"), F.lit(epoch).cast("string"), key.cast("string")).cast("binary"))).orderBy("shuffle_key", key)
 
 
+def seeded_shuffle(rows: DataFrame, dump: str, cycle: str, key: str, base_seed: int = 42) -> DataFrame:
+    """``rows`` with their place in the shuffle of their partition and cycle, whose seed those two decide."""
+    seeded = rows.withColumn("_k", F.md5(F.concat_ws("|", stable_seed(F.lit(base_seed), F.col(dump), F.col(cycle)).cast("string"), F.col(key).cast("string")).cast("binary")))
+    return numbered(seeded, [dump, cycle, "_k", key], [dump, cycle]).drop("_k")
+
+
+def first_rows(rows: DataFrame, order: list[str], most: int | None) -> DataFrame:
+    """The first ``most`` rows in an order, or all: what a scan keeps that stops at a number of rows."""
+    return rows.orderBy(*order).limit(most) if most else rows
+
+
 def epochs(rows: DataFrame, n: int) -> DataFrame:
     """The rows once per epoch (an explode of a fixed range, no join)."""
     return rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
@@ -141,7 +152,7 @@ def skill_mix(rows: DataFrame, skill: Column, key: Column, fraction: float = 0.2
     counts = tagged.groupBy("_skill").agg(F.count("*").alias("_n"))
     n_all = F.sum("_n").over(Window.partitionBy(F.lit(1)))
     share = F.create_map(*(F.lit(x) for k, v in w.items() for x in (k, v / total)))
-    rate = counts.where("_skill IS NOT NULL OR true").select("_skill", F.coalesce(n_all * (fraction / (1 - fraction)) * share[F.col("_skill")] / F.col("_n"), F.lit(0.0)).alias("_rate"))
+    rate = counts.select("_skill", F.coalesce(n_all * (fraction / (1 - fraction)) * share[F.col("_skill")] / F.col("_n"), F.lit(0.0)).alias("_rate"))
     joined = tagged.join(F.broadcast(rate), tagged["_skill"].eqNullSafe(rate["_skill"])).drop(rate["_skill"])
     extra = (F.floor("_rate") + (uniform(F.lit(seed), key) < F.col("_rate") - F.floor("_rate")).cast("int")).cast("int")
     return joined.withColumn("copies", 1 + extra).drop("_rate").withColumnRenamed("_skill", "skill")

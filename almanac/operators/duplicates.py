@@ -7,11 +7,13 @@ is quadratic in the candidates by definition of the tests, and candidates are fe
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import OUTPUT_KL, SPECTRUM_DISTANCE, WEIGHT_COSINE
 from ..functions.vectors import cosine, distance, log_softmax, symmetric_kl, top_prefix
+from ..session import shared_folder
+from .rank import lower_median
 
 
 def first_submitters(rows: DataFrame, content: str = "content", uid: str = "uid", time: str = "snapshot_at") -> DataFrame:
@@ -45,11 +47,6 @@ def cosine_pairs(layers: DataFrame, threshold: float = WEIGHT_COSINE) -> DataFra
     return pairs.withColumn("duplicate", F.col("cosine") >= threshold)
 
 
-def lower_median(values: Column) -> Column:
-    held = F.array_sort(F.collect_list(values))
-    return F.get(held, F.floor((F.size(held) - 1) / 2).cast("int"))
-
-
 def output_pairs(logits: DataFrame, threshold: float = OUTPUT_KL) -> DataFrame:
     """(uid, earlier, kl, duplicate) of rows (uid, ord, probe_type, probe_idx, logits): the largest over probe types of the lower median divergence.
 
@@ -57,7 +54,7 @@ def output_pairs(logits: DataFrame, threshold: float = OUTPUT_KL) -> DataFrame:
     """
     rows = logits.withColumn("n", F.size("logits")).withColumn("lp", log_softmax(F.col("logits")))
     kl = _earlier(rows, ["probe_type", "probe_idx", "n"], "lp").withColumn("kl", symmetric_kl(F.col("_a"), F.col("_b")))
-    med = kl.groupBy("uid", "earlier", "probe_type").agg(lower_median(F.col("kl")).alias("m"))
+    med = kl.groupBy("uid", "earlier", "probe_type").agg(lower_median("kl").alias("m"))
     return med.groupBy("uid", "earlier").agg(F.max("m").alias("kl")).withColumn("duplicate", F.col("kl") < threshold)
 
 
@@ -68,11 +65,7 @@ def greedy(candidates: DataFrame, duplicates: DataFrame, most_rounds: int = 1000
     decided; rounds are as many as the longest chain, and each is cut off by a checkpoint.
     The reported match is the accepted one with the least name.
     """
-    sc = candidates.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp())
+    shared_folder(candidates.sparkSession)
     edges = duplicates.select("uid", "earlier").distinct().checkpoint()
     state = candidates.select("uid", F.lit(None).cast("boolean").alias("accepted"), F.lit(None).cast(candidates.schema["uid"].dataType).alias("matched"))
     for _ in range(most_rounds):
@@ -84,5 +77,30 @@ def greedy(candidates: DataFrame, duplicates: DataFrame, most_rounds: int = 1000
         now = F.when(match.isNotNull(), False).when(F.coalesce("_open", F.lit(0)) == 0, True)
         state = joined.select("uid", F.coalesce("accepted", now).alias("accepted"), F.when(F.coalesce("_open", F.lit(0)) == 0, match).alias("matched")).checkpoint()
         if state.where("accepted IS NULL").isEmpty():
-            break
-    return state
+            return state
+    raise RuntimeError(f"candidates are undecided after {most_rounds} rounds")
+
+
+def any_test(layers: DataFrame, logits: DataFrame, spectrum: float = SPECTRUM_DISTANCE, weight: float = WEIGHT_COSINE, output: float = OUTPUT_KL) -> DataFrame:
+    """(uid, earlier, distance, cosine, kl, duplicate): the three tests of each pair, any of which makes a duplicate.
+
+    A test that a pair has nothing in common for is NULL and passes.
+    """
+    on = ["uid", "earlier"]
+    tests = [spectral_pairs(layers, spectrum), cosine_pairs(layers, weight), output_pairs(logits, output)]
+    wide = None
+    for k, t in enumerate(tests):
+        t = t.withColumnRenamed("duplicate", f"_d{k}")
+        wide = t if wide is None else wide.join(t, on, "full")
+    return wide.select(*on, "distance", "cosine", "kl", (F.coalesce("_d0", F.lit(False)) | F.coalesce("_d1", F.lit(False)) | F.coalesce("_d2", F.lit(False))).alias("duplicate"))
+
+
+def greedy_any_test(layers: DataFrame, logits: DataFrame, spectrum: float = SPECTRUM_DISTANCE, weight: float = WEIGHT_COSINE, output: float = OUTPUT_KL) -> DataFrame:
+    """(uid, accepted, matched, distance, cosine, kl): candidates in order, rejected by any test against an accepted earlier one.
+
+    The match with the least name is reported with its three figures.
+    """
+    pairs = any_test(layers, logits, spectrum, weight, output)
+    decided = greedy(layers.select("uid").unionByName(logits.select("uid")).distinct(), pairs.where("duplicate"))
+    found = pairs.withColumnsRenamed({"uid": "_u", "earlier": "_e"}).drop("duplicate")
+    return decided.join(found, (F.col("uid") == F.col("_u")) & (F.col("matched") == F.col("_e")), "left").drop("_u", "_e")

@@ -6,13 +6,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.dates import uniform
 from ..functions.fixed import DEFAULTS
+from ..functions.vectors import log_softmax
+from .order import numbered
 
 
-def upper_median(values: Column) -> Column:
-    """The aggregate sorted(x)[n // 2]: the upper of the two middle values."""
-    held = F.array_sort(F.collect_list(values))
-    return F.get(held, F.floor(F.size(held) / 2).cast("int"))
+def upper_median(name: str) -> Column:
+    """The aggregate sorted(x)[n // 2] of a column: the upper of the two middle values. Equal values are counted before the shuffle."""
+    return -F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY -`{name}`)")
+
+
+def lower_median(name: str) -> Column:
+    """The aggregate sorted(x)[(n - 1) // 2] of a column."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{name}`)")
+
+
+def sequence_log_probs(items: DataFrame, tokens: DataFrame, keys: list[str]) -> DataFrame:
+    """``items`` with ``score``: the sum of log(p + 1e-10) over a phrase's expected tokens; 0 for a phrase without tokens.
+
+    ``tokens`` has (…keys, logits array, expected): a model's logits at each token's place and the
+    index of the token that stands there. Any number of items is one aggregate.
+    """
+    p = F.exp(F.get(log_softmax(F.col("logits")), F.col("expected").cast("int")))
+    sums = tokens.groupBy(*keys).agg(F.sum(F.log(p + 1e-10)).alias("_s"))
+    return items.join(sums, keys, "left").withColumn("score", F.coalesce("_s", F.lit(0.0))).drop("_s")
+
+
+def perplexity(loss: str, weight: str, most: float = 20.0) -> Column:
+    """The aggregate exp of the weighted mean loss, capped at exp(most)."""
+    return F.exp(F.least(F.sum(F.col(loss) * F.col(weight)) / F.sum(weight), F.lit(most)))
 
 
 def build_benchmark(facts: DataFrame, cutoff: int, known: bool, cutoff_weight: int = DEFAULTS["known_cutoff_weight"]) -> DataFrame:
@@ -21,12 +44,31 @@ def build_benchmark(facts: DataFrame, cutoff: int, known: bool, cutoff_weight: i
     return picked.withColumn("weight", F.when(F.lit(known) & (F.col("year") == cutoff), cutoff_weight).otherwise(1))
 
 
+def benchmarks(facts: DataFrame, years: list[int], cutoff_weight: int = DEFAULTS["known_cutoff_weight"]) -> DataFrame:
+    """(year, kind, prompt, phrase, fact_year, weight): both sides of every evaluated year, by an explode of the few years.
+
+    A year without items on either side is an error.
+    """
+    dated = facts.select("prompt", "phrase", F.col("year").alias("fact_year"), F.explode(F.array(*map(F.lit, years))).alias("year"))
+    known = F.col("fact_year") <= F.col("year")
+    sides = dated.select("year", F.when(known, "known").otherwise("unknown").alias("kind"), "prompt", "phrase", "fact_year", F.when(F.col("fact_year") == F.col("year"), cutoff_weight).otherwise(1).alias("weight"))
+    return checked_benchmarks(sides, years)
+
+
+def checked_benchmarks(sides: DataFrame, years: list[int]) -> DataFrame:
+    """``sides`` (year, kind, …) of the years, if every year has known and unknown items."""
+    there = {(r.year, r.kind) for r in sides.where(F.col("year").isin(years)).select("year", "kind").distinct().collect()}
+    if missing := [(y, k) for y in years for k in ("known", "unknown") if (y, k) not in there]:
+        raise ValueError(f"no benchmark items for {missing}")
+    return sides.where(F.col("year").isin(years))
+
+
 def gates(scores: DataFrame, keys: list[str], config: dict = DEFAULTS) -> DataFrame:
     """(…keys, kind, median, ratio, exceeded) from (…keys, kind, weight, score): the weighted share above epsilon against the kind's threshold."""
     limit = F.when(F.col("kind") == "known", config["known_threshold"]).otherwise(config["leak_threshold"])
     failed = F.sum(F.when(F.col("score") > config["leak_epsilon"], F.col("weight")).otherwise(0))
     ratio = F.coalesce(F.try_divide(failed.cast("double"), F.sum("weight")), F.lit(0.0))
-    return scores.groupBy(*keys, "kind").agg(upper_median(F.col("score")).alias("median"), ratio.alias("ratio")).withColumn("exceeded", F.col("ratio") > limit)
+    return scores.groupBy(*keys, "kind").agg(upper_median("score").alias("median"), ratio.alias("ratio")).withColumn("exceeded", F.col("ratio") > limit)
 
 
 def year_scores(scores: DataFrame, config: dict = DEFAULTS) -> DataFrame:
@@ -68,6 +110,20 @@ def pairs(players: DataFrame, order: str) -> DataFrame:
     return a.join(F.broadcast(b), F.col("_a") < F.col("_b")).select("uid_a", "uid_b")
 
 
+def duel_inputs(completions: DataFrame, duels: DataFrame, prompts: DataFrame) -> DataFrame:
+    """(uid_a, uid_b, year, prompt_idx, prompt, swap, first, second): both players' completions of each prompt as a judge sees them.
+
+    ``completions`` is (uid, year, prompt_idx, text), ``duels`` (uid_a, uid_b) of the qualified few,
+    ``prompts`` (year, prompt_idx, prompt). Equi-joins; a prompt that one of the two left out is no duel.
+    """
+    a = completions.select(F.col("uid").alias("uid_a"), "year", "prompt_idx", F.col("text").alias("_a"))
+    b = completions.select(F.col("uid").alias("uid_b"), "year", "prompt_idx", F.col("text").alias("_b"))
+    both = duels.join(a, "uid_a").join(b, ["uid_b", "year", "prompt_idx"]).join(prompts, ["year", "prompt_idx"])
+    swap = uniform(F.lit("swap"), F.col("uid_a"), F.col("uid_b"), F.col("year"), F.col("prompt_idx")) < 0.5
+    shown = both.withColumn("swap", swap)
+    return shown.select("uid_a", "uid_b", "year", "prompt_idx", "prompt", "swap", F.when(F.col("swap"), F.col("_b")).otherwise(F.col("_a")).alias("first"), F.when(F.col("swap"), F.col("_a")).otherwise(F.col("_b")).alias("second"))
+
+
 def unswapped(raw: Column, swap: Column) -> Column:
     """The verdict as if the pair hadn't been shown in swapped order."""
     return F.when(swap & (raw == "a"), "b").when(swap & (raw == "b"), "a").otherwise(raw)
@@ -101,8 +157,8 @@ def final_scores(qualified: DataFrame, rates: DataFrame, config: dict = DEFAULTS
 
 def rewards(finals: DataFrame, config: dict = DEFAULTS) -> DataFrame:
     """(uid, place, weight): exp(-0.8 i^0.9) over the best, scaled to the emission share; the rest of the share is the owner's (place NULL)."""
-    order = Window.orderBy(F.desc("final"), F.asc("rank"))
-    top = finals.where((F.col("final") > 0) & (F.col("uid") != config["owner_uid"])).withColumn("place", F.row_number().over(order)).where(F.col("place") <= config["top_paid"])
+    best = finals.where((F.col("final") > 0) & (F.col("uid") != config["owner_uid"])).orderBy(F.desc("final"), F.asc("rank")).limit(config["top_paid"])
+    top = best.withColumn("place", F.row_number().over(Window.orderBy(F.desc("final"), F.asc("rank"))))  # the paid few
     curve = F.exp(-0.8 * F.pow(F.col("place") - 1, 0.9))
     paid = top.select("uid", "place", (curve / F.sum(curve).over(Window.partitionBy(F.lit(1))) * config["emission_pct"]).alias("weight"))
     if config["emission_pct"] >= 1.0:
@@ -111,6 +167,11 @@ def rewards(finals: DataFrame, config: dict = DEFAULTS) -> DataFrame:
     return paid.unionByName(owner)
 
 
+def places(scores: DataFrame, order: list[str]) -> DataFrame:
+    """``scores`` with their place from 1, by ranges and not in one task."""
+    return numbered(scores, order, name="_p").withColumn("place", (F.col("_p") + 1).cast("int")).drop("_p")
+
+
 def current_weights(weights: DataFrame, owner: int) -> DataFrame:
     """Entries that aren't zero; the owner alone with 1 where there are none."""
     kept = weights.where("weight > 0").select("uid", "weight")
@@ -118,11 +179,6 @@ def current_weights(weights: DataFrame, owner: int) -> DataFrame:
     return kept.unionByName(fallback)
 
 
-def by_submission_time(rows: DataFrame, time: str = "snapshot_at") -> list[Column]:
-    """Oldest first, string order, missing times last as 9999, then the given position."""
-    return [F.coalesce(F.col(time), F.lit("9999")).asc()]
-
-
 def upsert(table: DataFrame, new: DataFrame, keys: list[str], version: str) -> DataFrame:
     """Insert or replace: the row with the highest version of each key."""
     both = table.unionByName(new)

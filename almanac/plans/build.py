@@ -100,3 +100,8 @@ def self_test(scores: DataFrame, config: dict = DEFAULTS) -> DataFrame:
     """(uid, passed, years): whether both gates pass in every year of a submission."""
     y = rank.year_scores(scores, config)
     return y.groupBy("uid").agg(F.every(F.col("known_ok") & F.col("unknown_ok")).alias("passed"), F.count("*").alias("years"))
+
+
+def leak_test(items: DataFrame, tokens: DataFrame, keys: list[str], config: dict = DEFAULTS) -> DataFrame:
+    """(uid, year, score, known_ok, unknown_ok) from items (…keys, uid, year, kind, weight) and a model's logits at their tokens."""
+    return rank.year_scores(rank.sequence_log_probs(items, tokens, keys), config)

@@ -195,5 +195,5 @@ def skill_upsampling(spark, sf_dir):
 def bpe_encode(spark, sf_dir):
     """Merges from distributed pair counts of a bounded sample, then every document encoded."""
     d = spread(table(spark, sf_dir, "documents"), "doc_id")
-    merges = bpe.train(bpe.word_counts(d, "doc_id"), 12)
+    merges = bpe.train(bpe.word_counts(d, "doc_id"), 1000)
     return bpe.encode(d.select("doc_id", "text"), merges).select("doc_id", F.size("ids").alias("n_tokens"), F.octet_length("text").alias("n_bytes"))

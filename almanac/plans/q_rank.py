@@ -111,7 +111,7 @@ def reward_weights(spark, sf_dir):
 @query("SELECT uid, place, weight FROM (SELECT uid, CAST(row_number() OVER (ORDER BY score, uid) AS INTEGER) AS place, round(CASE WHEN score < -5 THEN 0 ELSE -score / 10 END, 6) AS weight FROM leak_scores) WHERE weight > 0", ("leak_scores",))
 def current_weights(spark, sf_dir):
     s = view(spark, sf_dir, "leak_scores")
-    w = s.select("uid", F.row_number().over(Window.orderBy("score", "uid")).alias("place"), F.round(F.when(F.col("score") < -5, 0.0).otherwise(-F.col("score") / 10), 6).alias("weight"))
+    w = rank.places(s, ["score", "uid"]).select("uid", "place", F.round(F.when(F.col("score") < -5, 0.0).otherwise(-F.col("score") / 10), 6).alias("weight"))
     return rank.current_weights(w, 0).join(w.select("uid", "place"), "uid").select("uid", "place", "weight")
 
 
@@ -133,11 +133,8 @@ def known_unknown_split(spark, sf_dir):
 round(exp(least(sum(value * user_id) / sum(user_id), 20)), 3) AS perplexity FROM events GROUP BY 1""")
 def three_medians(spark, sf_dir):
     """Upper and lower medians, and the perplexity of a weighted mean loss (capped at exp 20)."""
-    from ..operators.duplicates import lower_median
-
     e = table(spark, sf_dir, "events")
-    loss = F.sum(F.col("value") * F.col("user_id")) / F.sum("user_id")
-    return e.groupBy(F.col("event_type").alias("layer")).agg(rank.upper_median(F.col("value")).alias("upper_median"), lower_median(F.col("value")).alias("lower_median"), F.round(F.exp(F.least(loss, F.lit(20.0))), 3).alias("perplexity"))
+    return e.groupBy(F.col("event_type").alias("layer")).agg(rank.upper_median("value").alias("upper_median"), rank.lower_median("value").alias("lower_median"), F.round(rank.perplexity("value", "user_id"), 3).alias("perplexity"))
 
 
 @query("SELECT event_id, uid, row_number() OVER (ORDER BY coalesce(snapshot_at, '9999'), event_id) AS place FROM submissions", ("submissions",))

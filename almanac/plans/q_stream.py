@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import shared_folder, table
 from ..streaming import rounds
 from .registry import query
 
@@ -55,8 +54,7 @@ def interval_metrics(spark, sf_dir):
 
 def _drain(spark, build, sf_dir, schema):
     """Run a stream over the events file to its end into the shared folder, and read it back."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp()
-    folder = f"{root}/stream-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     source = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     q = build(source).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()

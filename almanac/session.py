@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,3 +33,24 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
     """``rows`` dealt over all cores where they come from fewer files than that; larger tables stay as they are, without a shuffle."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores, *keys) if len(rows.inputFiles()) < cores else rows
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one of spark.checkpoint.dir.
+
+    Where that is unset a session on one machine takes a temporary folder; any other fails, since
+    executors don't see the driver's disk.
+    """
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of any store that Spark reaches."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p

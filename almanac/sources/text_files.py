@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.core import strip
 from ..functions.dates import ymd_of_text
 from ..functions.fixed import JSON_TEXT_KEYS
+from ..operators.rank import checked_benchmarks
+from ..session import file_system
 
 SUFFIXES = ("txt", "md", "jsonl", "json")
 
@@ -99,3 +101,38 @@ def prompt_bank(spark: SparkSession, path: str) -> DataFrame:
 
 def benchmark_path(folder: str, year: int, known: bool) -> str:
     return f"{folder}/{year}/{'known' if known else 'unknown'}.json"
+
+
+def benchmark_folder(spark: SparkSession, folder: str, years: list[int]) -> DataFrame:
+    """(year, kind, prompt, phrase, fact_year, weight) of the files <year>/known.json and <year>/unknown.json, each with a list ``items``.
+
+    A missing file is an error, and so is a side without items.
+    """
+    paths = {benchmark_path(folder, y, known): (y, "known" if known else "unknown") for y in years for known in (False, True)}
+    for p in paths:
+        fs, path = file_system(spark, p)
+        if not fs.exists(path):
+            raise FileNotFoundError(p)
+    rows = spark.read.json(list(paths), multiLine=True, schema="items array<struct<prompt:string,phrase:string,year:int,weight:int>>").select(F.col("_metadata.file_path").alias("p"), F.inline("items"))
+    part = lambda k: F.regexp_extract("p", r"/(\d+)/(known|unknown)\.json$", k)
+    sides = rows.select(part(1).cast("int").alias("year"), part(2).alias("kind"), "prompt", "phrase", F.col("year").alias("fact_year"), F.coalesce("weight", F.lit(1)).alias("weight"))
+    return checked_benchmarks(sides, years)
+
+
+def parsed_lines(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
+    """JSON lines as (…fields, _state): kept, bad (not JSON; all fields NULL) or blank; no line is lost."""
+    blank = strip(F.coalesce(column, F.lit(""))) == ""
+    row = F.from_json(column, schema, {"mode": "PERMISSIVE"})
+    state = F.when(blank, "blank").when(is_json(F.col(column)), "kept").otherwise("bad")
+    return lines.select(F.when(state == "kept", row).alias("_row"), state.alias("_state")).select("_row.*", "_state")
+
+
+def counted(rows: DataFrame, states: Column, keep: str = "kept", **also: Column) -> tuple[DataFrame, Observation]:
+    """(the rows in state ``keep``, counters of all): scanned, and how many are in each state seen on the way, without a pass of their own.
+
+    The counters are there once an action has run. ``also`` adds aggregates under names of their own.
+    """
+    seen = Observation()
+    of = lambda s: F.count_if(states == s)
+    observed = rows.observe(seen, F.count(F.lit(1)).alias("scanned"), of("kept").alias("kept"), of("bad").alias("bad"), of("blank").alias("blank"), of("skipped").alias("skipped"), *(c.alias(k) for k, c in also.items()))
+    return observed.where(states == keep), seen

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
+from ..session import file_system
+
 
 def round_window(ts: Column) -> Column:
     """Weeks from Monday 12:00 UTC (the epoch was a Thursday)."""
@@ -17,10 +19,11 @@ def round_window(ts: Column) -> Column:
 
 
 def weekly_rounds(events: DataFrame, grace: str | None = None) -> DataFrame:
-    """(round_start, n, n_users, value) per week, batch or stream; ``grace`` is how late a submission may come."""
+    """(round_start, n, n_users, value) per week; a stream, which can't count distinct users exactly, has n_users_estimate. ``grace`` is how late a submission may come."""
     rows = events.withWatermark("ts", grace) if grace else events
-    counted = rows.groupBy(round_window(F.col("ts")).alias("w")).agg(F.count("*").alias("n"), F.approx_count_distinct("user_id").alias("n_users") if rows.isStreaming else F.count_distinct("user_id").alias("n_users"), F.sum("value").alias("value"))
-    return counted.select(F.col("w.start").alias("round_start"), "n", "n_users", "value")
+    users = F.approx_count_distinct("user_id").alias("n_users_estimate") if rows.isStreaming else F.count_distinct("user_id").alias("n_users")
+    counted = rows.groupBy(round_window(F.col("ts")).alias("w")).agg(F.count("*").alias("n"), users, F.sum("value").alias("value"))
+    return counted.select(F.col("w.start").alias("round_start"), *counted.columns[1:])
 
 
 def capped(events: DataFrame, cap: int = 12, key: str = "user_id", ts: str = "ts", tie: str = "event_id") -> DataFrame:
@@ -29,21 +32,28 @@ def capped(events: DataFrame, cap: int = 12, key: str = "user_id", ts: str = "ts
     return events.withColumn("attempt", n).where(F.col("attempt") <= cap)
 
 
-#: Days of counts that a key keeps behind its latest day; what comes later still counts from 1 again.
+#: Days of counts that a key keeps behind its latest day; a row that comes later still is late and rejected.
 KEPT_DAYS = 31
 
 
 def capped_stream(events: DataFrame, cap: int = 12) -> DataFrame:
-    """The same over a stream of (event_id, ts, user_id): counts by day for each key in the state store; rejects are marked, as a client sees them."""
+    """The same over a stream of (event_id, ts, user_id): counts by day for each key in the state store; rejects are marked, as a client sees them.
+
+    A key's rows of one micro-batch are ordered together. Rows of days that the state no longer
+    has are rejected without a number, so the cap can't be passed twice.
+    """
     rows = events.select("event_id", "ts", "user_id", F.unix_date(F.to_date("ts")).alias("day"))
 
     def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         counts = dict(zip(*state.get, strict=True)) if state.exists else {}
-        for b in batches:
-            b = b.sort_values(["ts", "event_id"])
-            attempt = b.groupby("day").cumcount() + 1 + b["day"].map(counts).fillna(0).astype("int64")
-            counts |= attempt.groupby(b["day"]).max().to_dict()
-            yield pd.DataFrame({"event_id": b["event_id"], "user_id": b["user_id"], "attempt": attempt, "accepted": attempt <= cap})
+        b = pd.concat(list(batches)).sort_values(["ts", "event_id"])
+        late = b["day"] < max(counts) - KEPT_DAYS if counts else pd.Series(False, index=b.index)
+        for rows, known in ((b[~late], True), (b[late], False)):
+            if len(rows):
+                attempt = rows.groupby("day").cumcount() + 1 + rows["day"].map(counts).fillna(0).astype("int64")
+                if known:
+                    counts |= attempt.groupby(rows["day"]).max().to_dict()
+                yield pd.DataFrame({"event_id": rows["event_id"], "user_id": rows["user_id"], "attempt": attempt if known else None, "accepted": attempt <= cap if known else False})
         days = sorted(d for d in counts if d >= max(counts) - KEPT_DAYS)
         state.update(([int(d) for d in days], [int(counts[d]) for d in days]))
 
@@ -78,16 +88,24 @@ def running_best(logs: DataFrame, key: str, order: str, loss: str) -> DataFrame:
     return logs.withColumn("best", F.min(loss).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("improved", before.isNull() | (F.col(loss) < before))
 
 
-def once_per_batch(process: Callable[[DataFrame], None], ledger: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that skips batches in the ledger (a Parquet folder), so a replay does nothing twice."""
+def batch_folder(folder: str) -> Callable[[DataFrame, int], None]:
+    """A sink that gives every micro-batch a folder of its own, so that a batch done again replaces what it wrote before."""
+    return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+
+
+def once_per_batch(process: Callable[[DataFrame, int], None], ledger: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that skips batches in the ledger (a Parquet folder).
+
+    A crash between the work and its entry repeats the work, so ``process`` gets the batch's
+    number and must be idempotent by it, as ``batch_folder`` is; then every batch counts once.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
-        there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-        if there and not spark.read.parquet(ledger).where(F.col("batch_id") == batch_id).isEmpty():
+        fs, path = file_system(spark, ledger)
+        if fs.exists(path) and not spark.read.parquet(ledger).where(F.col("batch_id") == batch_id).isEmpty():
             return
-        process(batch)
+        process(batch, batch_id)
         spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(ledger)
 
     return run
@@ -106,3 +124,26 @@ def mixed_stream(rows: DataFrame, docs_per_turn: int) -> DataFrame:
         state.update((n,))
 
     return rows.groupBy("source").applyInPandasWithState(turn, "source string, pos long, kept long, turn long", "n long", "append", GroupStateTimeout.NoTimeout)
+
+
+def settled(samples: DataFrame, seconds: float) -> DataFrame:
+    """A watcher with debounce over a stream of (key, fingerprint, ts): a fingerprint is emitted once, when a sample
+    shows that it has not changed for ``seconds``; one that was the last to be emitted isn't emitted again.
+
+    The state of a key is its current fingerprint, since when, and the last one emitted.
+    """
+
+    def watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now, since, told = state.get if state.exists else (None, 0.0, None)
+        out = []
+        for r in pd.concat(list(batches)).sort_values("ts").itertuples():
+            at = r.ts.timestamp()
+            if r.fingerprint != now:
+                now, since = r.fingerprint, at
+            if at - since >= seconds and now != told:
+                told = now
+                out.append((key[0], now, r.ts))
+        state.update((now, since, told))
+        yield pd.DataFrame(out, columns=["key", "fingerprint", "ts"])
+
+    return samples.groupBy("key").applyInPandasWithState(watch, "key string, fingerprint string, ts timestamp", "now string, since double, told string", "append", GroupStateTimeout.NoTimeout)

@@ -58,10 +58,8 @@ def test_gates_with_a_missing_side(spark):
 
 
 def test_upper_and_lower_median(spark):
-    from almanac.operators.duplicates import lower_median
-
     rows = spark.createDataFrame([(x,) for x in (1.0, 2.0, 3.0, 4.0)], "x double")
-    assert rows.agg(rank.upper_median(F.col("x")), lower_median(F.col("x"))).first()[:] == (3.0, 2.0)
+    assert rows.agg(rank.upper_median("x"), rank.lower_median("x")).first()[:] == (3.0, 2.0)
 
 
 def test_repositories(spark):

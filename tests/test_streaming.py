@@ -48,7 +48,7 @@ def test_mixed_stream_keeps_counting_after_a_restart(spark, tmp_path):
 
 def test_once_per_batch(spark, tmp_path):
     seen = []
-    f = rounds.once_per_batch(lambda b: seen.append(b.count()), str(tmp_path / "ledger"))
+    f = rounds.once_per_batch(lambda b, k: seen.append(b.count()), str(tmp_path / "ledger"))
     for k in (0, 0, 1, 0):
         f(spark.range(3), k)
     assert seen == [3, 3]
