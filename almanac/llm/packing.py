@@ -164,6 +164,8 @@ def encoded(docs: DataFrame, file: str, end_id: int = END_ID) -> DataFrame:
                 ids, first = enc.encode(column.slice(i, j - i), end_id)
                 key = curve_keys(enc.vectors(ids, first[:-1]), b.column(2).slice(i, j - i).to_numpy(zero_copy_only=False))
                 size = enc.dtype.itemsize
+                if first[-1] * size >= 1 << 31:
+                    raise ValueError("a text of 2 GB of token ids or more")
                 blobs = pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((first * size).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays([pa.array(key), b.column(0).slice(i, j - i), pa.array(np.diff(first)), blobs], ["sort_key", "doc_id", "n_tokens", "ids"])
         tx.trim()

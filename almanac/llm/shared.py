@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
-
-def folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder: the one of spark.checkpoint.dir; one of its own only where none is set."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint"))
-    return sc._jsc.sc().getCheckpointDir().get()
+from ..session import file_system, shared_folder
 
 
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept by ``checkpoint()`` in the shared folder."""
-    folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of any file system that Spark reaches."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written whole."""
+    fs, mark = file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(mark)

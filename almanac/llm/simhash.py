@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .shared import cut
+from .sizes import fresh
 
 BUDGET, SHINGLE, SEED = 2, 3, 42
 #: Rotation and length of each trie's top block; BUDGET + 1 blocks make 64 bits.
@@ -31,7 +32,9 @@ TOPS = ((0, 22), (22, 21), (43, 21))
 NODE_LIMIT, STEP, ROUNDS = 20_000, 10, 4
 #: Rows of one task's group of nodes.
 GROUP_ROWS = 100_000
-_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float32)
+#: Texts whose bits are counted at once, 2,048 counters each.
+TEXTS_AT_ONCE = 1024
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
 
 
 def fingerprint_texts(column: pa.Array) -> np.ndarray:
@@ -56,23 +59,24 @@ def fingerprint_texts(column: pa.Array) -> np.ndarray:
         return np.zeros(len(column), np.uint64)
     lanes = np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8)
     key = np.repeat(np.arange(len(column)) * 2048, counts)[:, None] + np.arange(8) * 256 + lanes
-    by_byte = np.bincount(key.ravel(), minlength=len(column) * 2048).reshape(-1, 256).astype(np.float32)
+    by_byte = np.bincount(key.ravel(), minlength=len(column) * 2048).reshape(-1, 256).astype(np.float64)
     ones = (by_byte @ _BITS).reshape(len(column), 64)
     return np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp as a signed long) of every row; a null text has fingerprint 0."""
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    """(doc_id, fp as a signed long, text_key) of every row; a null text has fingerprint 0."""
+    text = docs[text_col].cast("string")
+    rows = docs.select(docs[id_col].alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             column = tx.plain(b.column(1))
-            for i, j in tx.pieces(column, 2 << 20):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(fingerprint_texts(column.slice(i, j - i)).view(np.int64))], ["doc_id", "fp"])
+            for i, j in tx.pieces(column, 2 << 20, TEXTS_AT_ONCE):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(fingerprint_texts(column.slice(i, j - i)).view(np.int64)), b.column(2).slice(i, j - i)], ["doc_id", "fp", "text_key"])
         tx.trim()
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long, text_key long")
 
 
 def trie_pairs(v: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], budget: int = BUDGET, top: int = min(n for _, n in TOPS)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -208,23 +212,37 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", node_limit: int = NODE_LIMIT) -> DataFrame:
+    """(doc_id, fp, text_key, root, component_id) of every row; root names the component."""
+    fps = cut(fingerprints(docs, id_col, text_col))
+    distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+    comp = components(links(distinct.select("fp"), node_limit))
+    rooted = distinct.join(comp, F.col("fp") == F.col("u"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "least_id")
+    ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return fps.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", node_limit: int = NODE_LIMIT) -> DataFrame:
     """(doc_id, fp, component_id) of every row: component_id is the smallest id reachable over links.
 
     A null or blank text has fingerprint 0 and links like any other. A null id is never the
     smallest; a component of null ids alone has a null component_id. Repeated rows share a
-    component. An empty table gives none; other columns are dropped.
+    component, and rows of one id with unlike texts are judged apart. A very long text is a batch
+    of its own. An empty table gives none; other columns are dropped.
     """
-    fps = cut(fingerprints(docs, id_col, text_col))
-    distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    comp = components(links(distinct.select("fp"), node_limit))
-    rooted = distinct.join(comp, F.col("fp") == F.col("u"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "least_id")
-    ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    labels = rooted.join(ids, "root").select("fp", "component_id")
-    return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return labelled(docs, id_col, text_col, node_limit).select("doc_id", "fp", "component_id")
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id. Rows without an id stay; a repeated row stays once."""
-    keep = near_duplicates(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one document of each component: the one with the smallest id, of equal ids the one with the smaller text hash.
+
+    Null, empty and very long texts link by their fingerprints like any other. Rows without an id
+    stay; a repeated row stays once. Two rows of one id and unlike texts are two documents. An
+    empty table gives none; other columns stay as they are, whatever their names.
+    """
+    own, of_id, of_key = (fresh(docs, x) for x in ("_text_key", "_of_id", "_of_key"))
+    first = labelled(docs, id_col, text_col).where("doc_id IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    keep = first.select(F.col("first.doc_id").alias(of_id), F.col("first.text_key").alias(of_key))
+    known = docs.where(F.col(id_col).isNotNull()).withColumn(own, F.xxhash64(F.col(text_col).cast("string")))
+    kept = known.join(keep, (F.col(id_col) == F.col(of_id)) & (F.col(own) == F.col(of_key)), "left_semi").dropDuplicates([id_col, own])
+    return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

@@ -83,15 +83,15 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def pieces(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``most`` bytes each (a longer text stands alone), for bounded temporaries."""
+def pieces(column: pa.Array, most: int, rows: int = 1 << 16) -> Iterator[tuple[int, int]]:
+    """Ranges of at most so many rows and about ``most`` bytes each (a longer text stands alone), for bounded temporaries."""
     n = len(column)
     if not n:
         return
     _, at = raw(column)
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
+        j = max(i + 1, min(i + rows, int(np.searchsorted(at, at[i] + most, "right")) - 1))
         yield i, j
         i = j
 
