@@ -9,14 +9,17 @@ pairs are verified by exact shingle containment.
 
 A window and a template can only agree in a band if the shingle with the template's least
 hash is in the window. So only windows around such shingles are built; this leaves out no
-pair that any band would retrieve. The gate is one literal, a table of bytes that a shingle's
-low bits address; shingles that share a cell with a gated one only build a window too many.
+pair that any band would retrieve. The gate is a hash table in two literals: a shingle's low
+bits address a byte, which sends nearly all others away, then a bucket of whole hashes.
 
 Notices of fewer than SHINGLE words are one shingle of their own length and are compared exactly.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +28,8 @@ from .quality import let
 SHINGLE, CONTAINED, BANDS = 5, 0.8, 32
 #: Templates up to which their band table is broadcast (BANDS rows of about 50 bytes each).
 BROADCAST_TEMPLATES = 10_000
-#: The gate has this many cells for each of its shingles, and at most GATE_MOST (bytes) in all.
-GATE_CELLS, GATE_MOST = 64, 4 << 20
+#: Bytes of the gate's first table for each of its shingles.
+GATE_CELLS = 16
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Notices, grants and (-text) whole texts of public licenses, by name.
@@ -99,6 +102,26 @@ def band_keys(shingles: Column, bands: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda j: F.xxhash64(j, F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, j)))))
 
 
+def gate(entries: dict[int, set[int]]) -> Callable[[Column], Column]:
+    """A function from a shingle's hash to the bits of the size classes that it is gated for, NULL for any other shingle."""
+    n = max(16, 1 << (len(entries) - 1).bit_length()) if entries else 16
+    few, buckets = bytearray(n * GATE_CELLS), [[] for _ in range(n)]
+    for x in sorted(entries):
+        few[x & (len(few) - 1)] = 1
+        buckets[x & (n - 1)].append((x, sum(1 << k for k in entries[x])))
+    deep = max(map(len, buckets))
+    slots = [y for x in buckets for y in [*x, *[(None, None)] * (deep - len(x))]]
+    keys, masks = (F.from_json(F.lit(json.dumps([y[k] for y in slots])), kind) for k, kind in ((0, "array<bigint>"), (1, "array<int>")))
+    first = F.lit(bytes(few))
+
+    def of(h: Column) -> Column:
+        at = h.bitwiseAND(F.lit(n - 1)).cast("int") * deep
+        found = F.coalesce(*(F.when(F.get(keys, at + j) == h, F.get(masks, at + j)) for j in range(deep)))
+        return F.when(F.substring(first, h.bitwiseAND(F.lit(len(few) - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01"), found)
+
+    return of
+
+
 def _table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     rows = F.array(*(F.struct(F.lit(n).alias("license_id"), F.lit(t).alias("template")) for n, t in templates))
     return spark.range(1).select(F.inline(rows)).withColumn("set", F.array_distinct(shingles_of(words_of(F.col("template")))))
@@ -153,28 +176,20 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containe
         raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
     size_of = {r.license_id: 1 << (r.n - 1).bit_length() for r in known}
     sizes = sorted(set(size_of.values()))
-    least_of_all = {x for r in known for x in r.least}
-    cells = min(GATE_MOST, 1 << (GATE_CELLS * len(least_of_all)).bit_length())
-    table_of = bytearray(cells)
-    for x in least_of_all:
-        table_of[x & (cells - 1)] = 1
-    gate = F.lit(bytes(table_of))
-
-    def gated(h: Column) -> Column:
-        return F.substring(gate, h.bitwiseAND(F.lit(cells - 1)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
-
+    gated = gate({x: {sizes.index(size_of[r.license_id]) for r in known if x in r.least} for x in {x for r in known for x in r.least}})
 
     text = F.col(text_col).cast("string")
     hashed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), words_of(text).alias("words")).withColumn("sh", shingles_of(F.col("words")))
-    at = let(F.col("sh"), lambda sh: F.filter(F.transform(sh, lambda h, i: F.when(gated(h), i)), lambda i: i.isNotNull()))
+    at = let(F.col("sh"), lambda sh: F.filter(F.transform(sh, lambda h, i: F.struct(i.alias("pos"), gated(h).alias("of"))), lambda x: x["of"].isNotNull()))
     held = hashed.withColumn("at", at).where(F.size("at") > 0)
 
-    def begins(size: int) -> Column:
-        """Begins of the windows of one class that hold a gated shingle."""
-        of = F.flatten(F.transform("at", lambda p: F.array(F.floor(p / size).cast("int"), F.greatest(F.floor(p / size).cast("int") - 1, F.lit(0)))))
+    def begins(k: int, size: int) -> Column:
+        """Begins of the windows of one class that hold a shingle gated for it."""
+        own = F.filter("at", lambda x: x["of"].bitwiseAND(F.lit(1 << k)) != 0)
+        of = F.flatten(F.transform(own, lambda x: F.array(F.floor(x["pos"] / size).cast("int"), F.greatest(F.floor(x["pos"] / size).cast("int") - 1, F.lit(0)))))
         return F.transform(F.array_distinct(of), lambda w: F.struct(F.lit(size).alias("size"), (w * size).alias("begin")))
 
-    each = held.select("doc_id", "text_key", "words", "sh", F.inline(F.flatten(F.array(*map(begins, sizes)))))
+    each = held.select("doc_id", "text_key", "words", "sh", F.inline(F.flatten(F.array(*(begins(k, x) for k, x in enumerate(sizes))))))
     windows = each.select("doc_id", "text_key", "size", "begin", F.slice("sh", F.col("begin") + 1, 2 * F.col("size")).alias("sh"), F.slice("words", F.col("begin") + 1, 2 * F.col("size") + (SHINGLE - 1)).alias("words"))
     keyed = windows.select("doc_id", "text_key", "size", "begin", "words", F.explode(F.array_distinct(band_keys(F.col("sh"), bands))).alias("key"))
 

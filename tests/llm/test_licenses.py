@@ -79,3 +79,15 @@ def test_short_notices(spark, sf, docs, odd):
     table = spark.read.parquet(f"{sf}/documents.parquet")
     planted = {r.doc_id for r in table.collect() if "All rights reserved." in (r.text or "")}
     assert {r.doc_id for r in queries.op5_license_scan(spark, sf).collect() if r.license_id == "all-rights-reserved"} == planted and planted
+
+
+def test_gate_is_exact(spark):
+    import random
+
+    rnd = random.Random(4)
+    entries = {rnd.randrange(-(2**63), 2**63): {k, (k * 7) % 5} for k in range(5) for _ in range(90)}
+    others = [x ^ 1 << rnd.randrange(63) for x in entries] + [0, -1]
+    for some in (entries, dict(list(entries.items())[:1])):
+        of = licenses.gate(some)
+        got = {r.h: r.m for r in spark.createDataFrame([(h,) for h in {*some, *others}], "h long").select("h", of(licenses.F.col("h")).alias("m")).collect()}
+        assert got == {h: sum(1 << k for k in some[h]) if h in some else None for h in got}
