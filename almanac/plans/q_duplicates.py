@@ -77,10 +77,11 @@ def keep_first_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy("text").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
 
 
-@query()
+@query("""WITH m AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+g AS (SELECT vec_id, list_sum(list_transform(range(8), lambda k: v[k * 8 + i + 1] * v[k * 8 + j + 1])) AS x FROM m, range(8) AS a(i), range(8) AS b(j))
+SELECT vec_id, round(list_sum(list_transform(v, lambda x: x * x)), 4) AS squares, round(f, 3) AS fourth_powers, CAST(8 AS INTEGER) AS n FROM m JOIN (SELECT vec_id, sum(x * x) AS f FROM g GROUP BY vec_id) USING (vec_id)""")
 def singular_values(spark, sf_dir):
-    """Spectra of the vectors as 8 by 8 matrices, in Arrow batches."""
+    """Spectra of the vectors as 8 by 8 matrices M, in Arrow batches: their squares sum up to the trace of M'M, their fourth powers to that of its square."""
     v = table(spark, sf_dir, "embeddings").select("vec_id", vectors.singular_values(F.col("embedding"), 8).alias("s"))
-    return v.select("vec_id", F.round(F.get("s", 0), 4).alias("largest"), F.size("s").alias("n"))
-
-
+    power = lambda k: F.reduce("s", F.lit(0.0), lambda a, x: a + F.pow(x, F.lit(k)))
+    return v.select("vec_id", F.round(power(2), 4).alias("squares"), F.round(power(4), 3).alias("fourth_powers"), F.size("s").alias("n"))
