@@ -75,3 +75,13 @@ def stable_seed(seed: Column, name: Column, cycle: Column) -> Column:
 def uniform(*key: Column) -> Column:
     """A number in [0, 1) that a key decides: the first 32 bits of its md5."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *(k.cast("string") for k in key)).cast("binary")), 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+
+def drawn_swap(*key: Column) -> Column:
+    """Whether a pair is shown in swapped order: odds of one half, drawn by its key."""
+    return uniform(F.lit("swap"), *key) < 0.5
+
+
+def drawn_year(first: int, n: int, *key: Column) -> Column:
+    """One of ``n`` years from ``first`` on, drawn by a key."""
+    return (first + F.floor(uniform(F.lit("year"), *key) * n)).cast("int")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .fixed import FIRST_YEAR, LAST_YEAR
 
@@ -58,3 +59,16 @@ def stored_bytes(name: Column, numel: Column) -> Column:
 def is_local_path(model: Column) -> Column:
     """Whether a model's name looks like a path: absolute, relative with dots, home, a drive, back slashes, or more than one slash."""
     return model.rlike(r"^[/.~]|^[A-Za-z]:|\\") | (F.length(model) - F.length(F.replace(model, F.lit("/"), F.lit(""))) > 1)
+
+
+def dotted(json: Column, path: str) -> Column:
+    """The field of a JSON object by a path with dots; a key that is literally so named wins."""
+    return F.coalesce(F.get_json_object(json, f"$['{path}']"), F.get_json_object(json, f"$.{path}"))
+
+
+def first_free(used: DataFrame, prefix: str = "prefix", number: str = "k") -> DataFrame:
+    """(prefix, free): the first number from 0 on that no name of a prefix uses. The gaps come from neighbours in number order."""
+    w = Window.partitionBy(prefix).orderBy(number)
+    gaps = used.select(prefix, number).distinct().withColumn("_next", F.coalesce(F.lead(number).over(w), F.lit((1 << 31) - 1))).where(F.col("_next") > F.col(number) + 1)
+    least = used.groupBy(prefix).agg(F.min(number).alias("_least")).join(gaps.groupBy(prefix).agg(F.min(F.col(number) + 1).alias("_free")), prefix)
+    return least.select(prefix, F.when(F.col("_least") > 0, 0).otherwise(F.col("_free")).cast("int").alias("free"))

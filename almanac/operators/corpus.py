@@ -177,3 +177,65 @@ def pack_blocks(tokens: DataFrame, block: int, order: str = "doc_id", eos: int =
     part = cut.select("block_id", F.struct((F.col("offset") + begin).alias("at"), F.slice("ids", (begin + 1).cast("int"), (end - begin).cast("int")).alias("ids")).alias("p"))
     blocks = part.groupBy("block_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["ids"])).alias("input_ids"))
     return blocks.where(F.size("input_ids") == block)
+
+
+#: What a scan's state looks like; a state of another version is refused.
+SCAN_VERSION = 1
+
+
+def scan_state(seed: int = 42) -> dict:
+    """The state of a scan that hasn't begun: a few numbers, to be kept as JSON beside the consumer's own checkpoint."""
+    return {"version": SCAN_VERSION, "seed": seed, "next_turn": 0, "turns": {}}
+
+
+def weighted_scan(rows: DataFrame, weights: DataFrame, n_turns: int, docs_per_turn: int, state: dict | None = None, source: str = "source", key: str = "id", keep: Column | None = None) -> tuple[DataFrame, dict]:
+    """(the rows of the next turns with turn, place, cycle; the state behind them): an endless weighted scan, cut where the caller likes.
+
+    Every turn draws a source by its weight and takes its next ``docs_per_turn`` rows; a source
+    that runs out begins its next cycle, and each cycle has a seeded order of its own. ``keep``
+    filters rows before they count. Two scans that follow one another by their state give the
+    rows of one long scan. The turns and the sources are few; rows are numbered by ranges.
+    """
+    state = state or scan_state()
+    if state.get("version") != SCAN_VERSION:
+        raise ValueError(f"a scan state of version {state.get('version')}, not {SCAN_VERSION}")
+    spark, first, seed = rows.sparkSession, state["next_turn"], state["seed"]
+    kept = rows.where(keep) if keep is not None else rows
+    sizes = {r[0]: r[1] for r in kept.groupBy(source).count().collect()}
+    living = weights.where(F.col(source).isin(list(sizes)))
+    drawn = pick_source(spark.range(first, first + n_turns).withColumnRenamed("id", "turn"), living, F.col("turn"), source, seed=seed)
+    before = spark.createDataFrame([(s, int(n)) for s, n in state["turns"].items()], "picked string, done long")
+    mine = F.row_number().over(Window.partitionBy("picked").orderBy("turn")) - 1
+    turns_ = drawn.withColumn("nth", mine).join(F.broadcast(before), "picked", "left").withColumn("nth", (F.col("nth") + F.coalesce("done", F.lit(0))).cast("long")).drop("done")
+    counts = {r.picked: r.n for r in turns_.groupBy("picked").agg(F.max("nth").alias("n")).collect()}
+    size = spark.createDataFrame([(s, int(n)) for s, n in sizes.items()], "picked string, size long")
+    slot = turns_.join(F.broadcast(size), "picked").withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(docs_per_turn - 1)))).withColumn("index", F.col("nth") * docs_per_turn + F.col("slot"))
+    wanted = slot.select(F.col("picked").alias(source), "turn", (F.col("turn") * docs_per_turn + F.col("slot")).alias("place"), F.floor(F.col("index") / F.col("size")).cast("long").alias("cycle"), (F.col("index") % F.col("size")).alias("pos"))
+    cycles = wanted.select(source, "cycle").distinct()  # few: the turns bound them
+    shuffled_rows = seeded_shuffle(kept.join(F.broadcast(cycles), source), source, "cycle", key, seed)
+    out = wanted.join(shuffled_rows, [source, "cycle", "pos"]).drop("pos")
+    done = {**state["turns"], **{s: n + 1 for s, n in counts.items()}}
+    return out.select(*rows.columns, "turn", "place", "cycle"), {**state, "next_turn": first + n_turns, "turns": done}
+
+
+def within(rows: DataFrame, column: str, values: list) -> DataFrame:
+    """Rows of an allow-list, a broadcast semi-join (the list is the caller's own)."""
+    listed = rows.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` {rows.schema[column].dataType.simpleString()}")
+    return rows.join(F.broadcast(listed), column, "left_semi")
+
+
+def over_limits(limits: dict[str, float]) -> Column:
+    """Whether any column lies beyond (not at) its limit."""
+    over = F.lit(False)
+    for c, most in limits.items():
+        over = over | (F.col(c) > most)
+    return over
+
+
+def first_found(keys: DataFrame, key: str, value: str, *tables: DataFrame) -> DataFrame:
+    """``keys`` with the value of the first table that has one: the preferred file, else the next."""
+    names = []
+    for k, t in enumerate(tables):
+        names.append(f"_v{k}")
+        keys = keys.join(t.select(key, F.col(value).alias(names[-1])), key, "left")
+    return keys.withColumn(value, F.coalesce(*names)).drop(*names)

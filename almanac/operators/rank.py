@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.dates import uniform
+from ..functions.dates import drawn_swap
 from ..functions.fixed import DEFAULTS
 from ..functions.vectors import log_softmax
 from .order import numbered
@@ -119,8 +119,7 @@ def duel_inputs(completions: DataFrame, duels: DataFrame, prompts: DataFrame) ->
     a = completions.select(F.col("uid").alias("uid_a"), "year", "prompt_idx", F.col("text").alias("_a"))
     b = completions.select(F.col("uid").alias("uid_b"), "year", "prompt_idx", F.col("text").alias("_b"))
     both = duels.join(a, "uid_a").join(b, ["uid_b", "year", "prompt_idx"]).join(prompts, ["year", "prompt_idx"])
-    swap = uniform(F.lit("swap"), F.col("uid_a"), F.col("uid_b"), F.col("year"), F.col("prompt_idx")) < 0.5
-    shown = both.withColumn("swap", swap)
+    shown = both.withColumn("swap", drawn_swap(*map(F.col, ("uid_a", "uid_b", "year", "prompt_idx"))))
     return shown.select("uid_a", "uid_b", "year", "prompt_idx", "prompt", "swap", F.when(F.col("swap"), F.col("_b")).otherwise(F.col("_a")).alias("first"), F.when(F.col("swap"), F.col("_a")).otherwise(F.col("_b")).alias("second"))
 
 
@@ -194,3 +193,14 @@ def delete_after_last(table: DataFrame, uid: int, time: str = "evaluated_at") ->
     """Without rows later than the last one of ``uid`` (none goes where it has no row)."""
     last = table.where(F.col("uid") == uid).agg(F.max(time).alias("_last"))
     return table.join(F.broadcast(last), F.col(time) > F.col("_last"), "left_anti")
+
+
+def active(turns: DataFrame, player: str, answered: Column) -> DataFrame:
+    """(player, active): whether a player has any turn that counts as an answer."""
+    return turns.groupBy(player).agg(F.coalesce(F.bool_or(answered), F.lit(False)).alias("active"))
+
+
+def with_category(verdicts: DataFrame, prompts: DataFrame, keys: tuple[str, ...] = ("prompt_idx",)) -> DataFrame:
+    """``verdicts`` with the category of their prompt, unknown where it has none."""
+    named = prompts.select(*keys, F.coalesce(F.nullif(F.trim("category"), F.lit("")), F.lit("unknown")).alias("_c"))
+    return verdicts.join(named, list(keys), "left").withColumn("category", F.coalesce("_c", F.lit("unknown"))).drop("_c")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import dates
+from ..functions import dates, names
 from ..functions.fixed import SKILLS
 from ..operators import bpe, corpus
 from ..session import spread, table
@@ -176,11 +176,13 @@ def union_sources(spark, sf_dir):
     return d.unionByName(b, allowMissingColumns=True)
 
 
-@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, coalesce(json_extract_string(props, '$.meta.k'), 'none') AS nested FROM events""")
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN event_id % 3 = 0 THEN 'literal ' || event_type WHEN event_id % 3 = 1 THEN 'nested ' || event_type ELSE 'none' END AS nested FROM events""")
 def nested_fields(spark, sf_dir):
-    """Field access by dotted path over JSON rows."""
+    """Field access by dotted path over JSON rows; a key with a dot in its name comes before the path."""
     e = table(spark, sf_dir, "events")
-    return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.coalesce(F.get_json_object("props", "$.meta.k"), F.lit("none")).alias("nested"))
+    inner = F.when(F.col("event_id") % 3 < 2, F.to_json(F.struct(F.concat(F.lit("nested "), F.col("event_type")).alias("k"))))
+    row = F.concat(F.lit("{"), F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('"meta.k": "literal '), F.col("event_type"), F.lit('", '))).otherwise(""), F.lit('"meta": '), F.coalesce(inner, F.lit("{}")), F.lit("}"))
+    return e.select("event_id", names.dotted(F.col("props"), "k").cast("long").alias("k"), F.coalesce(names.dotted(row, "meta.k"), F.lit("none")).alias("nested"))
 
 
 _HITS = ", ".join(f"{' + '.join(f'CAST(regexp_matches(blob, $$(?is){p}$$) AS INTEGER)' for p in ps)} AS {n}" for n, ps in SKILLS)

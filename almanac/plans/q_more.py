@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, names
 from ..functions.fixed import DEFAULTS
+from ..operators import corpus, rank
 from ..session import table
 from . import build
 from .registry import query
@@ -15,8 +16,8 @@ from .views import view
 @query("SELECT p_partkey, p_retailprice > 1500 OR p_size > 40 AS too_large FROM part WHERE p_size IN (1, 5, 9, 41, 45, 50)")
 def size_limits(spark, sf_dir):
     """Limits that fail beyond (not at) their value, over an allow-list of rows."""
-    allowed = F.broadcast(spark.createDataFrame([(k,) for k in (1, 5, 9, 41, 45, 50)], "p_size int"))
-    return table(spark, sf_dir, "part").join(allowed, "p_size", "left_semi").select("p_partkey", ((F.col("p_retailprice") > 1500) | (F.col("p_size") > 40)).alias("too_large"))
+    allowed = corpus.within(table(spark, sf_dir, "part"), "p_size", [1, 5, 9, 41, 45, 50])
+    return allowed.select("p_partkey", corpus.over_limits({"p_retailprice": 1500, "p_size": 40}).alias("too_large"))
 
 
 @query("""SELECT s_suppkey, coalesce(a.v, b.v) AS found FROM supplier LEFT JOIN (SELECT c_custkey AS k, 'first ' || c_name AS v FROM customer WHERE c_custkey % 2 = 0) a ON a.k = s_suppkey
@@ -24,8 +25,8 @@ LEFT JOIN (SELECT c_custkey AS k, 'second ' || c_name AS v FROM customer WHERE c
 def fallback_lookup(spark, sf_dir):
     """The preferred file of a submission, else the other one."""
     c = table(spark, sf_dir, "customer")
-    side = lambda m, label: c.where(F.col("c_custkey") % m == 0).select(F.col("c_custkey").alias("s_suppkey"), F.concat(F.lit(label), F.col("c_name")).alias(label.strip()))
-    return table(spark, sf_dir, "supplier").join(side(2, "first "), "s_suppkey", "left").join(side(3, "second "), "s_suppkey", "left").select("s_suppkey", F.coalesce("first", "second").alias("found"))
+    side = lambda m, label: c.where(F.col("c_custkey") % m == 0).select(F.col("c_custkey").alias("s_suppkey"), F.concat(F.lit(label), F.col("c_name")).alias("found"))
+    return corpus.first_found(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey", "found", side(2, "first "), side(3, "second "))
 
 
 @query("SELECT count(*) AS scanned, count(*) FILTER (length(text) >= 500) AS kept, count(*) FILTER (length(text) < 500) AS skipped, count(*) FILTER (text IS NULL) AS bad FROM documents")
@@ -53,7 +54,7 @@ CAST(2014 + floor(('0x' || substr(md5('year|' || CAST(user_id AS STRING)), 1, 8)
 def draws(spark, sf_dir):
     """Position swaps with odds of one half, and a second evaluation year, both drawn by hashes of their keys."""
     e = table(spark, sf_dir, "events")
-    return e.select("event_id", (dates.uniform(F.lit("swap"), F.col("user_id"), F.col("event_id")) < 0.5).alias("swap"), (2014 + F.floor(dates.uniform(F.lit("year"), F.col("user_id")) * 11)).cast("int").alias("year"))
+    return e.select("event_id", dates.drawn_swap(F.col("user_id"), F.col("event_id")).alias("swap"), dates.drawn_year(2014, 11, F.col("user_id")).alias("year"))
 
 
 @query("SELECT event_id, user_id AS step, event_type AS best FROM events")
@@ -102,7 +103,7 @@ def start_offset(spark, sf_dir):
 @query("SELECT conv_id, CAST(count(*) FILTER (role = 'assistant' AND text <> '') AS BIGINT) > 0 AS active FROM conversations GROUP BY conv_id")
 def active_players(spark, sf_dir):
     """Players with at least one completion that isn't empty."""
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.coalesce(F.bool_or((F.col("role") == "assistant") & (F.col("text") != "")), F.lit(False)).alias("active"))
+    return rank.active(table(spark, sf_dir, "conversations"), "conv_id", (F.col("role") == "assistant") & (F.col("text") != ""))
 
 
 @query("""WITH y AS (SELECT unnest(range(2013, 2025)) AS year), u AS (SELECT DISTINCT uid FROM submissions), s AS (SELECT uid, year, max(value) AS v FROM submissions GROUP BY ALL)

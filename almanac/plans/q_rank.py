@@ -253,6 +253,4 @@ SELECT prefix, CAST(min(r.k) AS INTEGER) AS free FROM r ANTI JOIN used USING (pr
 def next_free_name(spark, sf_dir):
     """The first number that no name of a prefix uses: a gap between neighbours, or one past the end."""
     used = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("prefix"), names.number_after(F.col("c_name"), "Customer#").alias("k")).distinct()
-    w = Window.partitionBy("prefix").orderBy("k")
-    gap = used.withColumn("next", F.coalesce(F.lead("k").over(w), F.lit(1 << 30))).where(F.col("next") > F.col("k") + 1).groupBy("prefix").agg(F.min(F.col("k") + 1).alias("free"))
-    return used.groupBy("prefix").agg(F.min("k").alias("m")).join(gap, "prefix").select("prefix", F.when(F.col("m") > 0, 0).otherwise(F.col("free")).cast("int").alias("free"))
+    return names.first_free(used)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -169,3 +170,30 @@ SELECT printf('%-24s %4d %12d %12d %6d', category, count(*), count(*) FILTER (x
 def category_report(spark, sf_dir):
     """Lines of the duel report by category."""
     return sinks.category_report(rank.tally(view(spark, sf_dir, "verdicts"), ["category"]))
+
+
+_SCAN = """r AS (SELECT doc_id, source FROM documents WHERE n_chars >= 300), sz AS (SELECT source, count(*) AS size FROM r GROUP BY source),
+w AS (SELECT source, CASE source WHEN 'src1' THEN 3.0 WHEN 'src2' THEN 0.0 ELSE 1.0 END AS weight FROM sz), p AS (SELECT * FROM w WHERE weight > 0),
+c AS (SELECT source, sum(weight) OVER (ORDER BY source) / sum(weight) OVER () AS hi, (sum(weight) OVER (ORDER BY source) - weight) / sum(weight) OVER () AS lo FROM p),
+u AS (SELECT turn, ('0x' || substr(md5('42|' || CAST(turn AS STRING)), 1, 8))::UBIGINT / 4294967296.0 AS u FROM range(80) AS t(turn)),
+d AS (SELECT turn, source, row_number() OVER (PARTITION BY source ORDER BY turn) - 1 AS nth FROM u JOIN c ON u >= lo AND u < hi),
+x AS (SELECT turn, source, turn * 16 + slot AS place, (nth * 16 + slot) // size AS cycle, (nth * 16 + slot) % size AS pos FROM d JOIN sz USING (source), range(16) AS k(slot)),
+n AS (SELECT doc_id, source, cycle, row_number() OVER (PARTITION BY source, cycle ORDER BY md5(CAST(CAST(('0x' || substr(sha256('42|' || source || '|' || CAST(cycle AS STRING)), 9, 8))::UBIGINT & 2147483647 AS BIGINT) AS STRING) || '|' || CAST(doc_id AS STRING)), doc_id) - 1 AS pos
+    FROM r JOIN (SELECT DISTINCT source, cycle FROM x) USING (source))"""
+
+
+@query(f"WITH {_SCAN} SELECT doc_id, source, turn, place, CAST(cycle AS BIGINT) AS cycle FROM x JOIN n USING (source, cycle, pos)")
+def weighted_scan(spark, sf_dir):
+    """Eighty turns of a filtered weighted scan, stopped and resumed by its state after thirty."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    w = d.select("source").distinct().withColumn("weight", F.when(F.col("source") == "src1", 3.0).when(F.col("source") == "src2", 0.0).otherwise(1.0))
+    first, state = corpus.weighted_scan(d, w, 30, 16, key="doc_id", keep=F.col("n_chars") >= 300)
+    rest, _ = corpus.weighted_scan(d, w, 50, 16, json.loads(json.dumps(state)), key="doc_id", keep=F.col("n_chars") >= 300)
+    return first.unionByName(rest).select("doc_id", "source", "turn", "place", "cycle")
+
+
+@query("""SELECT uid, '{"year":' || year || ',"kind":"' || kind || '","items":' || count(*) || ',"weight":' || sum(weight) || '}' AS result FROM probe_scores GROUP BY uid, year, kind""", ("probe_scores",))
+def result_json(spark, sf_dir):
+    """A round's results as one JSON object a row."""
+    g = view(spark, sf_dir, "probe_scores").groupBy("uid", "year", "kind").agg(F.count("*").alias("items"), F.sum("weight").alias("weight"))
+    return sinks.as_result(g, "uid")
