@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .core import any_of, capital, first_of_each, let, non_blank, squeeze, strip, strip_chars
-from .fixed import AGENCIES, CHROME_INLINE, CHROME_PREFIXES, EVENT_CUES, MONTHS, NAV_WORDS
+from .fixed import CHROME_INLINE, CHROME_PREFIXES, DATE_LEAD, DATELINE, DATELINE_AGENCY, EVENT_CUES, MONTHS, NAV_WORDS
 
 _MONTH, _YEAR = any_of(MONTHS), "(?:19|20)[0-9]{2}"
 CHROME = f"(?iuU)^{any_of(CHROME_PREFIXES)}"
@@ -65,12 +65,12 @@ def dated_claims(text: Column, year: Column, most: int = 24) -> Column:
 
 
 def strip_dateline(sentence: Column) -> Column:
-    agency = F.regexp_replace(sentence, rf"(?U)^[A-Z][A-Z .,'/-]{{1,40}}\({any_of(AGENCIES)}\)\s*[—\-–:]\s*", "")
-    return strip(F.regexp_replace(agency, r"(?U)^[A-Z][A-Z .,'/-]{1,32}\s*[—\-–:]\s*", ""))
+    agency = F.regexp_replace(sentence, f"(?U){DATELINE_AGENCY}", "")
+    return strip(F.regexp_replace(agency, f"(?U){DATELINE}", ""))
 
 
 def _without_dates(s: Column) -> Column:
-    lead = r"(?iuU)\bin\s+(?:early|late|mid-?)?\s*"
+    lead = f"(?iuU){DATE_LEAD}"
     for pattern in (f"{lead}{_MONTH}\\s+{_YEAR}\\b,?", f"{lead}{_YEAR}\\b,?", f"(?U)[,;]\\s*{_YEAR}\\b", f"\\({_YEAR}\\)"):
         s = F.regexp_replace(s, pattern, " ")
     return strip_chars(squeeze(s), " ,;.\\-")

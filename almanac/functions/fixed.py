@@ -69,14 +69,52 @@ SKILLS = [
     ("paraphrase_detection", [r"\b(in other words|that is to say|equivalently|same meaning|paraphrase)\b", r"\b(restated|rewritten|means the same)\b"]),
     ("word_sense", [r"\b(means|sense of|ambiguous|homonym|definition|polysem)\b", r"\b(depending on context|could mean|word sense)\b"]),
 ]
+# Fixed value: so many characters of a text are looked at.
 SKILL_CHARS = 5000
 
 # Words a person's name can't begin with, and last words of an organisation's name.
 NAME_STOP = ["The", "This", "That", "In", "On", "A", "An", "And", "But", "For", "With", "From", "After", "Before", "According", *WEEKDAYS, *MONTHS]
 ORG_WORDS = ["Ministry", "Department", "Bank", "University", "Party", "Council", "Commission", "Agency", "Authority", "Force", "Army", "Court", "Union", "Federation"]
+# Verbs of a meeting and of a victory.
 MEET_VERBS = ["met", "meets", "meeting", "spoke with", "talked with", "visited"]
 WIN_VERBS = ["won", "wins", "defeated", "beat"]
 
+# A capitalised name, and patterns of what a text names (the engine's flags stand in front where they are used).
+NAME = r"[A-Z][a-z]+"
+PERSON = rf"\b({NAME}(?:\s+{NAME}){{1,3}})\b"
+ORG = r"\b((?:[A-Z][A-Za-z]+(?:\s+[A-Z][A-Za-z]+){0,4})\s+(?:" + "|".join(ORG_WORDS) + r"))\b"
+PLACE = rf"\b(?:in|at|near|from|to)\s+({NAME}(?:\s+{NAME}){{0,2}})\b"
+MEET = rf"\b({NAME}(?:\s+{NAME}){{0,3}})\s+(?:{'|'.join(MEET_VERBS)})\s+({NAME}(?:\s+{NAME}){{0,5}})\b"
+WIN = r"\b([A-Z][A-Za-z0-9]+(?:\s+[A-Z][A-Za-z0-9]+){0,4})\s+(?:" + "|".join(WIN_VERBS) + r")\b"
+HOST = r"\b(?:hosted by|host(?:ed|s)?(?:\s+by)?)\s+([A-Z][A-Za-z]+(?:\s+[A-Z][A-Za-z]+){0,3})\b"
+
+# Datelines, with an agency and without, and the words in front of a date inside a sentence.
+DATELINE_AGENCY = r"^[A-Z][A-Z .,'/-]{1,40}\((?:" + "|".join(AGENCIES) + r")\)\s*[—\-–:]\s*"
+DATELINE = r"^[A-Z][A-Z .,'/-]{1,32}\s*[—\-–:]\s*"
+DATE_LEAD = r"\bin\s+(?:early|late|mid-?)?\s*"
+
+# Questions about a record; {0} is the name or year asked about.
+QUESTIONS = {
+    "meet": "Who did {0} meet?",
+    "host": "Who hosted the event described?",
+    "win": "Who won according to the report?",
+    "alongside": "Who is mentioned alongside {0}?",
+    "main_person": "Who is a main person in this {0} report?",
+    "central_figure": "Who is a central figure in this {0} report?",
+    "organization": "Which organization is named in this report?",
+    "happened": "What happened in {0} according to the report?",
+    "what": "What happened in {0}?",
+    "when": "When did this take place?",
+    "where": "Where is this event associated with?",
+}
+# Phrases of the other styles.
+BLANK = "_____"
+TEMPORAL_DATED = "This event is dated {0} ({1} {2}). {3}"
+TEMPORAL_YEAR = "In {0}, the following took place: {1}"
+INSTRUCTION = "Read the context and answer the question.\nContext: {0}\nQuestion: {1}\nAnswer: {2}"
+SEQUENCE = "Sequence: {0} Temporal cue indicates an after/following relationship in the source."
+FILL_IN = "Fill in the blank: {0}\nAnswer: {1}"
+
 # The order of an enriched record's styles, and of single-style documents.
 STYLE_ORDER = [
     "fact", "qa", "question", "answer", "temporal", "context", "who_question", "who_answer", "what_question", "what_answer", "when_question", "when_answer",
@@ -94,6 +132,6 @@ FIRST_YEAR, LAST_YEAR = 2013, 2024
 # Thresholds of the near-duplicate tests.
 SPECTRUM_DISTANCE, SPECTRUM_TOP, WEIGHT_COSINE, OUTPUT_KL = 0.001, 0.25, 0.95, 1.0
 
-#: Two sets of thresholds: what the code falls back to, and the published settings.
+# Two sets of thresholds, what the code falls back to and the published settings.
 DEFAULTS = {"leak_epsilon": -11.51, "leak_threshold": 0.1, "known_threshold": 0.7, "known_cutoff_weight": 5, "min_eval_score": -3.0, "best_score": -6.0, "top_n_for_quality": 10, "leak_weight": 0.7, "quality_weight": 0.3, "emission_pct": 1.0, "owner_uid": 0, "top_paid": 10, "empty_median": -20.0}
 PUBLISHED = {**DEFAULTS, "top_n_for_quality": 30, "leak_weight": 0.0, "quality_weight": 1.0}

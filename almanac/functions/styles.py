@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .claims import dedup_key, sentences
-from .core import any_of, first_of_each, let, squeeze, strip, strip_chars
+from . import fixed
+from .core import first_of_each, let, squeeze, strip, strip_chars
 from .dates import timestamp_parts
-from .fixed import MEET_VERBS, MONTHS, NAME_STOP, ORG_WORDS, STYLE_DOCUMENTS, STYLE_ORDER, WEEKDAYS, WIN_VERBS
+from .fixed import BLANK, MONTHS, NAME_STOP, QUESTIONS, STYLE_DOCUMENTS, STYLE_ORDER, WEEKDAYS
 
-_NAME = r"[A-Z][a-z]+"
 LED = f"(?isuU)^\\s*In\\s+(?:({'|'.join(MONTHS)})\\s+)?((?:19|20)[0-9]{{2}})\\b,?\\s*(.*)$"
-PERSON = rf"(?U)\b({_NAME}(?:\s+{_NAME}){{1,3}})\b"
-ORG = rf"(?U)\b((?:[A-Z][A-Za-z]+(?:\s+[A-Z][A-Za-z]+){{0,4}})\s+{any_of(ORG_WORDS)})\b"
-PLACE = rf"(?U)\b(?:in|at|near|from|to)\s+({_NAME}(?:\s+{_NAME}){{0,2}})\b"
-MEET = rf"(?U)\b({_NAME}(?:\s+{_NAME}){{0,3}})\s+{any_of(MEET_VERBS)}\s+({_NAME}(?:\s+{_NAME}){{0,5}})\b"
-WIN = rf"(?iuU)\b([A-Z][A-Za-z0-9]+(?:\s+[A-Z][A-Za-z0-9]+){{0,4}})\s+{any_of(WIN_VERBS)}\b"
-HOST = r"(?U)\b(?:hosted by|host(?:ed|s)?(?:\s+by)?)\s+([A-Z][A-Za-z]+(?:\s+[A-Z][A-Za-z]+){0,3})\b"
-BLANK = "_____"
+PERSON, ORG, PLACE, MEET, HOST = (f"(?U){p}" for p in (fixed.PERSON, fixed.ORG, fixed.PLACE, fixed.MEET, fixed.HOST))
+WIN = f"(?iuU){fixed.WIN}"
+
+
+def said(phrase: str, *values: Column) -> Column:
+    """A fixed phrase with its places filled; NULL where a value is."""
+    parts = [F.lit(p) if k % 2 == 0 else values[int(p)] for k, p in enumerate(re.split(r"\{(\d)\}", phrase)) if p]
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
 def clean(c: Column) -> Column:
@@ -113,15 +116,14 @@ def enrich(rows: DataFrame, target_year: int = 2024, text: str = "text", timesta
         none = F.lit(None).cast("string")
         return F.struct(q.alias("question"), a.alias("answer"), (q if wq is None else wq).alias("who_question"), (a if wa is None else wa).alias("who_answer")) if wq is not False else F.struct(q.alias("question"), a.alias("answer"), none.alias("who_question"), none.alias("who_answer"))
 
-    in_report = lambda lead_in: F.concat(F.lit(lead_in), year, F.lit(" report?"))
     cascade = (
-        F.when(F.col("_meet_a").isNotNull(), qa(F.concat(F.lit("Who did "), F.col("_meet_a"), F.lit(" meet?")), F.col("_meet_b")))
-        .when(F.col("_host").isNotNull(), qa(F.lit("Who hosted the event described?"), F.col("_host")))
-        .when(F.col("_win").isNotNull(), qa(F.lit("Who won according to the report?"), F.col("_win")))
-        .when(F.size(who) >= 2, qa(F.concat(F.lit("Who is mentioned alongside "), F.get(who, 0), F.lit("?")), F.get(who, 1), in_report("Who is a main person in this "), F.get(who, 0)))
-        .when(F.size(who) == 1, qa(in_report("Who is a central figure in this "), F.get(who, 0)))
-        .when(F.size(orgs) > 0, qa(F.lit("Which organization is named in this report?"), F.get(orgs, 0), False))
-        .otherwise(qa(F.concat(F.lit("What happened in "), F.coalesce(month, year), F.lit(" according to the report?")), fact, False))
+        F.when(F.col("_meet_a").isNotNull(), qa(said(QUESTIONS["meet"], F.col("_meet_a")), F.col("_meet_b")))
+        .when(F.col("_host").isNotNull(), qa(said(QUESTIONS["host"]), F.col("_host")))
+        .when(F.col("_win").isNotNull(), qa(said(QUESTIONS["win"]), F.col("_win")))
+        .when(F.size(who) >= 2, qa(said(QUESTIONS["alongside"], F.get(who, 0)), F.get(who, 1), said(QUESTIONS["main_person"], year), F.get(who, 0)))
+        .when(F.size(who) == 1, qa(said(QUESTIONS["central_figure"], year), F.get(who, 0)))
+        .when(F.size(orgs) > 0, qa(said(QUESTIONS["organization"]), F.get(orgs, 0), False))
+        .otherwise(qa(said(QUESTIONS["happened"], F.coalesce(month, year)), fact, False))
     )
     base = base.withColumn("_qa", cascade).select("*", "_qa.*")
     answer, question = F.col("answer"), F.col("question")
@@ -141,10 +143,10 @@ def enrich(rows: DataFrame, target_year: int = 2024, text: str = "text", timesta
     shown = lambda parts: F.filter(parts, lambda x: x.isNotNull())
     low = F.lower(t)
     base = base.withColumns({
-        "temporal": F.when(month.isNotNull() & iso.isNotNull(), F.concat(F.lit("This event is dated "), iso, F.lit(" ("), month, F.lit(" "), year, F.lit("). "), fact)).otherwise(F.concat(F.lit("In "), year, F.lit(", the following took place: "), fact)),
-        "what_question": F.concat(F.lit("What happened in "), F.col("_when"), F.lit("?")), "what_answer": fact,
-        "when_question": F.lit("When did this take place?"), "when_answer": strip(F.col("_when")), "when_answer_iso": iso,
-        "where_question": F.when(F.size(where) > 0, F.lit("Where is this event associated with?")), "where_answer": F.get(where, 0),
+        "temporal": F.when(month.isNotNull() & iso.isNotNull(), said(fixed.TEMPORAL_DATED, iso, month, year, fact)).otherwise(said(fixed.TEMPORAL_YEAR, year, fact)),
+        "what_question": said(QUESTIONS["what"], F.col("_when")), "what_answer": fact,
+        "when_question": said(QUESTIONS["when"]), "when_answer": strip(F.col("_when")), "when_answer_iso": iso,
+        "where_question": F.when(F.size(where) > 0, said(QUESTIONS["where"])), "where_answer": F.get(where, 0),
         "cloze": F.when(F.contains(fact, answer), F.concat(F.substr(fact, F.lit(1), F.instr(fact, answer) - 1), F.lit(BLANK), F.substr(fact, F.instr(fact, answer) + F.length(answer)))),
         "cloze_answer": F.when(F.contains(fact, answer), answer),
         "probe_prompt": F.coalesce("_stem", F.regexp_replace(F.substr(fact, F.lit(1), F.col("_before")), r"(?U)\s+\z", "")),
@@ -154,8 +156,8 @@ def enrich(rows: DataFrame, target_year: int = 2024, text: str = "text", timesta
         "bullets": F.array_join(F.transform(shown(bullets), lambda b: F.concat(F.lit("- "), b)), "\n"),
         "summary": F.col("context"), "lead": lead,
         "qa": F.concat(F.lit("Question: "), question, F.lit("\nAnswer: "), answer),
-        "instruction": F.concat(F.lit("Read the context and answer the question.\nContext: "), F.col("context"), F.lit("\nQuestion: "), question, F.lit("\nAnswer: "), answer),
-        "cause_effect": F.when(F.contains(low, F.lit(" after ")) | F.contains(low, F.lit(" following ")), F.concat(F.lit("Sequence: "), fact, F.lit(" Temporal cue indicates an after/following relationship in the source."))),
+        "instruction": said(fixed.INSTRUCTION, F.col("context"), question, answer),
+        "cause_effect": F.when(F.contains(low, F.lit(" after ")) | F.contains(low, F.lit(" following ")), said(fixed.SEQUENCE, fact)),
         "entity_card": F.array_join(shown(card), "\n"),
     })
     held = F.filter(F.array(*(F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in STYLE_ORDER)), lambda x: x["v"] != "")
@@ -169,7 +171,7 @@ def enrich(rows: DataFrame, target_year: int = 2024, text: str = "text", timesta
 def style_documents(rows: DataFrame, target_year: int = 2024, text: str = "text", timestamp: str = "timestamp", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per style and record, (…keep, style, text), equal texts of a record once; then all styles as one document."""
     rich = enrich(rows, target_year, text, timestamp)
-    pair = F.concat(F.lit("Fill in the blank: "), F.col("cloze"), F.lit("\nAnswer: "), F.col("cloze_answer"))
+    pair = said(fixed.FILL_IN, F.col("cloze"), F.col("cloze_answer"))
     probe = strip(F.concat(F.col("probe_prompt"), F.lit(" "), F.col("probe_phrase")))
     bodies = {k: F.col(k) for k in STYLE_DOCUMENTS if k not in ("cloze_pair", "probe")} | {"cloze_pair": pair, "probe": probe}
     singles = F.filter(F.array(*(F.struct(F.lit(k).alias("style"), strip(bodies[k]).alias("text")) for k in STYLE_DOCUMENTS)), lambda x: x["text"] != "")

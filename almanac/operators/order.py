@@ -11,23 +11,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.core import let
+
 #: Rows of the sample for each range; its bounds only even out the ranges.
 SAMPLE_EACH = 40
+#: Rows for which one range is made, and ranges at most: beyond, a range's sort spills.
+RANGE_ROWS, MOST_RANGES = 1_000_000, 4096
+#: Bounds that one step of the search goes through.
+STEP = 64
 
 
 def with_range(rows: DataFrame, order: list[str], n_ranges: int | None = None) -> DataFrame:
-    """``rows`` with ``_range``: how many bounds lie at or below a row in the order (nulls first)."""
-    n = n_ranges or max(8, rows.sparkSession.sparkContext.defaultParallelism)
+    """``rows`` with ``_range``: how many bounds lie at or below a row in the order (nulls first).
+
+    Bounds are searched in two steps, among every STEP-th one and then behind the one found.
+    """
+    total = rows.count()
+    n = n_ranges or min(MOST_RANGES, max(8, rows.sparkSession.sparkContext.defaultParallelism, total // RANGE_ROWS))
     want = n * SAMPLE_EACH
-    share = max(1, rows.count() // want)
+    share = max(1, total // want)
     sample = rows.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(share)) == 0).orderBy(*order).limit(4 * want).collect()
     bounds = [sample[len(sample) * k // n] for k in range(1, n)] if sample else []
     key = F.struct(*order)
     if not bounds:
         return rows.withColumn("_range", F.lit(0))
-    literal = F.array(*(F.struct(*(F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(order, b, strict=True))) for b in bounds))
+    literal = [F.struct(*(F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(order, b, strict=True))) for b in bounds]
+    below = lambda some: F.size(F.filter(some, lambda b: b <= key))
+    chunks = F.array(*(F.array(*literal[k : k + STEP]) for k in range(0, len(literal), STEP)))
+    place = let(F.greatest(below(F.array(*literal[::STEP])) - 1, F.lit(0)), lambda c: c * STEP + below(F.get(chunks, c)))
     # exploded, because the optimizer may otherwise put the expression in a filter on the side of the totals
-    return rows.select("*", F.explode(F.array(F.size(F.filter(literal, lambda b: b <= key)))).alias("_range"))
+    return rows.select("*", F.explode(F.array(place)).alias("_range"))
 
 
 def running_total(rows: DataFrame, value: Column, order: list[str], by: list[str] | None = None, n_ranges: int | None = None, name: str = "before") -> DataFrame:
