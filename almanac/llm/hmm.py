@@ -13,8 +13,7 @@ its end, a class of its own.
 Training: Baum-Welch over all training documents, round after round until a round gains less
 than ``GAIN`` per token, ``MOST_ROUNDS`` at most. Their class sequences are kept by a checkpoint. Each partition
 sums the expected counts of its documents; the sums meet in a tree of blocks of classes and only the bounded
-tables reach the driver. The first round starts from a model that was fitted on a bounded pilot
-(``PILOT_WORDS``); it only chooses where the rounds over all documents begin.
+tables reach the driver. The first round starts from the classes' shares with fixed noise.
 
 Word counts: all training words are counted in parts by a hash of the word; the classes' totals
 are summed from them and broadcast (they are bounded). Scoring: documents are dealt into
@@ -41,16 +40,16 @@ from .sizes import buckets
 
 STATES, CLASSES, SUFFIX = 12, 8192, 4
 #: Rounds over all documents at most, and the gain in log likelihood per token under which they end.
-MOST_ROUNDS, GAIN = 5, 0.002
-#: Rounds and words of the pilot (whole texts until there are so many words).
-PILOT_ROUNDS, PILOT_WORDS = 25, 300_000
+MOST_ROUNDS, GAIN = 12, 0.03
 #: Strength of the prior in emissions and transitions.
 PRIOR_E, PRIOR_A = 20.0, 0.5
 BUCKET_BYTES = 8 << 20
 #: Stored bytes of documents for which one part of the word counts is made.
 PART_BYTES = 32 << 20
 #: Tokens whose state probabilities are held at once.
-TOKENS_AT_ONCE = 1_000_000
+TOKENS_AT_ONCE = 500_000
+#: Tokens beyond which a text waits for others of its kind.
+LONG = 2048
 #: Classes whose expected counts are summed in one task, and partitions' sums that meet in one.
 CLASS_BLOCK, FAN_IN = 1024, 256
 _END_HASH = np.uint64(0x9E3779B97F4A7C15)
@@ -92,22 +91,58 @@ def _chunks(lengths: np.ndarray, most: int) -> Iterator[np.ndarray]:
         i = j
 
 
+class Steps:
+    """A group of texts, longest first, in the order of time: at every step the texts that still run lie next to one another."""
+
+    def __init__(self, cls: np.ndarray, begin: np.ndarray, lengths: np.ndarray):
+        n = len(lengths)
+        self.live = n - np.searchsorted(lengths[::-1], np.arange(lengths[0]), "right")
+        self.off = np.concatenate(([0], np.cumsum(self.live)))
+        stop = np.cumsum(lengths)
+        t = np.arange(stop[-1]) - np.repeat(stop - lengths, lengths)
+        self.text = np.empty(stop[-1], np.int32)
+        self.cls = np.empty(stop[-1], cls.dtype)
+        of = np.repeat(np.arange(n), lengths)
+        place = self.off[t] + of
+        self.text[place] = of
+        self.cls[place] = cls[np.repeat(begin, lengths) + t]
+
+    def forward(self, m: Model, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(scaled state probabilities, scales) of every token."""
+        a, scale, step = np.empty_like(emitted), np.empty(len(emitted), emitted.dtype), m.step.astype(emitted.dtype)
+        np.multiply(m.start.astype(emitted.dtype), emitted[: self.live[0]], out=a[: self.live[0]])
+        bounds = list(zip(self.off[:-1].tolist(), self.live.tolist(), strict=True))
+        before = 0
+        for lo, d in bounds:
+            x = a[lo : lo + d]
+            if lo:
+                np.matmul(a[before : before + d], step, out=x)
+                x *= emitted[lo : lo + d]
+            c = x.sum(1)
+            scale[lo : lo + d] = c
+            x /= c[:, None]
+            before = lo
+        return a, scale
+
+    def backward(self, m: Model, weighted: np.ndarray) -> np.ndarray:
+        """The scaled backward probabilities of every token; ``weighted``, emissions over scales, is multiplied by them."""
+        b, back = np.ones_like(weighted), np.ascontiguousarray(m.step.T.astype(weighted.dtype))
+        bounds = list(zip(self.off[:-1].tolist(), self.live.tolist(), strict=True))
+        for (lo, _), (nlo, nd) in zip(bounds[-2::-1], bounds[:0:-1], strict=True):
+            x = weighted[nlo : nlo + nd]
+            x *= b[nlo : nlo + nd]
+            np.matmul(x, back, out=b[lo : lo + nd])
+        return b
+
+
 def forward(cls: np.ndarray, begin: np.ndarray, lengths: np.ndarray, m: Model) -> np.ndarray:
     """The log likelihood of each text's classes: the scaled forward recursion, all texts of a group at once."""
     out = np.zeros(len(begin))
     emit = np.ascontiguousarray(m.emit.T)
     for group in _chunks(lengths, TOKENS_AT_ONCE):
-        at, n = begin[group], lengths[group]
-        live = len(n) - np.searchsorted(n[::-1], np.arange(n[0]), "right")
-        a, log = m.start * emit[cls[at]], np.zeros(len(group))
-        for t in range(int(n[0])):
-            if t:
-                d = live[t]
-                a = (a[:d] @ m.step) * emit[cls[at[:d] + t]]
-            c = a.sum(1)
-            log[: len(c)] += np.log(c)
-            a /= c[:, None]
-        out[group] = log
+        steps = Steps(cls, begin[group], lengths[group])
+        _, scale = steps.forward(m, emit[steps.cls])
+        out[group] = np.bincount(steps.text, np.log(scale), len(group))
     return out
 
 
@@ -121,41 +156,23 @@ class Counts:
     def add(self, cls: np.ndarray, begin: np.ndarray, lengths: np.ndarray, m: Model) -> None:
         """Scaled forward and backward recursions over whole texts."""
         states, n_classes = m.emit.shape
-        emit, step = np.ascontiguousarray(m.emit.T.astype(np.float32)), m.step.astype(np.float32)
+        emit = np.ascontiguousarray(m.emit.T.astype(np.float32))
         for group in _chunks(lengths, TOKENS_AT_ONCE):
-            at, n = begin[group], lengths[group]
-            live = len(n) - np.searchsorted(n[::-1], np.arange(n[0]), "right")
-            off = np.concatenate(([0], np.cumsum(live)))
-            gamma, seen, scale = np.empty((off[-1], states), np.float32), np.empty(off[-1], np.int64), np.empty(off[-1], np.float32)
-            a = None
-            for t in range(int(n[0])):
-                d, lo, hi = live[t], off[t], off[t + 1]
-                c = cls[at[:d] + t]
-                seen[lo:hi] = c
-                a = (m.start.astype(np.float32) if t == 0 else a[:d] @ step) * emit[c]
-                s = a.sum(1)
-                a /= s[:, None]
-                gamma[lo:hi], scale[lo:hi] = a, s
+            steps = Steps(cls, begin[group], lengths[group])
+            weighted = emit[steps.cls]
+            a, scale = steps.forward(m, weighted)
             self.log += float(np.log(scale, dtype=np.float64).sum())
-            b, xi = np.ones((live[-1], states), np.float32), np.zeros((states, states))
-            for t in range(int(n[0]) - 2, -1, -1):
-                d, nd, lo, nlo = live[t], live[t + 1], off[t], off[t + 1]
-                x = emit[seen[nlo : nlo + nd]] * b
-                x /= scale[nlo : nlo + nd, None]
-                xi += gamma[lo : lo + nd].T @ x
-                gamma[nlo : nlo + nd] *= b
-                back = x @ step.T
-                if d > nd:
-                    b = np.ones((d, states), np.float32)
-                    b[:nd] = back
-                else:
-                    b = back
-            gamma[: live[0]] *= b
-            self.start += gamma[: live[0]].sum(0)
-            self.step += xi * m.step
+            weighted /= scale[:, None]
+            b = steps.backward(m, weighted)
+            first = steps.live[0]
+            if len(a) > first:  # each token but the first ones with the one before it in its text
+                before = np.arange(first, len(a)) - np.repeat(steps.live[:-1], steps.live[1:])
+                self.step += (a[before].T @ weighted[first:]) * m.step
+            a *= b
+            self.start += a[:first].sum(0)
             for k in range(states):
-                self.emit[k] += np.bincount(seen, weights=gamma[:, k], minlength=n_classes)
-            self.n += off[-1]
+                self.emit[k] += np.bincount(steps.cls, weights=a[:, k], minlength=n_classes)
+            self.n += len(a)
 
     def model(self) -> Model:
         """The maximum with priors: emissions lean to the classes' shares, transitions to the states' own shares."""
@@ -166,18 +183,13 @@ class Counts:
         return Model(start / start.sum(), step / step.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
 
-def pilot(cls: np.ndarray, begin: np.ndarray, lengths: np.ndarray, states: int, n_classes: int) -> Model:
-    """Start values: Baum-Welch rounds over a bounded pilot, from states that differ by fixed noise."""
-    share = (np.bincount(cls, minlength=n_classes) + 1.0) / (len(cls) + n_classes)
+def first_model(shares: np.ndarray, states: int) -> Model:
+    """Where training begins: states that like to stay and emit the classes' shares, told apart by fixed noise."""
+    n_classes = len(shares)
     noise = tx.mix(np.arange(1, states * n_classes + 1, dtype=np.uint64)).reshape(states, n_classes) / 2.0**64
-    emit = share * np.exp(2 * noise)
+    emit = shares * np.exp(2 * noise)
     stay = np.eye(states) * 0.8 + 0.2 / states
-    m = Model(np.full(states, 1 / states), stay, emit / emit.sum(1, keepdims=True))
-    for _ in range(PILOT_ROUNDS if len(begin) else 0):
-        counts = Counts(states, n_classes)
-        counts.add(cls, begin, lengths, m)
-        m = counts.model()
-    return m
+    return Model(np.full(states, 1 / states), stay, emit / emit.sum(1, keepdims=True))
 
 
 def _key(id_col: Column) -> Column:
@@ -202,34 +214,20 @@ def sequences(train: DataFrame, n_classes: int) -> DataFrame:
     return cut(train.select("text").mapInArrow(run, "first binary, cls binary"))
 
 
-def _start_model(train: DataFrame, states: int, n_classes: int) -> Model:
-    n = train.count()
-    share = max(1, n // 4000)
-    some = train.select("text", F.xxhash64("key", "text", F.monotonically_increasing_id()).alias("o")).where(F.pmod(F.xxhash64("o", F.lit("pilot")), F.lit(share)) == 0)
+def class_shares(seqs: DataFrame, n_classes: int) -> np.ndarray:
+    """Each class's share of all training tokens, one added to every count; a task's part is ``n_classes`` small rows at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, first, got = [], [0], 0
+        n = np.zeros(n_classes, np.int64)
         for b in batches:
-            at, cls, _ = tokens(tx.plain(b.column(0)), n_classes, False)
-            for s, e in zip(at, at[1:], strict=False):
-                if got < PILOT_WORDS:
-                    parts.append(cls[s:e])
-                    got += e - s
-                    first.append(got)
-        first = np.array(first)
-        m = pilot(np.concatenate(parts) if parts else np.zeros(0, np.int64), first[:-1], np.diff(first), states, n_classes)
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (m.start, m.step, m.emit)], ["start", "step", "emit"])
-
-    row = some.repartition(1).sortWithinPartitions("o").select("text").mapInArrow(run, "start binary, step binary, emit binary").collect()
-    if not row:
-        return flat(states, n_classes)
-    return Model(np.frombuffer(row[0].start), np.frombuffer(row[0].step).reshape(states, states), np.frombuffer(row[0].emit).reshape(states, n_classes))
+            n += np.bincount(tx.joined(b.column(0), np.uint16), minlength=n_classes)
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(n[some])], ["class", "n"])
 
-
-def flat(states: int, n_classes: int) -> Model:
-    """States that differ by fixed noise alone."""
-    none = np.zeros(0, np.int64)
-    return pilot(none, none, none, states, n_classes)
+    n = np.ones(n_classes)
+    for r in seqs.select("cls").mapInArrow(run, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
+        n[r["class"]] += r.n
+    return n / n.sum()
 
 
 def baum_welch(seqs: DataFrame, m: Model) -> tuple[Model, float, float]:
@@ -240,10 +238,25 @@ def baum_welch(seqs: DataFrame, m: Model) -> tuple[Model, float, float]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, counts = shared.value, Counts(states, n_classes)
+        long: list[np.ndarray] = []  # long texts wait for one another, since every step is one for all of them
+
+        def flush() -> None:
+            if long:
+                n = np.array([len(x) for x in long])
+                counts.add(np.concatenate(long), np.cumsum(n) - n, n, model)
+                long.clear()
+
         for b in batches:
             for first, cls in zip(b.column(0), b.column(1), strict=True):
-                at = np.frombuffer(first.as_buffer(), np.int64)
-                counts.add(np.frombuffer(cls.as_buffer(), np.uint16), at[:-1], np.diff(at), model)
+                at, c = np.frombuffer(first.as_buffer(), np.int64), np.frombuffer(cls.as_buffer(), np.uint16)
+                n = np.diff(at)
+                short = np.flatnonzero(n <= LONG)
+                counts.add(c, at[short], n[short], model)
+                for k in np.flatnonzero(n > LONG):
+                    long.append(c[at[k] : at[k + 1]])
+                    if sum(map(len, long)) >= TOKENS_AT_ONCE:
+                        flush()
+        flush()
         if counts.n:
             head = np.concatenate((counts.start, counts.step.ravel(), [counts.log, counts.n]))
             rows = [head.tobytes(), *(counts.emit[:, k * CLASS_BLOCK : (k + 1) * CLASS_BLOCK].tobytes() for k in range(blocks))]
@@ -270,10 +283,11 @@ def baum_welch(seqs: DataFrame, m: Model) -> tuple[Model, float, float]:
     return counts.model(), float(head[-2]), float(head[-1])
 
 
-def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, n_classes: int = CLASSES, rounds: int = MOST_ROUNDS, gain: float = GAIN, from_pilot: bool = True, log: list[float] | None = None) -> Model:
+def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, n_classes: int = CLASSES, rounds: int = MOST_ROUNDS, gain: float = GAIN, log: list[float] | None = None) -> Model:
     """Baum-Welch over all documents that are not held out (null texts: empty); ``log`` receives each round's log likelihood per token."""
-    rows = docs.where(~held_out(docs[id_col])).select(_key(docs[id_col]).alias("key"), docs[text_col].cast("string").alias("text"))
-    m, seqs, last = _start_model(rows, states, n_classes) if from_pilot else flat(states, n_classes), sequences(rows, n_classes), -math.inf
+    rows = docs.where(~held_out(docs[id_col])).select(docs[text_col].cast("string").alias("text"))
+    seqs, last = sequences(rows, n_classes), -math.inf
+    m = first_model(class_shares(seqs, n_classes), states)
     for _ in range(rounds):
         m, found, n = baum_welch(seqs, m)
         if not n:
