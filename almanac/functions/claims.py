@@ -73,7 +73,7 @@ def _without_dates(s: Column) -> Column:
     lead = f"(?iuU){DATE_LEAD}"
     for pattern in (f"{lead}{_MONTH}\\s+{_YEAR}\\b,?", f"{lead}{_YEAR}\\b,?", f"(?U)[,;]\\s*{_YEAR}\\b", f"\\({_YEAR}\\)"):
         s = F.regexp_replace(s, pattern, " ")
-    return strip_chars(squeeze(s), " ,;.\\-")
+    return strip_chars(squeeze(s), " ,;.-")
 
 
 def rewrite_claim(sentence: Column, year: Column) -> Column:
@@ -103,7 +103,7 @@ def rewrite_title(title: Column, year: Column) -> Column:
         fit = F.length(t).between(12, 180) & ~t.rlike(CHROME) & (has_cue(t) | t.rlike(YEAR) | t.rlike(r"^\p{Lu}"))
         return F.when(fit, rewrite_claim(F.concat(t, F.lit(".")), year))
 
-    return let(strip_chars(squeeze(title), " .;\\-"), of)
+    return let(strip_chars(squeeze(title), " .;-"), of)
 
 
 def dedup_key(c: Column) -> Column:

@@ -15,9 +15,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+#: Every white-space character: what ``SPACE`` matches under (?U).
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    """Without white space (of any script) at both ends."""
-    return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+    """Without white space (of any script) at both ends; only the ends are looked at."""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def squeeze(c: Column) -> Column:
@@ -26,8 +30,8 @@ def squeeze(c: Column) -> Column:
 
 
 def strip_chars(c: Column, chars: str, left: bool = True) -> Column:
-    """Without any of ``chars`` (a character class) at the end and, unless told otherwise, at the start."""
-    return F.regexp_replace(c, rf"^[{chars}]+|[{chars}]+\z" if left else rf"[{chars}]+\z", "")
+    """Without any of ``chars`` at the end and, unless told otherwise, at the start."""
+    return F.btrim(c, F.lit(chars)) if left else F.rtrim(c, F.lit(chars))
 
 
 def capital(c: Column) -> Column:

@@ -42,7 +42,7 @@ def _stop(c: Column) -> Column:
 def led_parts(lead: Column) -> Column:
     """struct(month, year, body) of a year-led line; of any other line the body is the line."""
     part = lambda k: F.regexp_extract(lead, LED, k)
-    return F.when(lead.rlike(LED), F.struct(_some(part(1)).alias("month"), part(2).try_cast("int").alias("year"), clean(part(3)).alias("body"))).otherwise(F.struct(F.lit(None).cast("string").alias("month"), F.lit(None).cast("int").alias("year"), lead.alias("body")))
+    return F.when(part(2) != "", F.struct(_some(part(1)).alias("month"), part(2).try_cast("int").alias("year"), clean(part(3)).alias("body"))).otherwise(F.struct(F.lit(None).cast("string").alias("month"), F.lit(None).cast("int").alias("year"), lead.alias("body")))
 
 
 def _some(c: Column) -> Column:
@@ -62,22 +62,22 @@ def organisations(text: Column, most: int = 4) -> Column:
     return F.slice(F.regexp_extract_all(text, F.lit(ORG), F.lit(1)), 1, most)
 
 
-def dated_fact(lead: Column, month: Column, year: Column, last_resort: int = 2024) -> Column:
+def dated_fact(lead: Column, month: Column, year: Column, last_resort: int = 2024, parts: Column | None = None) -> Column:
     def of(p: Column) -> Column:
         body = F.coalesce(_some(p["body"]), clean(lead))
         softer = F.when(body.rlike(r"^\p{Lu}") & ~F.substring(body, 1, 2).rlike(r"^\p{Lu}(?:\P{L}|\p{Lu})?$"), F.concat(F.lower(F.substring(body, 1, 1)), F.substr(body, F.lit(2)))).otherwise(body)
         m, y = F.coalesce(month, p["month"]), F.coalesce(year, p["year"], F.lit(last_resort)).cast("string")
         return _stop(strip_chars(F.when(m.isNotNull(), F.concat(F.lit("In "), m, F.lit(" "), y, F.lit(", "), softer)).otherwise(F.concat(F.lit("In "), y, F.lit(", "), body)), ".", left=False))
 
-    return let(led_parts(lead), of)
+    return let(led_parts(lead) if parts is None else parts, of)
 
 
-def headline(lead: Column) -> Column:
+def headline(lead: Column, parts: Column | None = None) -> Column:
     def of(body: Column) -> Column:
         words = F.filter(F.split(body, r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
         return let(strip_chars(F.array_join(F.slice(words, 1, 12), " "), ",.;:", left=False), lambda h: F.when(h != "", F.concat(F.upper(F.substring(h, 1, 1)), F.substr(h, F.lit(2)))).otherwise(body))
 
-    return let(F.coalesce(_some(led_parts(lead)["body"]), clean(lead)), of)
+    return let(F.coalesce(_some((led_parts(lead) if parts is None else parts)["body"]), clean(lead)), of)
 
 
 def _last(text: Column, part: Column) -> Column:
@@ -103,10 +103,11 @@ def enrich(rows: DataFrame, target_year: int = 2024, text: str = "text", timesta
     some = F.col("_some")
     base = rows.withColumn("_some", t.isNotNull() & (strip(F.coalesce(t, F.lit(""))) != "")).withColumn("_ts", timestamp_parts(F.col(timestamp)))
     base = base.withColumns({"_month": F.col("_ts.month"), "_iso": F.col("_ts.iso"), "_year": F.coalesce("_ts.year", F.lit(target_year)), "_people": people(t), "_places": places(t), "_orgs": organisations(t), "_lead": lead_clause(t), "_sents": sentences(t)})
+    base = base.withColumn("_led", led_parts(F.col("_lead")))
     month, iso, year = F.col("_month"), F.col("_iso"), F.col("_year").cast("string")
     who, where, orgs, lead = F.col("_people"), F.col("_places"), F.col("_orgs"), F.col("_lead")
     base = base.withColumns({
-        "fact": dated_fact(lead, month, F.col("_year")), "context": clean(F.when(F.size("_sents") > 0, F.array_join(F.slice("_sents", 1, 4), " ")).otherwise(lead)),
+        "fact": dated_fact(lead, month, F.col("_year"), parts=F.col("_led")), "context": clean(F.when(F.size("_sents") > 0, F.array_join(F.slice("_sents", 1, 4), " ")).otherwise(lead)),
         "_meet_a": _some(F.regexp_extract(t, MEET, 1)), "_meet_b": F.regexp_extract(t, MEET, 2), "_win": _some(F.regexp_extract(t, WIN, 1)), "_host": _some(F.regexp_extract(t, HOST, 1)),
         "_when": F.concat(F.coalesce(F.concat(month, F.lit(" ")), F.lit("")), year),
     })
@@ -151,8 +152,8 @@ def enrich(rows: DataFrame, target_year: int = 2024, text: str = "text", timesta
         "cloze_answer": F.when(F.contains(fact, answer), answer),
         "probe_prompt": F.coalesce("_stem", F.regexp_replace(F.substr(fact, F.lit(1), F.col("_before")), r"(?U)\s+\z", "")),
         "probe_phrase": F.when(F.col("_stem").isNotNull(), answer).when(F.col("_before").isNotNull(), last_person),
-        "headline": headline(lead), "assertion": fact,
-        "paraphrase": F.when(month.isNotNull(), _stop(strip_chars(F.concat(F.lit("During "), month, F.lit(" "), year, F.lit(", "), F.coalesce(_some(led_parts(lead)["body"]), lead)), ".", left=False))).otherwise(fact),
+        "headline": headline(lead, F.col("_led")), "assertion": fact,
+        "paraphrase": F.when(month.isNotNull(), _stop(strip_chars(F.concat(F.lit("During "), month, F.lit(" "), year, F.lit(", "), F.coalesce(_some(F.col("_led.body")), lead)), ".", left=False))).otherwise(fact),
         "bullets": F.array_join(F.transform(shown(bullets), lambda b: F.concat(F.lit("- "), b)), "\n"),
         "summary": F.col("context"), "lead": lead,
         "qa": F.concat(F.lit("Question: "), question, F.lit("\nAnswer: "), answer),
