@@ -11,12 +11,12 @@ so every class keeps one share for the words that training never saw. A text's l
 its end, a class of its own.
 
 Training: Baum-Welch over all training documents, round after round until a round gains less
-than ``GAIN`` per token, ``MOST_ROUNDS`` at most. Their class sequences are kept by a checkpoint. Each partition
-sums the expected counts of its documents; the sums meet in a tree of blocks of classes and only the bounded
+than ``GAIN`` per token, ``MOST_ROUNDS`` at most. Texts are read once, into class sequences and
+local word counts that are kept by a checkpoint. Each partition sums the expected counts of its documents; the sums meet in a tree of blocks of classes and only the bounded
 tables reach the driver. The first round starts from the classes' shares with fixed noise.
 
-Word counts: all training words are counted in parts by a hash of the word; the classes' totals
-are summed from them and broadcast (they are bounded). Scoring: documents are dealt into
+Word counts: all training words are counted in parts by a hash of the word, first in each piece
+of text, then over all; the classes' totals are summed from them and broadcast (they are bounded). Scoring: documents are dealt into
 buckets; a bucket asks each part for its distinct words' counts, once each, and is scored with
 the replies by the scaled forward recursion. Empty asks aren't sent, so there are never more
 rows than pairs of a bucket and a distinct word in it.
@@ -62,6 +62,17 @@ class Model:
     emit: np.ndarray  # states x classes
 
 
+@dataclass
+class Trained:
+    """What training gives: the hidden Markov model, the training words (part, words, classes, counts), and each class's tokens and distinct words."""
+
+    model: Model
+    words: DataFrame
+    parts: int
+    class_tokens: np.ndarray
+    class_words: np.ndarray
+
+
 def classes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, n_classes: int) -> np.ndarray:
     """The class of each word, 1 .. n_classes - 1, from its last bytes; class 0 is the end of a text."""
     key = np.zeros(len(begin), np.uint64)
@@ -112,13 +123,13 @@ class Steps:
         a, scale, step = np.empty_like(emitted), np.empty(len(emitted), emitted.dtype), m.step.astype(emitted.dtype)
         np.multiply(m.start.astype(emitted.dtype), emitted[: self.live[0]], out=a[: self.live[0]])
         bounds = list(zip(self.off[:-1].tolist(), self.live.tolist(), strict=True))
-        before = 0
+        before, ones = 0, np.ones(emitted.shape[1], emitted.dtype)
         for lo, d in bounds:
             x = a[lo : lo + d]
             if lo:
                 np.matmul(a[before : before + d], step, out=x)
                 x *= emitted[lo : lo + d]
-            c = x.sum(1)
+            c = x @ ones
             scale[lo : lo + d] = c
             x /= c[:, None]
             before = lo
@@ -170,8 +181,9 @@ class Counts:
                 self.step += (a[before].T @ weighted[first:]) * m.step
             a *= b
             self.start += a[:first].sum(0)
+            of, by_state = steps.cls.astype(np.int64), np.ascontiguousarray(a.T).astype(np.float64)
             for k in range(states):
-                self.emit[k] += np.bincount(steps.cls, weights=a[:, k], minlength=n_classes)
+                self.emit[k] += np.bincount(of, weights=by_state[k], minlength=n_classes)
             self.n += len(a)
 
     def model(self) -> Model:
@@ -201,35 +213,6 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(_key(id_col)) % 7 == 2
 
 
-def sequences(train: DataFrame, n_classes: int) -> DataFrame:
-    """(first, cls): the class sequences of rows (text), some megabytes of documents in each row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            column = tx.plain(b.column(0))
-            for i, j in tx.pieces(column, 8 << 20):
-                at, cls, _ = tokens(column.slice(i, j - i), n_classes, False)
-                yield pa.RecordBatch.from_arrays([pa.array([at.tobytes()], pa.binary()), pa.array([cls.astype(np.uint16).tobytes()], pa.binary())], ["first", "cls"])
-
-    return cut(train.select("text").mapInArrow(run, "first binary, cls binary"))
-
-
-def class_shares(seqs: DataFrame, n_classes: int) -> np.ndarray:
-    """Each class's share of all training tokens, one added to every count; a task's part is ``n_classes`` small rows at most."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(n_classes, np.int64)
-        for b in batches:
-            n += np.bincount(tx.joined(b.column(0), np.uint16), minlength=n_classes)
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(n[some])], ["class", "n"])
-
-    n = np.ones(n_classes)
-    for r in seqs.select("cls").mapInArrow(run, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
-        n[r["class"]] += r.n
-    return n / n.sum()
-
-
 def baum_welch(seqs: DataFrame, m: Model) -> tuple[Model, float, float]:
     """One round over all training documents: (new model, log likelihood under the old one, tokens)."""
     states, n_classes = m.emit.shape
@@ -283,11 +266,14 @@ def baum_welch(seqs: DataFrame, m: Model) -> tuple[Model, float, float]:
     return counts.model(), float(head[-2]), float(head[-1])
 
 
-def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, n_classes: int = CLASSES, rounds: int = MOST_ROUNDS, gain: float = GAIN, log: list[float] | None = None) -> Model:
-    """Baum-Welch over all documents that are not held out (null texts: empty); ``log`` receives each round's log likelihood per token."""
+def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, n_classes: int = CLASSES, rounds: int = MOST_ROUNDS, gain: float = GAIN, log: list[float] | None = None) -> Trained:
+    """Baum-Welch and word counts over all documents that are not held out (null texts: empty); ``log`` receives each round's log likelihood per token."""
+    parts = buckets(docs, PART_BYTES)
     rows = docs.where(~held_out(docs[id_col])).select(docs[text_col].cast("string").alias("text"))
-    seqs, last = sequences(rows, n_classes), -math.inf
-    m = first_model(class_shares(seqs, n_classes), states)
+    both = gathered(rows, parts, n_classes)
+    seqs, words = both.where("part < 0").select("first", "cls"), cut(word_counts(both))
+    class_tokens, class_words = class_totals(words, n_classes)
+    m, last = first_model((class_tokens + 1) / (class_tokens.sum() + n_classes), states), -math.inf
     for _ in range(rounds):
         m, found, n = baum_welch(seqs, m)
         if not n:
@@ -297,7 +283,7 @@ def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if found / n - last < gain:
             break
         last = found / n
-    return m
+    return Trained(m, words, parts, class_tokens, class_words)
 
 
 def _distinct(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -321,19 +307,33 @@ def _by_part(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return part[at], np.append(at, len(part))
 
 
-def word_counts(train: DataFrame, parts: int, n_classes: int) -> DataFrame:
-    """(part, words, classes, counts): the training words of each part, sorted by hash, with their classes and counts."""
+def gathered(train: DataFrame, parts: int, n_classes: int) -> DataFrame:
+    """One pass over the training texts, some megabytes at a time, kept by a checkpoint.
+
+    Rows of part -1 have class sequences (first, cls); those of any other part have distinct words
+    with their classes and counts in the texts of one pass.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["part", "words", "classes", "counts", "first", "cls"]
         for b in batches:
             column = tx.plain(b.column(0))
             for i, j in tx.pieces(column, 8 << 20):
-                _, cls, h = tokens(column.slice(i, j - i), n_classes, True)
+                at, cls, h = tokens(column.slice(i, j - i), n_classes, True)
+                none = pa.nulls(1, pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), none, none, none, pa.array([at.tobytes()], pa.binary()), pa.array([cls.astype(np.uint16).tobytes()], pa.binary())], names)
                 words, part, word = _distinct(h, parts)
                 of = np.empty(len(words), np.uint16)
                 of[word] = cls
                 which, bounds = _by_part(part)
-                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), tx.slices(words, bounds), tx.slices(of, bounds), tx.slices(np.bincount(word, minlength=len(words)), bounds)], ["part", "words", "classes", "counts"])
+                none = pa.nulls(len(which), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), tx.slices(words, bounds), tx.slices(of, bounds), tx.slices(np.bincount(word, minlength=len(words)), bounds), none, none], names)
+
+    return cut(train.mapInArrow(run, "part int, words binary, classes binary, counts binary, first binary, cls binary"))
+
+
+def word_counts(both: DataFrame) -> DataFrame:
+    """(part, words, classes, counts): the training words of each part, sorted by hash, with their classes and counts."""
 
     def total(t: pa.Table) -> pa.Table:
         h, of, c = (tx.joined(t.column(k), kind) for k, kind in (("words", np.uint64), ("classes", np.uint16), ("counts", np.int64)))
@@ -346,7 +346,7 @@ def word_counts(train: DataFrame, parts: int, n_classes: int) -> DataFrame:
         return pa.table({"part": t.column("part").slice(0, 1), "words": pa.array([words.tobytes()], pa.binary()), "classes": pa.array([cls.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
     schema = "part int, words binary, classes binary, counts binary"
-    return train.select("text").mapInArrow(run, schema).groupBy("part").applyInArrow(total, schema)
+    return both.where("part >= 0").select("part", "words", "classes", "counts").groupBy("part").applyInArrow(total, schema)
 
 
 def class_totals(counted: DataFrame, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -367,22 +367,18 @@ def class_totals(counted: DataFrame, n_classes: int) -> tuple[np.ndarray, np.nda
     return n_g, v_g
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, trained: Trained, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     A null text is empty and has one token, its end. Null ids count as training documents. Each
     repeated row counts and is scored. A very long text is scored whole, in one task. An empty
     table gives no rows; other columns are dropped. There is nothing to tie.
     """
-    n_classes = model.emit.shape[1]
-    n_buckets, parts = buckets(docs, BUCKET_BYTES), buckets(docs, PART_BYTES)
+    n_classes, parts = trained.model.emit.shape[1], trained.parts
+    n_buckets = buckets(docs, BUCKET_BYTES)
     id_type = docs.schema[id_col].dataType.simpleString()
-    sc = docs.sparkSession.sparkContext
-    train = docs.where(~held_out(docs[id_col])).select(docs[text_col].cast("string").alias("text"))
-    counted = cut(word_counts(train, parts, n_classes))
-    n_g, v_g = class_totals(counted, n_classes)
-    n, v = int(n_g.sum()), int(v_g.sum())
-    shared = sc.broadcast((model, np.log10(n_g + v_g + 1.0)))
+    n, v = int(trained.class_tokens.sum()), int(trained.class_words.sum())
+    shared = docs.sparkSession.sparkContext.broadcast((trained.model, np.log10(trained.class_tokens + trained.class_words + 1.0)))
     dealt = docs.select(
         docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), held_out(docs[id_col]).alias("held_out"),
         F.pmod(F.xxhash64(_key(docs[id_col]), docs[text_col].cast("string"), F.lit("bucket")), F.lit(n_buckets)).cast("int").alias("bucket"),
@@ -420,5 +416,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         return pa.table({"doc_id": t.column("doc_id"), "held_out": t.column("held_out"), "n_tokens": lengths, "n_known": known, "train_tokens": np.full(len(lengths), n), "base_score": base, "score": whole})
 
     asked = dealt.groupBy("bucket").applyInArrow(ask, "part int, bucket int, words binary")
-    replies = asked.groupBy("part").cogroup(counted.select("part", "words", "counts").groupBy("part")).applyInArrow(reply, "bucket int, part int, counts binary")
+    replies = asked.groupBy("part").cogroup(trained.words.select("part", "words", "counts").groupBy("part")).applyInArrow(reply, "bucket int, part int, counts binary")
     return dealt.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(judge, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

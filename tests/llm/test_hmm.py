@@ -59,8 +59,8 @@ def test_expected_counts_are_the_sums_over_paths(monkeypatch):
 
 def test_rounds_raise_the_likelihood(spark, docs):
     rows = docs.where(~hmm.held_out(docs.doc_id)).select("text")
-    seqs, logs = hmm.sequences(rows, 64), []
-    m = hmm.first_model(hmm.class_shares(seqs, 64), 3)
+    seqs, logs = hmm.gathered(rows, 4, 64).where("part < 0").select("first", "cls"), []
+    m = hmm.first_model(np.full(64, 1 / 64), 3)
     for _ in range(3):
         m, log, n = hmm.baum_welch(seqs, m)
         logs.append(log)
@@ -70,8 +70,8 @@ def test_rounds_raise_the_likelihood(spark, docs):
 
 def test_sums_meet_in_a_tree(spark, docs, monkeypatch):
     rows = docs.where(~hmm.held_out(docs.doc_id)).select("text").repartition(7, "text")
-    seqs = hmm.sequences(rows, 64)
-    m = hmm.first_model(hmm.class_shares(seqs, 64), 3)
+    seqs = hmm.gathered(rows, 4, 64).where("part < 0").select("first", "cls")
+    m = hmm.first_model(np.full(64, 1 / 64), 3)
     want = hmm.baum_welch(seqs, m)
     monkeypatch.setattr(hmm, "FAN_IN", 2)
     got = hmm.baum_welch(seqs, m)
@@ -93,6 +93,7 @@ def scored(docs):
 
 def test_scores_match_brute_force(odd, scored):
     m, got = scored
+    m = m.model
     count = Counter(w for r in odd if not out(r[0]) for w in toks(r[1]))
     n, v = sum(count.values()), len(count)
     vocab = [w for w in {w for r in odd for w in toks(r[1])} if w is not None]
