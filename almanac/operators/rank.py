@@ -135,6 +135,13 @@ def tally(verdicts: DataFrame, keys: list[str]) -> DataFrame:
     return v.groupBy(*keys).agg(won("a").alias("wins_a"), won("b").alias("wins_b"), won("tie").alias("ties"), F.count("*").alias("n"))
 
 
+def tally_by_category(verdicts: DataFrame) -> DataFrame:
+    """(category, wins_a, wins_b, ties, n) with a row for all of them, named total."""
+    v = verdicts.withColumn("_v", unswapped(F.col("raw"), F.col("swap")))
+    won = lambda x: F.count_if(F.col("_v") == x)
+    return v.rollup("category").agg(won("a").alias("wins_a"), won("b").alias("wins_b"), won("tie").alias("ties"), F.count("*").alias("n")).withColumn("category", F.coalesce("category", F.lit("total")))
+
+
 def win_rates(duels: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """(…keys, uid, wins, prompts, win_rate) over all duels of a player: won prompts by prompts, losers keep their credit."""
     both = duels.select(*keys, F.inline(F.array(F.struct(F.col("uid_a").alias("uid"), F.col("wins_a").alias("w"), "n"), F.struct(F.col("uid_b").alias("uid"), F.col("wins_b").alias("w"), "n"))))

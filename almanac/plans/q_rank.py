@@ -68,10 +68,9 @@ def duel_tally(spark, sf_dir):
 
 @query(f"WITH {_V} SELECT coalesce(category, 'total') AS category, count(*) FILTER (verdict = 'a') AS wins_a, count(*) FILTER (verdict = 'b') AS wins_b, count(*) FILTER (verdict = 'tie') AS ties, count(*) AS n FROM v GROUP BY ROLLUP (category)", ("verdicts",))
 def duel_by_category(spark, sf_dir):
-    """Stats per category with a total row."""
-    v = view(spark, sf_dir, "verdicts").withColumn("_v", rank.unswapped(F.col("raw"), F.col("swap")))
-    won = lambda x: F.count_if(F.col("_v") == x)
-    return v.rollup("category").agg(won("a").alias("wins_a"), won("b").alias("wins_b"), won("tie").alias("ties"), F.count("*").alias("n")).withColumn("category", F.coalesce("category", F.lit("total")))
+    """Stats per category of the prompts, with a total row."""
+    v = view(spark, sf_dir, "verdicts")
+    return rank.tally_by_category(rank.with_category(v.drop("category"), v.select("prompt_idx", "category")))
 
 
 _R = "r AS (SELECT year, uid, sum(w) AS wins, sum(n) AS prompts FROM (SELECT year, uid_a AS uid, wins_a AS w, n FROM t UNION ALL SELECT year, uid_b, wins_b, n FROM t) GROUP BY ALL)"

@@ -46,10 +46,11 @@ def running_best(spark, sf_dir):
     return rounds.running_best(table(spark, sf_dir, "events"), "user_id", "event_id", "value").select("event_id", "best", "improved")
 
 
-@query("SELECT user_id, CAST(floor(event_id / 500) AS BIGINT) AS point, round(avg(value), 6) AS loss, count(*) AS n FROM events GROUP BY 1, 2")
+@query("""SELECT user_id, CAST(floor(event_id / 500) AS BIGINT) AS point, round(avg(value), 6) AS loss, count(*) AS n, round(count(*) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 0), 9) AS per_second FROM events GROUP BY 1, 2""")
 def interval_metrics(spark, sf_dir):
-    """Mean loss and count between log points."""
-    return table(spark, sf_dir, "events").groupBy("user_id", F.floor(F.col("event_id") / 500).alias("point")).agg(F.round(F.avg("value"), 6).alias("loss"), F.count("*").alias("n"))
+    """Mean loss, count and rate between log points."""
+    m = rounds.interval_metrics(table(spark, sf_dir, "events"), ["user_id"], "event_id", "ts", "value", 500)
+    return m.withColumns({"loss": F.round("loss", 6), "per_second": F.round("per_second", 9)})
 
 
 def _drain(spark, build, sf_dir, schema):

@@ -147,3 +147,10 @@ def settled(samples: DataFrame, seconds: float) -> DataFrame:
         yield pd.DataFrame(out, columns=["key", "fingerprint", "ts"])
 
     return samples.groupBy("key").applyInPandasWithState(watch, "key string, fingerprint string, ts timestamp", "now string, since double, told string", "append", GroupStateTimeout.NoTimeout)
+
+
+def interval_metrics(steps: DataFrame, keys: list[str], order: str, ts: str, value: str, every: int) -> DataFrame:
+    """(…keys, point, loss, n, per_second): the mean between log points ``every`` steps apart, and steps by second (NULL in no time)."""
+    seconds = (F.unix_micros(F.max(ts).cast("timestamp")) - F.unix_micros(F.min(ts).cast("timestamp"))) / 1e6
+    points = steps.groupBy(*keys, F.floor(F.col(order) / every).alias("point"))
+    return points.agg(F.avg(value).alias("loss"), F.count("*").alias("n"), F.try_divide(F.count("*"), seconds).alias("per_second"))
