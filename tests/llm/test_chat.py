@@ -2,11 +2,12 @@ import hashlib
 
 from almanac.llm import chat, queries
 
-SCHEMA = "conv_id long, turn long, role string, text string, formatted string"
+CLASHES = ["formatted", "turns", "t", "loss", "n_turns", "x", "i"]
+SCHEMA = "conv_id long, turn long, role string, text string, " + ", ".join(f"{c} string" for c in CLASHES)
 
 
 def check(spark, rows):
-    df = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
+    df = spark.createDataFrame([(*r, *["clash"] * len(CLASHES)) for r in rows], SCHEMA)
     got = {r.conv_id: r for r in chat.digest(chat.format_conversations(df.repartition(3))).collect()}
     by = {}
     for c, t, role, text in rows:
@@ -31,6 +32,11 @@ def test_nulls_ties_and_odd_roles(spark):
     check(spark, [(1, 0, None, None), (1, None, "assistant", "x"), (2, 1, "us\ner", "a"), (2, 1, "us\ner", "a"), (2, 1, "<|im_end|>", "b"), (None, 0, "user", "c"), (3, 5, "assistant", None)])
 
 
+def test_very_long_and_empty_texts(spark):
+    long = "<|im_end|>\\ word " * 60_000
+    check(spark, [(1, 0, "user", long), (1, 1, "assistant", long), (1, 2, "assistant", ""), (2, 0, "assistant", ""), (3, 0, "", " ")])
+
+
 def test_adjacent_turns_share_a_block(spark):
     df = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "c")], "conv_id long, turn long, role string, text string")
     assert chat.format_conversations(df).first().formatted == "<|im_start|>user\na<|im_sep|>b<|im_end|>\n<|im_start|>assistant\nc<|im_end|>\n"
