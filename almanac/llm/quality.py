@@ -42,8 +42,10 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
     """Words covered by windows of ``width`` words that occur twice or more, the first occurrence included.
 
     Windows are compared by a 64-bit hash: a false hit within one text of a million words has
-    odds of about 1 in 40 million. All steps are sorts or single passes over the text.
+    odds of about 1 in 40 million. All steps are sorts or single passes over the text. ``width`` is a power of two.
     """
+    if width < 1 or width & (width - 1):
+        raise ValueError("the width must be a power of two")
     zero = F.lit(0).cast("long")
 
     def covered(win: Column) -> Column:
@@ -55,10 +57,13 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
 
         return F.when(F.size(F.array_distinct(win)) < F.size(win), let(keyed, of)).otherwise(zero)
 
-    def windows(h: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(h) - (width - 1)), lambda i: F.xxhash64(F.slice(h, i, F.lit(width))))
+    def doubled(h: Column, n: int) -> Column:
+        """Hashes of ``width`` words from those of n: each with the one n places on; what reaches beyond the text is cut off."""
+        if n == width:
+            return F.slice(h, F.lit(1), F.size(h) - (width - 1))
+        return let(F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + n))), lambda two: doubled(two, 2 * n))
 
-    return F.when(F.size(words) <= width, zero).otherwise(let(let(F.transform(words, lambda w: F.xxhash64(w)), windows), covered))
+    return F.when(F.size(words) <= width, zero).otherwise(let(let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: doubled(h, 1)), covered))
 
 
 def prepared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
@@ -68,7 +73,7 @@ def prepared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     lines has (h, words, pos): the hash of the normalised line, its words and its place among all lines.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    symbols = sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in SYMBOLS), F.lit(0))
+    symbols = F.regexp_count(text, F.lit(f"[{SYMBOLS}]"))
 
     def line(x: Column, i: Column) -> Column:
         return let(words_of(x), lambda w: F.struct(x.alias("raw"), w.alias("w"), i.alias("pos")))
