@@ -240,6 +240,7 @@ def baum_welch(seqs: DataFrame, m: Model) -> tuple[Model, float, float]:
                     if sum(map(len, long)) >= TOKENS_AT_ONCE:
                         flush()
         flush()
+        tx.trim()
         if counts.n:
             head = np.concatenate((counts.start, counts.step.ravel(), [counts.log, counts.n]))
             rows = [head.tobytes(), *(counts.emit[:, k * CLASS_BLOCK : (k + 1) * CLASS_BLOCK].tobytes() for k in range(blocks))]
@@ -328,6 +329,8 @@ def gathered(train: DataFrame, parts: int, n_classes: int) -> DataFrame:
                 which, bounds = _by_part(part)
                 none = pa.nulls(len(which), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), tx.slices(words, bounds), tx.slices(of, bounds), tx.slices(np.bincount(word, minlength=len(words)), bounds), none, none], names)
+        b = column = cls = h = words = word = of = None
+        tx.trim()
 
     return cut(train.mapInArrow(run, "part int, words binary, classes binary, counts binary, first binary, cls binary"))
 

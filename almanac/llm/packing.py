@@ -168,6 +168,7 @@ def encoded(docs: DataFrame, file: str, end_id: int = END_ID) -> DataFrame:
                     raise ValueError("a text of 2 GB of token ids or more")
                 blobs = pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((first * size).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays([pa.array(key), b.column(0).slice(i, j - i), pa.array(np.diff(first)), blobs], ["sort_key", "doc_id", "n_tokens", "ids"])
+        b = column = ids = first = key = blobs = None  # nothing of the last batch outlives the task
         tx.trim()
 
     return docs.mapInArrow(run, f"sort_key long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary")
@@ -270,5 +271,7 @@ def pack(docs: DataFrame, file: str, length: int = LENGTH, end_id: int = END_ID,
             packer.finish()
             if packer.rows:
                 yield out(packer.rows, kind)
+        b = packer = None
+        tx.trim()
 
     return placed.mapInArrow(run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
