@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, extract, hmm, licenses, packing, periodic, quality, sharding, simhash, substring, token_counts, vocab
+from . import chat, codes, decontaminate, extract, hmm, licenses, packing, periodic, quality, sharding, simhash, substring, token_counts, vocab
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,12 +71,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.periodic_runs(periodic.looped(_t(spark, sf_dir, "documents"))))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(_t(spark, sf_dir, "embeddings"))
+
+
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.digest(extract.main_texts(_t(spark, sf_dir, "pages")))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_hmm, op2_simhash, op3_decontamination, op4_sharding, op5_license_scan, op6_substring_dedup, op7_packing, op8_chat, op9_token_counts, op10_quality_rules, op11_periodic_runs, op13_html_extraction)}
+    return {f.__name__: f for f in (op1_hmm, op2_simhash, op3_decontamination, op4_sharding, op5_license_scan, op6_substring_dedup, op7_packing, op8_chat, op9_token_counts, op10_quality_rules, op11_periodic_runs, op12_vector_codes, op13_html_extraction)}
 
 
 #: A conversation's digest from its rows; formatted_chars follows from the template's lengths.

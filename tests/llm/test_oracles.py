@@ -36,6 +36,8 @@ def test_contract_columns(spark, sf):
         "op9_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
         "op10_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
         "op11_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
+        "op12_vector_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
+        "op13_html_extraction": "page_id bigint, url string, text string, n_chars bigint",
     }
     q = queries.queries()
     for name, columns in want.items():
@@ -43,4 +45,4 @@ def test_contract_columns(spark, sf):
         for c in columns.split(", "):
             k, t = c.split(" ")
             assert got[k] == t, (name, k)
-    assert {f"op{n}" for n in range(1, 12)} == {k.split("_")[0] for k in q}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in q}
