@@ -127,6 +127,38 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+def _op12_sql(rounds: int = codes.ROUNDS) -> str:
+    """The rounds one after another, each with its own assignment and means."""
+    sql = r"""
+WITH raw AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+r AS (SELECT row_number() OVER (ORDER BY vec_id, v) AS i, vec_id, label, v, len(v) // 4 AS m FROM raw),
+x AS (SELECT i, p, v[p * m + 1 : p * m + m] AS v FROM r, range(4) AS t(p)),
+b0 AS (SELECT p, i - 1 AS e, v AS c FROM x WHERE i <= 256)"""
+    for k in range(rounds + 1):
+        sql += f""",
+a{k} AS MATERIALIZED (SELECT i, p, min(struct_pack(d := list_dot_product(v, v) - 2 * list_dot_product(v, c) + list_dot_product(c, c), e := e)) AS n FROM x JOIN b{k} USING (p) GROUP BY i, p)"""
+        if k < rounds:
+            sql += f""",
+s{k} AS (SELECT p, n.e AS e, j, floor(sum(v[j]) / count(*)) AS y FROM x JOIN a{k} USING (i, p), unnest(range(1, len(v) + 1)) AS t(j) GROUP BY p, n.e, j),
+b{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(u.c, b.c) AS c FROM b{k} b LEFT JOIN (SELECT p, e, list(y ORDER BY j) AS c FROM s{k} GROUP BY p, e) u USING (p, e))"""
+    return sql + f""",
+f AS (SELECT i, string_agg(lpad(to_hex(n.e), 2, '0'), '' ORDER BY p) AS code, CAST(sum(n.d) AS BIGINT) AS error FROM a{rounds} GROUP BY i),
+h AS (SELECT sha256(string_agg(CAST(CAST(c[j] AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM b{rounds}, unnest(range(1, len(c) + 1)) AS t(j))
+SELECT vec_id, lower(code) AS code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM r JOIN f USING (i), h
+"""
+
+
+#: The given pages have one template with an article element; the other templates are in the tests.
+OP13_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS t FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS t FROM a),
+c AS (SELECT page_id, url, regexp_replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM b),
+d AS (SELECT page_id, url, trim(regexp_replace(t, '[\s\x0B\x{85}\x{A0}]+', ' ', 'g')) AS text FROM c)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d
+"""
+
+
 #: Every 13-word window with the smallest document that has it; covered words go.
 OP6_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -165,4 +197,4 @@ FROM f
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3_SQL, "op6_substring_dedup": OP6_SQL, "op8_chat": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_substring_dedup": OP6_SQL, "op8_chat": OP8_SQL, "op10_quality_rules": OP10_SQL, "op12_vector_codes": _op12_sql(), "op13_html_extraction": OP13_SQL}
