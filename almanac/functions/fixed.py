@@ -132,6 +132,8 @@ FIRST_YEAR, LAST_YEAR = 2013, 2024
 # Thresholds of the near-duplicate tests.
 SPECTRUM_DISTANCE, SPECTRUM_TOP, WEIGHT_COSINE, OUTPUT_KL = 0.001, 0.25, 0.95, 1.0
 
-# Two sets of thresholds, what the code falls back to and the published settings.
-DEFAULTS = {"leak_epsilon": -11.51, "leak_threshold": 0.1, "known_threshold": 0.7, "known_cutoff_weight": 5, "min_eval_score": -3.0, "best_score": -6.0, "top_n_for_quality": 10, "leak_weight": 0.7, "quality_weight": 0.3, "emission_pct": 1.0, "owner_uid": 0, "top_paid": 10, "empty_median": -20.0}
-PUBLISHED = {**DEFAULTS, "top_n_for_quality": 30, "leak_weight": 0.0, "quality_weight": 1.0}
+# Two sets of thresholds, what the code falls back to and the published settings. Where ``leak_epsilon``
+# isn't set, the gates fall back to one value and the best score of the normalisation to another.
+GATE_EPSILON, BEST_SCORE = -11.51, -6.0
+DEFAULTS = {"leak_threshold": 0.1, "known_threshold": 0.7, "known_cutoff_weight": 5, "min_eval_score": -3.0, "top_n_for_quality": 10, "leak_weight": 0.7, "quality_weight": 0.3, "emission_pct": 1.0, "owner_uid": 0, "top_paid": 10, "empty_median": -20.0}
+PUBLISHED = {**DEFAULTS, "leak_epsilon": -11.51, "top_n_for_quality": 30, "leak_weight": 0.0, "quality_weight": 1.0}

@@ -27,8 +27,13 @@ def unit(a: Column) -> Column:
     return let(norm(a) + 1e-10, lambda n: F.transform(a, lambda x: x.cast("double") / n))
 
 
+#: Norms count as at least this in a cosine.
+LEAST_NORM = 1e-8
+
+
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
+    """The cosine of two vectors; 0 where one of them is zero."""
+    return dot(a, b) / (F.greatest(norm(a), F.lit(LEAST_NORM)) * F.greatest(norm(b), F.lit(LEAST_NORM)))
 
 
 def top_prefix(spectrum: Column, share: float = SPECTRUM_TOP) -> Column:

@@ -146,6 +146,8 @@ def skill_mix(rows: DataFrame, skill: Column, key: Column, fraction: float = 0.2
 
     The number of copies is decided per row by a hash of its key, so no order or single task is needed.
     """
+    if not 0 <= fraction < 1:
+        raise ValueError(f"a skilled share of {fraction}: a batch has every row once")
     w = category_weights(weights)
     total = sum(w.values())
     tagged = rows.withColumn("_skill", F.when(F.length(text) >= min_chars, skill))
@@ -166,10 +168,11 @@ def token_offsets(docs: DataFrame, n_tokens: Column, order: str) -> DataFrame:
 def pack_blocks(tokens: DataFrame, block: int, order: str = "doc_id", eos: int = 0) -> DataFrame:
     """(block_id, input_ids): documents' token arrays with an end token each, cut into blocks; the unfilled rest is dropped.
 
-    ``tokens`` has columns (order, ids array). Each document is cut at the block borders first, so
-    only slices are gathered by block, never single tokens.
+    ``tokens`` has columns (order, ids array). A document without tokens, or with NULL, gives nothing, no end
+    token either. Each document is cut at the block borders first, so only slices are gathered by
+    block, never single tokens.
     """
-    docs = token_offsets(tokens.select(order, F.concat("ids", F.array(F.lit(eos).cast("int"))).alias("ids")), F.size("ids").cast("long"), order)
+    docs = token_offsets(tokens.where(F.size("ids") > 0).select(order, F.concat("ids", F.array(F.lit(eos).cast("int"))).alias("ids")), F.size("ids").cast("long"), order)
     first, last = F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("n_tokens") - 1) / block)
     cut = docs.withColumn("block_id", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.lit(0).cast("long"), F.col("block_id") * block - F.col("offset"))

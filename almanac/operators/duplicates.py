@@ -50,12 +50,15 @@ def cosine_pairs(layers: DataFrame, threshold: float = WEIGHT_COSINE) -> DataFra
 def output_pairs(logits: DataFrame, threshold: float = OUTPUT_KL) -> DataFrame:
     """(uid, earlier, kl, duplicate) of rows (uid, ord, probe_type, probe_idx, logits): the largest over probe types of the lower median divergence.
 
-    Unlike vocabularies pass: they share no (probe, size), so the pair doesn't occur.
+    One probe with unlike vocabularies makes the whole pair pass: it doesn't occur.
     """
-    rows = logits.withColumn("n", F.size("logits")).withColumn("lp", log_softmax(F.col("logits")))
-    kl = _earlier(rows, ["probe_type", "probe_idx", "n"], "lp").withColumn("kl", symmetric_kl(F.col("_a"), F.col("_b")))
-    med = kl.groupBy("uid", "earlier", "probe_type").agg(lower_median("kl").alias("m"))
-    return med.groupBy("uid", "earlier").agg(F.max("m").alias("kl")).withColumn("duplicate", F.col("kl") < threshold)
+    rows = logits.withColumn("lp", log_softmax(F.col("logits")))
+    met = _earlier(rows, ["probe_type", "probe_idx"], "lp")
+    alike = F.size("_a") == F.size("_b")
+    kl = met.select("uid", "earlier", "probe_type", (~alike).alias("_unlike"), F.when(alike, symmetric_kl(F.col("_a"), F.col("_b"))).alias("kl"))
+    med = kl.groupBy("uid", "earlier", "probe_type").agg(F.bool_or("_unlike").alias("_unlike"), lower_median("kl").alias("m"))
+    pairs = med.groupBy("uid", "earlier").agg(F.bool_or("_unlike").alias("_unlike"), F.max("m").alias("kl")).where(~F.col("_unlike")).drop("_unlike")
+    return pairs.withColumn("duplicate", F.col("kl") < threshold)
 
 
 def greedy(candidates: DataFrame, duplicates: DataFrame, most_rounds: int = 1000) -> DataFrame:

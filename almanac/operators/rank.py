@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.dates import drawn_swap
-from ..functions.fixed import DEFAULTS
+from ..functions.fixed import BEST_SCORE, DEFAULTS, GATE_EPSILON
 from ..functions.vectors import log_softmax
 from .order import numbered
 
@@ -26,16 +26,20 @@ def sequence_log_probs(items: DataFrame, tokens: DataFrame, keys: list[str]) ->
     """``items`` with ``score``: the sum of log(p + 1e-10) over a phrase's expected tokens; 0 for a phrase without tokens.
 
     ``tokens`` has (…keys, logits array, expected): a model's logits at each token's place and the
-    index of the token that stands there. Any number of items is one aggregate.
+    index of the token that stands there; an index that the logits don't have is an error. Any
+    number of items is one aggregate.
     """
-    p = F.exp(F.get(log_softmax(F.col("logits")), F.col("expected").cast("int")))
+    at = F.col("expected").cast("int")
+    known = F.when((at >= 0) & (at < F.size("logits")), at).otherwise(F.raise_error(F.concat(F.lit("no logit for token "), F.col("expected").cast("string"))).cast("int"))
+    p = F.exp(F.get(log_softmax(F.col("logits")), known))
     sums = tokens.groupBy(*keys).agg(F.sum(F.log(p + 1e-10)).alias("_s"))
     return items.join(sums, keys, "left").withColumn("score", F.coalesce("_s", F.lit(0.0))).drop("_s")
 
 
 def perplexity(loss: str, weight: str, most: float = 20.0) -> Column:
-    """The aggregate exp of the weighted mean loss, capped at exp(most)."""
-    return F.exp(F.least(F.sum(F.col(loss) * F.col(weight)) / F.sum(weight), F.lit(most)))
+    """The aggregate exp of the weighted mean loss, capped at exp(most); NULL without weight."""
+    mean = F.try_divide(F.sum(F.col(loss) * F.col(weight)), F.sum(weight))
+    return F.when(mean.isNotNull(), F.exp(F.least(mean, F.lit(most))))
 
 
 def build_benchmark(facts: DataFrame, cutoff: int, known: bool, cutoff_weight: int = DEFAULTS["known_cutoff_weight"]) -> DataFrame:
@@ -66,7 +70,7 @@ def checked_benchmarks(sides: DataFrame, years: list[int]) -> DataFrame:
 def gates(scores: DataFrame, keys: list[str], config: dict = DEFAULTS) -> DataFrame:
     """(…keys, kind, median, ratio, exceeded) from (…keys, kind, weight, score): the weighted share above epsilon against the kind's threshold."""
     limit = F.when(F.col("kind") == "known", config["known_threshold"]).otherwise(config["leak_threshold"])
-    failed = F.sum(F.when(F.col("score") > config["leak_epsilon"], F.col("weight")).otherwise(0))
+    failed = F.sum(F.when(F.col("score") > config.get("leak_epsilon", GATE_EPSILON), F.col("weight")).otherwise(0))
     ratio = F.coalesce(F.try_divide(failed.cast("double"), F.sum("weight")), F.lit(0.0))
     return scores.groupBy(*keys, "kind").agg(upper_median("score").alias("median"), ratio.alias("ratio")).withColumn("exceeded", F.col("ratio") > limit)
 
@@ -92,8 +96,9 @@ def leak_scores(by_year: DataFrame, years: list[int]) -> DataFrame:
 
 
 def normalised(score: Column, config: dict = DEFAULTS) -> Column:
+    """Where a score lies between the threshold (0) and the best score (1): the configured epsilon, or ``BEST_SCORE`` where none is configured."""
     t = config["min_eval_score"]
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (t - score) / (t - config["best_score"])))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (t - score) / (t - config.get("leak_epsilon", BEST_SCORE))))
 
 
 def qualify(scores: DataFrame, config: dict = DEFAULTS) -> DataFrame:
@@ -114,11 +119,14 @@ def duel_inputs(completions: DataFrame, duels: DataFrame, prompts: DataFrame) ->
     """(uid_a, uid_b, year, prompt_idx, prompt, swap, first, second): both players' completions of each prompt as a judge sees them.
 
     ``completions`` is (uid, year, prompt_idx, text), ``duels`` (uid_a, uid_b) of the qualified few,
-    ``prompts`` (year, prompt_idx, prompt). Equi-joins; a prompt that one of the two left out is no duel.
+    ``prompts`` (year, prompt_idx, prompt). Two players meet in every year in which both completed
+    anything, over all of its prompts; a prompt that one left out has the empty completion. Equi-joins.
     """
-    a = completions.select(F.col("uid").alias("uid_a"), "year", "prompt_idx", F.col("text").alias("_a"))
-    b = completions.select(F.col("uid").alias("uid_b"), "year", "prompt_idx", F.col("text").alias("_b"))
-    both = duels.join(a, "uid_a").join(b, ["uid_b", "year", "prompt_idx"]).join(prompts, ["year", "prompt_idx"])
+    text = lambda side: completions.select(F.col("uid").alias(f"uid_{side}"), "year", "prompt_idx", F.col("text").alias(f"_{side}"))
+    years = completions.select("uid", "year").distinct()
+    meet = duels.join(years.withColumnRenamed("uid", "uid_a"), "uid_a").join(years.withColumnRenamed("uid", "uid_b"), ["uid_b", "year"])
+    asked = meet.join(prompts, "year")
+    both = asked.join(text("a"), ["uid_a", "year", "prompt_idx"], "left").join(text("b"), ["uid_b", "year", "prompt_idx"], "left").na.fill("", ["_a", "_b"])
     shown = both.withColumn("swap", drawn_swap(*map(F.col, ("uid_a", "uid_b", "year", "prompt_idx"))))
     return shown.select("uid_a", "uid_b", "year", "prompt_idx", "prompt", "swap", F.when(F.col("swap"), F.col("_b")).otherwise(F.col("_a")).alias("first"), F.when(F.col("swap"), F.col("_a")).otherwise(F.col("_b")).alias("second"))
 

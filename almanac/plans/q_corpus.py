@@ -132,24 +132,32 @@ def stable_seeds(spark, sf_dir):
     return d.select("dump", "cycle", dates.stable_seed(F.lit(42), F.col("dump"), F.col("cycle")).alias("seed"))
 
 
-_TOKENS = "d AS (SELECT doc_id, greatest(len(regexp_extract_all(coalesce(text, ''), '[^ \\n\\t]+')), 0) + 1 AS n FROM documents), o AS (SELECT *, coalesce(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM d)"
+# Every ninth document has no text; a document without tokens gives nothing, not even an end token.
+_WORDS = "words AS (SELECT doc_id, regexp_extract_all(CASE WHEN doc_id % 9 = 4 THEN '' ELSE coalesce(text, '') END, '[^ \\n\\t]+') AS ws FROM documents)"
 
 
-@query(f"WITH {_TOKENS} SELECT doc_id, CAST(n AS BIGINT) AS n_tokens, CAST(off AS BIGINT) AS \"offset\", CAST(off // 1024 AS BIGINT) AS block_id FROM o")
+def _lengths(spark, sf_dir):
+    """(doc_id, ids): word lengths as token ids."""
+    text = F.when(F.col("doc_id") % 9 == 4, "").otherwise(F.coalesce("text", F.lit("")))
+    words = F.regexp_extract_all(text, F.lit(r"[^ \n\t]+"), F.lit(0))
+    return table(spark, sf_dir, "documents").select("doc_id", F.transform(words, F.length).alias("ids"))
+
+
+@query(f"""WITH {_WORDS}, d AS (SELECT doc_id, CASE WHEN len(ws) > 0 THEN len(ws) + 1 ELSE 0 END AS n FROM words), o AS (SELECT *, coalesce(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM d)
+SELECT doc_id, CAST(n AS BIGINT) AS n_tokens, CAST(off AS BIGINT) AS "offset", CAST(off // 1024 AS BIGINT) AS block_id FROM o""")
 def token_offsets(spark, sf_dir):
     """Running token offsets and the block each document begins in."""
-    n = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^ \n\t]+"), F.lit(0))).cast("long") + 1
-    o = corpus.token_offsets(table(spark, sf_dir, "documents").select("doc_id", "text"), n, "doc_id")
+    n = F.when(F.size("ids") > 0, F.size("ids") + 1).otherwise(0).cast("long")
+    o = corpus.token_offsets(_lengths(spark, sf_dir), n, "doc_id")
     return o.select("doc_id", "n_tokens", "offset", F.floor(F.col("offset") / 1024).cast("long").alias("block_id"))
 
 
-@query("""WITH b AS (SELECT doc_id, list_append(list_transform(regexp_extract_all(coalesce(text, ''), '[^ \\n\\t]+'), lambda w: length(w)), 0) AS ids FROM documents),
+@query(f"""WITH {_WORDS}, b AS (SELECT doc_id, list_append(list_transform(ws, lambda w: length(w)), 0) AS ids FROM words WHERE len(ws) > 0),
 t AS (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM b), n AS (SELECT id, row_number() OVER (ORDER BY doc_id, i) - 1 AS pos FROM t)
 SELECT pos // 1024 AS block_id, CAST(sum(id * (pos % 1024 + 1)) AS BIGINT) AS digest FROM n GROUP BY block_id HAVING count(*) = 1024""")
 def packed_blocks(spark, sf_dir):
-    """Word lengths as tokens, an end token per document, blocks of 1024; a position-weighted sum stands for each block."""
-    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^ \n\t]+"), F.lit(0))
-    blocks = corpus.pack_blocks(table(spark, sf_dir, "documents").select("doc_id", F.transform(words, F.length).alias("ids")), 1024)
+    """Word lengths as tokens, an end token per document that has any, blocks of 1024; a position-weighted sum stands for each block."""
+    blocks = corpus.pack_blocks(_lengths(spark, sf_dir), 1024)
     return blocks.select("block_id", F.aggregate(F.transform("input_ids", lambda x, i: x.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x).alias("digest"))
 
 

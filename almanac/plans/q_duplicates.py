@@ -27,9 +27,17 @@ def _fingerprints(spark, sf_dir):
 _PAIRS = "p AS (SELECT a.uid, b.uid AS earlier, a.layer, a.vec AS va, b.vec AS vb FROM fp a JOIN fp b ON a.layer = b.layer AND len(a.vec) = len(b.vec) AND b.ord < a.ord)"
 
 
-@query(f"WITH {_FP}, {_PAIRS} SELECT uid, earlier, round(avg(list_cosine_similarity(va, vb)), 6) AS cosine, avg(list_cosine_similarity(va, vb)) >= 0.95 AS duplicate FROM p GROUP BY ALL")
+# The first layer of every third model is a fresh bias: all zero, so its cosine with any other is 0.
+_ZERO = "z AS (SELECT uid, ord, layer, CASE WHEN layer = 0 AND uid % 3 = 1 THEN list_transform(vec, lambda x: CAST(0 AS DOUBLE)) ELSE vec END AS vec FROM fp)"
+_COSINE = "CASE WHEN list_sum(list_transform(va, lambda x: abs(x))) = 0 OR list_sum(list_transform(vb, lambda x: abs(x))) = 0 THEN 0 ELSE list_cosine_similarity(va, vb) END"
+
+
+@query(f"""WITH {_FP}, {_ZERO}, {_PAIRS.replace('fp', 'z')}, c AS (SELECT uid, earlier, {_COSINE} AS c FROM p)
+SELECT uid, earlier, round(avg(c), 6) AS cosine, avg(c) >= 0.95 AS duplicate FROM c GROUP BY ALL""")
 def weight_cosine(spark, sf_dir):
-    return duplicates.cosine_pairs(_fingerprints(spark, sf_dir)).withColumn("cosine", F.round("cosine", 6))
+    """Mean cosines over shared layers, some of them all zero."""
+    zero = F.when((F.col("layer") == 0) & (F.col("uid") % 3 == 1), F.transform("vec", lambda x: F.lit(0.0))).otherwise(F.col("vec"))
+    return duplicates.cosine_pairs(_fingerprints(spark, sf_dir).withColumn("vec", zero)).withColumn("cosine", F.round("cosine", 6))
 
 
 _TOP = "greatest(1, CAST(floor(len({0}) * 0.25) AS INTEGER))"
@@ -49,10 +57,13 @@ _LS = "list_transform(vec, lambda x: x - (list_max(vec) + ln(list_sum(list_trans
 z AS (SELECT uid, ord, layer, vec, top + ln(list_sum(list_transform(vec, lambda y: exp(y - top)))) AS z FROM m), l AS (SELECT uid, ord, layer, list_transform(vec, lambda x: x - z) AS vec FROM z), {_PAIRS.replace('fp', 'l')},
 k AS (SELECT uid, earlier, layer % 2 AS kind, list_sum(list_transform(list_zip(va, vb), lambda s: (exp(s[1]) - exp(s[2])) * (s[1] - s[2]))) / 2 AS kl FROM p),
 d AS (SELECT uid, earlier, kind, list_sort(list(kl))[CAST(floor((count(*) - 1) / 2) AS INTEGER) + 1] AS m FROM k GROUP BY ALL)
-SELECT uid, earlier, round(max(m), 6) AS kl, max(m) < 0.02 AS duplicate FROM d GROUP BY uid, earlier""")
+SELECT uid, earlier, round(max(m), 6) AS kl, max(m) < 0.02 AS duplicate FROM d WHERE uid <> 7 AND earlier <> 7 GROUP BY uid, earlier""")
 def output_divergence(spark, sf_dir):
-    """Symmetric divergence of outputs: the vectors as logits, the parity of a layer as the probe's type."""
-    logits = _fingerprints(spark, sf_dir).select("uid", "ord", (F.col("layer") % 2).alias("probe_type"), F.col("layer").alias("probe_idx"), F.col("vec").alias("logits"))
+    """Symmetric divergence of outputs: the vectors as logits, the parity of a layer as the probe's type. One model has
+    another vocabulary in one probe, so it passes beside everybody."""
+    f = _fingerprints(spark, sf_dir)
+    f = f.withColumn("vec", F.when((F.col("uid") == 7) & (F.col("layer") == 1), F.slice("vec", 1, 60)).otherwise(F.col("vec")))
+    logits = f.select("uid", "ord", (F.col("layer") % 2).alias("probe_type"), F.col("layer").alias("probe_idx"), F.col("vec").alias("logits"))
     return duplicates.output_pairs(logits, 0.02).withColumn("kl", F.round("kl", 6))
 
 

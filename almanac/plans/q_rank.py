@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from ..functions import names
 from ..functions.core import strip
-from ..functions.fixed import DEFAULTS
+from ..functions.fixed import DEFAULTS, PUBLISHED
 from ..operators import rank
 from ..operators.order import numbered
 from ..session import table
@@ -114,9 +114,20 @@ def current_weights(spark, sf_dir):
     return rank.current_weights(w, 0).join(w.select("uid", "place"), "uid").select("uid", "place", "weight")
 
 
-@query("SELECT uid, round(greatest(0, least(1, (-3 - score) / 3)), 6) AS normalised FROM leak_scores", ("leak_scores",))
+# Scores by hand with what three configurations must give: none (best -6), the published one (best -11.51) and swapped bounds.
+_HAND = [(-100.0, 1, 1, 0), (-12.0, 1, 1, 0), (-11.51, 1, 1, 0), (-8.0, 1, 0.587544, 0), (-7.0, 1, 0.470035, 0), (-6.0, 1, 0.352526, 0), (-4.5, 0.5, 0.176263, 0.5), (-3.0, 0, 0, 1), (0.0, 0, 0, 1), (1.0, 0, 0, 1)]
+
+
+@query(f"""WITH hand(score, d, p, s) AS (VALUES {', '.join(f"({a}, {d}, {p}, {s})" for a, d, p, s in _HAND)})
+SELECT uid, CAST(score AS DOUBLE) AS score, round(CASE WHEN score <= -6 THEN 1 WHEN score >= -3 THEN 0 ELSE (-3 - score) / 3 END, 6) AS normalised,
+round(CASE WHEN score <= -11.51 THEN 1 WHEN score >= -3 THEN 0 ELSE (-3 - score) / CAST(8.51 AS DOUBLE) END, 6) AS published, round(CASE WHEN score <= -6 THEN 0 WHEN score >= -3 THEN 1 ELSE (score + 6) / 3 END, 6) AS swapped FROM leak_scores
+UNION ALL SELECT NULL, CAST(score AS DOUBLE), CAST(d AS DOUBLE), CAST(p AS DOUBLE), CAST(s AS DOUBLE) FROM hand""", ("leak_scores",))
 def score_normalisation(spark, sf_dir):
-    return view(spark, sf_dir, "leak_scores").select("uid", F.round(rank.normalised(F.col("score")), 6).alias("normalised"))
+    """Scores between the threshold and the best score, which the configured epsilon is; rows by hand with the boundaries."""
+    hand = spark.createDataFrame([(None, a) for a, *_ in _HAND], "uid long, score double")
+    rows = view(spark, sf_dir, "leak_scores").select("uid", "score").unionByName(hand)
+    by = lambda c: F.round(rank.normalised(F.col("score"), c), 6)
+    return rows.select("uid", "score", by(DEFAULTS).alias("normalised"), by(PUBLISHED).alias("published"), by({**DEFAULTS, "min_eval_score": -6.0, "leak_epsilon": -3.0}).alias("swapped"))
 
 
 @query("""WITH f AS (SELECT p_partkey AS id, p_name AS prompt, p_type AS phrase, CAST(2000 + p_size % 25 AS INTEGER) AS year FROM part)

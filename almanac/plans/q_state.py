@@ -46,16 +46,18 @@ def dated_prompt_leak(spark, sf_dir):
     return scored.withColumn("score", F.round("score", 6))
 
 
-@query("""WITH c AS (SELECT user_id % 5 AS uid, CAST(2020 + event_id % 2 AS INTEGER) AS year, event_id % 50 AS prompt_idx, min(event_type) AS text FROM events GROUP BY ALL),
-p AS (SELECT DISTINCT year, prompt_idx, 'prompt ' || CAST(prompt_idx AS STRING) AS prompt FROM c WHERE prompt_idx % 9 <> 4),
-d AS (SELECT a.uid AS uid_a, b.uid AS uid_b, a.year, a.prompt_idx, prompt, a.text AS ta, b.text AS tb,
-    ('0x' || substr(md5('swap|' || concat_ws('|', a.uid, b.uid, a.year, a.prompt_idx)), 1, 8))::UBIGINT < 2147483648 AS swap FROM c a JOIN c b ON a.uid < b.uid AND a.year = b.year AND a.prompt_idx = b.prompt_idx JOIN p ON p.year = a.year AND p.prompt_idx = a.prompt_idx)
+@query("""WITH c AS (SELECT user_id % 5 AS uid, CAST(2020 + event_id % 2 AS INTEGER) AS year, event_id % 50 AS prompt_idx, min(event_type) AS text FROM events WHERE user_id % 5 <> 2 OR event_id % 50 > 8 GROUP BY ALL),
+p AS (SELECT DISTINCT CAST(2020 + event_id % 2 AS INTEGER) AS year, event_id % 50 AS prompt_idx, 'prompt ' || CAST(event_id % 50 AS STRING) AS prompt FROM events WHERE event_id % 50 % 9 <> 4),
+y AS (SELECT DISTINCT uid, year FROM c),
+d AS (SELECT a.uid AS uid_a, b.uid AS uid_b, a.year, p.prompt_idx, prompt, coalesce(ca.text, '') AS ta, coalesce(cb.text, '') AS tb,
+    ('0x' || substr(md5('swap|' || concat_ws('|', a.uid, b.uid, a.year, p.prompt_idx)), 1, 8))::UBIGINT < 2147483648 AS swap FROM y a JOIN y b ON a.uid < b.uid AND a.year = b.year JOIN p ON p.year = a.year
+    LEFT JOIN c ca ON ca.uid = a.uid AND ca.year = a.year AND ca.prompt_idx = p.prompt_idx LEFT JOIN c cb ON cb.uid = b.uid AND cb.year = a.year AND cb.prompt_idx = p.prompt_idx)
 SELECT uid_a, uid_b, year, prompt_idx, prompt, swap, CASE WHEN swap THEN tb ELSE ta END AS first, CASE WHEN swap THEN ta ELSE tb END AS second FROM d""")
 def duel_inputs(spark, sf_dir):
-    """Completions of both players joined by year and prompt, in drawn order."""
-    e = table(spark, sf_dir, "events")
-    c = e.groupBy((F.col("user_id") % 5).alias("uid"), (2020 + F.col("event_id") % 2).cast("int").alias("year"), (F.col("event_id") % 50).alias("prompt_idx")).agg(F.min("event_type").alias("text"))
-    prompts = c.where("prompt_idx % 9 <> 4").select("year", "prompt_idx", F.concat(F.lit("prompt "), F.col("prompt_idx").cast("string")).alias("prompt")).distinct()
+    """Completions of both players joined by year and prompt, in drawn order; one player left some prompts out."""
+    e = table(spark, sf_dir, "events").select("event_type", (F.col("user_id") % 5).alias("uid"), (2020 + F.col("event_id") % 2).cast("int").alias("year"), (F.col("event_id") % 50).alias("prompt_idx"))
+    c = e.where("uid <> 2 OR prompt_idx > 8").groupBy("uid", "year", "prompt_idx").agg(F.min("event_type").alias("text"))
+    prompts = e.where("prompt_idx % 9 <> 4").select("year", "prompt_idx", F.concat(F.lit("prompt "), F.col("prompt_idx").cast("string")).alias("prompt")).distinct()
     return rank.duel_inputs(c, rank.pairs(c.select("uid").distinct(), "uid"), prompts)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,9 +77,9 @@ def stalls(samples: DataFrame, key: str, size: str, ts: str, seconds: float) ->
 
 
 def within_budget(work: DataFrame, key: str, order: str, duration: str, budget: float) -> DataFrame:
-    """Work items of a key that begin before its budget is spent; the rest is skipped."""
+    """Work items of a key that begin while no more than its budget is spent; the rest is skipped."""
     before = F.coalesce(F.sum(duration).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return work.withColumn("spent", before).withColumn("skipped", F.col("spent") >= budget)
+    return work.withColumn("spent", before).withColumn("skipped", F.col("spent") > budget)
 
 
 def running_best(logs: DataFrame, key: str, order: str, loss: str) -> DataFrame:
@@ -116,14 +117,12 @@ def mixed_stream(rows: DataFrame, docs_per_turn: int) -> DataFrame:
 
     def turn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         n = state.get[0] if state.exists else 0
-        for b in batches:
-            b = b.sort_values("pos")
-            k = range(n, n + len(b))
-            n += len(b)
-            yield pd.DataFrame({"source": b["source"], "pos": b["pos"], "kept": list(k), "turn": [i // docs_per_turn for i in k]})
-        state.update((n,))
-
-    return rows.groupBy("source").applyInPandasWithState(turn, "source string, pos long, kept long, turn long", "n long", "append", GroupStateTimeout.NoTimeout)
+        b = pd.concat([x[["source", "pos"]] for x in batches]).sort_values("pos")  # all of a micro-batch: its Arrow batches come in any order
+        k = np.arange(n, n + len(b))
+        state.update((n + len(b),))
+        yield pd.DataFrame({"source": b["source"], "pos": b["pos"], "kept": k, "turn": k // docs_per_turn})
+
+    return rows.select("source", "pos").groupBy("source").applyInPandasWithState(turn, "source string, pos long, kept long, turn long", "n long", "append", GroupStateTimeout.NoTimeout)
 
 
 def settled(samples: DataFrame, seconds: float) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 def test_normalisation_truth_table(spark):
     rows = spark.createDataFrame([(float(x),) for x in (-100, -8, -6, -4.5, -3, 0, 1)], "s double")
     assert [r[0] for r in rows.select(rank.normalised(F.col("s"))).collect()] == [1, 1, 1, 0.5, 0, 0, 0]
-    swapped = {**DEFAULTS, "min_eval_score": -6.0, "best_score": -3.0}
+    swapped = {**DEFAULTS, "min_eval_score": -6.0, "leak_epsilon": -3.0}
     assert [r[0] for r in rows.where("s IN (-6, -4.5, -3)").select(rank.normalised(F.col("s"), swapped)).collect()] == [0, 0.5, 1]
 
 
