@@ -217,11 +217,17 @@ def style_histogram(spark, sf_dir):
     return d.groupBy("style").agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type WHEN event_id % 3 = 1 THEN event_type || chr(10) || CAST(user_id AS STRING) ELSE 'not { json' END AS text FROM events")
+@query("""SELECT event_id, CASE event_id % 7 WHEN 0 THEN event_type WHEN 1 THEN event_type || chr(10) || CAST(user_id AS STRING) WHEN 2 THEN 'not { json' WHEN 3 THEN 'the body ' || event_type WHEN 4 THEN 'the title' WHEN 5 THEN NULL ELSE event_type END AS text FROM events""")
 def json_lines(spark, sf_dir):
-    """JSON lines of several shapes: a body key, prompt with completion, and a malformed line kept as raw text."""
-    e = table(spark, sf_dir, "events")
-    line = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(F.lit(" ").alias("text"), F.col("event_type").alias("body"), F.lit("t").alias("title")))).when(F.col("event_id") % 3 == 1, F.to_json(F.struct(F.col("event_type").alias("prompt"), F.col("user_id").cast("string").alias("completion")))).otherwise("not { json")
+    """JSON lines of several shapes: a body key behind an empty text, prompt with completion, a malformed line kept as raw
+    text, a number, a list or an object in the text's place, nothing but numbers, a string."""
+    e, kind = table(spark, sf_dir, "events"), F.col("event_type")
+    shapes = [
+        F.to_json(F.struct(F.lit(" ").alias("text"), kind.alias("body"), F.lit("t").alias("title"))), F.to_json(F.struct(kind.alias("prompt"), F.col("user_id").cast("string").alias("completion"))), F.lit("not { json"),
+        F.to_json(F.struct(F.col("user_id").alias("text"), F.concat(F.lit("the body "), kind).alias("body"))), F.to_json(F.struct(F.array(kind).alias("text"), F.struct(kind).alias("content"), F.lit(" the title ").alias("title"))),
+        F.to_json(F.struct(F.col("user_id").alias("text"), kind.alias("prompt"))), F.concat(F.lit('" '), kind, F.lit('"')),
+    ]
+    line = F.get(F.array(*shapes), (F.col("event_id") % 7).cast("int"))
     return e.select("event_id", F.get(text_files.json_lines(line), 0).alias("text"))
 
 

@@ -2,67 +2,184 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.core import strip
+from ..functions.core import let, strip
 from ..functions.dates import ymd_of_text
 from ..functions.fixed import JSON_TEXT_KEYS
 from ..operators.rank import checked_benchmarks
 from ..session import file_system
 
 SUFFIXES = ("txt", "md", "jsonl", "json")
+#: Ends of lines.
+LINE_ENDS = r"[\n\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+
+
+def _named(spark: SparkSession, path: str, suffixes: tuple[str, ...]) -> dict[str, str]:
+    """Reader options for the files below a folder whose suffix, in any case, is one of these; a single file counts whatever its name."""
+    fs, p = file_system(spark, path)
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    if fs.getFileStatus(p).isFile():
+        return {}
+    any_case = ("".join(f"[{c}{c.upper()}]" for c in s) for s in suffixes)
+    return {"recursiveFileLookup": "true", "pathGlobFilter": f"*.{{{','.join(any_case)}}}"}
+
+
+def _found(files: DataFrame, path: str) -> DataFrame:
+    if not files.inputFiles():
+        raise FileNotFoundError(f"{path}: no text files")
+    return files
 
 
 def local_files(spark: SparkSession, path: str, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
-    """(path, content): every text file below a folder, whole, in path order where sorted by path."""
-    found = None
-    for s in suffixes:
-        try:
-            part = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*.{s}").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
-        except Exception as e:  # a folder without such files has no rows
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                raise FileNotFoundError(path) from e
-            raise
-        found = part if found is None else found.unionByName(part)
-    return found
+    """(path, content): every text file below a folder, whole, in path order where sorted by path; a folder without any is an error."""
+    files = spark.read.options(**_named(spark, path, suffixes)).text(path, wholetext=True)
+    return _found(files, path).select(F.col("_metadata.file_path").alias("path"), decoded(F.col("value")).alias("content"))
+
+
+def decoded(text: Column) -> Column:
+    """Without bytes that aren't UTF-8, every line end a line feed."""
+    valid = F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")))
+    return F.when(F.contains(valid, F.lit("\r")), F.regexp_replace(valid, "\r\n?", "\n")).otherwise(valid)
+
+
+def _long(parts: Column, min_chars: int) -> Column:
+    return F.filter(F.transform(parts, strip), lambda x: F.length(x) >= max(min_chars, 1))
 
 
 def text_chunks(content: Column, min_chars: int = 1) -> Column:
     """Paragraphs of at least ``min_chars`` characters; single lines where no paragraph is long enough."""
-    long = lambda parts: F.filter(F.transform(parts, strip), lambda x: F.length(x) >= max(min_chars, 1))
-    paragraphs = long(F.split(content, r"(?U)\n\s*\n+"))
-    return F.when(F.size(paragraphs) > 0, paragraphs).otherwise(long(F.split(content, r"\r\n|[\n\r]")))
+    paragraphs = _long(F.split(content, r"(?U)\n\s*\n+"), min_chars)
+    return F.when(F.size(paragraphs) > 0, paragraphs).otherwise(_long(F.split(content, LINE_ENDS), min_chars))
 
 
-def json_text(line: Column) -> Column:
-    """The text of a JSON value: a string itself, the first key with text, else prompt and completion; NULL where there is none."""
-    row = F.from_json(line, ", ".join(f"{k} string" for k in [*JSON_TEXT_KEYS, "prompt", "completion"]), {"mode": "PERMISSIVE"})
+def _string(value: Column, path: str) -> Column:
+    """The string at a path of a JSON value; NULL where there is none or it is of another kind."""
+    at = F.try_variant_get(value, path, "variant")
+    return F.when(F.schema_of_variant(at) == "STRING", at.cast("string"))
+
+
+def text_of_json(value: Column) -> Column:
+    """The text of a parsed JSON value: a string itself, the first key whose value is a string with text, else prompt and completion; NULL where there is none."""
     some = lambda c: F.when(strip(c) != "", strip(c))
-    pair = F.when(row["prompt"].isNotNull() & row["completion"].isNotNull(), some(F.concat(strip(row["prompt"]), F.lit("\n"), strip(row["completion"]))))
-    bare = F.from_json(F.concat(F.lit('{"v":'), line, F.lit("}")), "v string")["v"]
-    return F.when(F.startswith(F.ltrim(line), F.lit('"')), some(bare)).otherwise(F.coalesce(*(some(row[k]) for k in JSON_TEXT_KEYS), pair))
+    prompt, completion = _string(value, "$.prompt"), _string(value, "$.completion")
+    pair = some(F.concat(strip(prompt), F.lit("\n"), strip(completion)))
+    return F.coalesce(some(_string(value, "$")), *(some(_string(value, f"$.{k}")) for k in JSON_TEXT_KEYS), pair)
+
+
+def parsed_json(text: Column) -> Column:
+    """The JSON value that a text is, whole, as a variant; NULL where it isn't one.
+
+    The parser stops behind the first value, so the text is put between brackets, where it must be
+    the only item, and between braces, where nothing may close the brackets early.
+    """
+    items = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast("array<variant>")
+    closed = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    return let(items, lambda xs: F.when((F.size(xs) == 1) & closed, F.get(xs, 0)))
+
+
+def json_text(line: Column) -> Column:
+    """``text_of_json`` of a text; NULL where it isn't JSON."""
+    return let(parsed_json(line), text_of_json)
 
 
 def is_json(line: Column) -> Column:
-    return F.try_parse_json(line).isNotNull()
+    return parsed_json(line).isNotNull()
+
+
+def _line_text(line: Column) -> Column:
+    """A line's text: of its JSON value, or itself where it isn't JSON."""
+    return let(parsed_json(line), lambda v: F.when(v.isNotNull(), text_of_json(v)).otherwise(line))
 
 
-def json_lines(content: Column, min_chars: int = 1) -> Column:
-    """Texts of a JSONL file's lines; a line that isn't JSON is its own text if long enough. Else the file as one array or object."""
-    long = lambda parts: F.filter(parts, lambda x: x.isNotNull() & (F.length(x) >= min_chars))
-    lines = F.filter(F.transform(F.split(content, r"\r\n|[\n\r]"), strip), lambda x: x != "")
-    by_line = long(F.transform(lines, lambda x: F.when(is_json(x), json_text(x)).otherwise(x)))
+def _whole_json(content: Column, min_chars: int) -> Column:
+    """Texts of one JSON value over the whole file: of an array's items, or of itself."""
+    items = lambda v: F.when(F.startswith(F.schema_of_variant(v), F.lit("ARRAY")), v.try_cast("array<variant>")).otherwise(F.array(v))
+    return let(parsed_json(content), lambda v: F.filter(F.transform(items(v), text_of_json), lambda x: x.isNotNull() & (F.length(x) >= min_chars)))
+
+
+def json_lines(content: Column, min_chars: int = 1, by_line: bool = True) -> Column:
+    """Texts of a JSON file: of its lines, one value each, where a line that isn't JSON is its own text if long enough;
+    where no line gives a text, or without ``by_line`` if there is but one line, of the whole file as an array or object."""
     whole = strip(content)
-    items = F.coalesce(F.from_json(whole, "array<string>", {"mode": "PERMISSIVE"}), F.array(whole))
-    return F.when(F.startswith(whole, F.lit("[")), long(F.transform(items, lambda x: F.when(F.startswith(F.ltrim(x), F.lit("{")), json_text(x)).otherwise(strip(x))))).otherwise(by_line)
+    lines = F.filter(F.transform(F.split(whole, LINE_ENDS), strip), lambda x: x != "")
+    texts = F.filter(F.transform(lines, _line_text), lambda x: x.isNotNull() & (F.length(x) >= min_chars))
+    lines_first = F.lit(by_line) | F.contains(whole, F.lit("\n"))
+    return F.when(lines_first & (F.size(texts) > 0), texts).otherwise(F.coalesce(_whole_json(whole, min_chars), F.array().cast("array<string>")))
 
 
 def local_documents(spark: SparkSession, path: str, min_chars: int = 1) -> DataFrame:
-    """(path, pos, text) of all local text and JSON files."""
+    """(path, pos, text) of all local text and JSON files, each file read whole by one task; for large files see ``split_documents``."""
     files = local_files(spark, path)
-    json = F.col("path").rlike(r"(?i)\.jsonl?$")
-    return files.select("path", F.posexplode(F.when(json, json_lines(F.col("content"), min_chars)).otherwise(text_chunks(F.col("content"), min_chars))).alias("pos", "text"))
+    c, name = F.col("content"), F.lower("path")
+    texts = F.when(F.endswith(name, F.lit(".jsonl")), json_lines(c, min_chars)).when(F.endswith(name, F.lit(".json")), json_lines(c, min_chars, False)).otherwise(text_chunks(c, min_chars))
+    return files.select("path", F.posexplode(texts).alias("pos", "text"))
+
+
+def _records(rows: DataFrame) -> DataFrame:
+    """(path, block, at, value) of records that Spark reads in byte ranges; a record belongs to the range in which it begins.
+
+    ``block`` is where the range begins and ``at`` orders the records of a range.
+    """
+    return rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), decoded(F.col("value")).alias("value"))
+
+
+def _paragraph_records(spark: SparkSession, path: str) -> list[DataFrame]:
+    """Records that end at an empty line, by the kind of a file's line ends (file names alone reach the driver)."""
+    options = _named(spark, path, ("txt", "md"))
+    lines = spark.read.options(**options).text(path, lineSep="\n")
+    kinds = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.bool_or(F.endswith("value", F.lit("\r"))).alias("other")).collect()
+    if not any(k.other for k in kinds):
+        return [_records(spark.read.options(**options).text(path, lineSep="\n\n"))]
+    usual, other = (sorted(k.path for k in kinds if k.other == o) for o in (False, True))
+    read = lambda paths, end: _records(spark.read.text(paths, lineSep=end))
+    return [*([read(usual, "\n\n")] if usual else []), read(other, "\n\r\n")]
+
+
+def split_documents(spark: SparkSession, path: str, min_chars: int = 1) -> DataFrame:
+    """(path, block, at, part, text): the documents of ``local_documents`` from files of any size; (block, at, part) orders those of a file.
+
+    Files are read in byte ranges of ``spark.sql.files.maxPartitionBytes``; Spark's reader looks
+    for a record's end beyond its range. Text files end their records at an empty line, which every
+    separator of paragraphs is made of. JSON files are read by lines; which of them are one JSON value
+    over all their lines is told by an aggregate of each file's lines, and only those files' lines
+    are put together again. A single paragraph, line or such value must fit into a task, as it is one
+    document; so must a text file whose lines end in carriage returns alone.
+    """
+    fs, p = file_system(spark, path)
+    one = fs.exists(p) and fs.getFileStatus(p).isFile()
+    json = p.getName().lower().endswith((".json", ".jsonl"))
+    _found(spark.read.options(**_named(spark, path, SUFFIXES)).text(path), path)
+    parts = []
+    if not one or not json:
+        paragraphs = F.posexplode(_long(F.split("value", r"(?U)\n\s*\n+"), min_chars)).alias("part", "text")
+        parts += [r.select("path", "block", "at", paragraphs) for r in _paragraph_records(spark, path)]
+    if not one or json:
+        parts.append(_split_json(_records(spark.read.options(**_named(spark, path, ("jsonl", "json"))).text(path, lineSep="\n")), min_chars))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _split_json(lines: DataFrame, min_chars: int) -> DataFrame:
+    pieces = F.filter(F.transform(F.split(strip(F.col("value")), LINE_ENDS), strip), lambda x: x != "")
+    rows = lines.where(strip(F.col("value")) != "").withColumn("p", pieces).withColumn("n", F.size(F.filter(F.split("value", "\n"), lambda x: strip(x) != ""))).select("path", "block", "at", "n", F.size("p").alias("pieces"), F.posexplode("p").alias("part", "line"))
+    long = F.col("text").isNotNull() & (F.length("text") >= min_chars)
+    seen = rows.withColumn("value", parsed_json(F.col("line"))).withColumn("valid", F.col("value").isNotNull()).withColumn("text", F.when(F.col("valid"), text_of_json(F.col("value"))).otherwise(F.col("line"))).drop("value")
+    # a line is a record of its own in lines files and in files of several lines
+    in_lines = F.endswith(F.lower("path"), F.lit(".jsonl")) | (F.col("lines") > 1)
+    files = seen.groupBy("path").agg(F.sum(F.when(F.col("part") == 0, F.col("n"))).alias("lines"), F.count_if(long).alias("texts")).withColumn("by_line", in_lines & (F.col("texts") > 0)).select(F.col("path").alias("of"), "by_line")
+    same = F.col("path") == F.col("of")
+    out = ["path", "block", "at", "part", "text"]
+    # the text of a file's line that is one JSON value is the same either way, unless that is an array
+    sure = F.endswith(F.lower("path"), F.lit(".jsonl")) | (F.col("valid") & (F.col("pieces") == 1))
+    plain = seen.where(long & sure).select(*out)
+    raw = seen.where(long & ~sure).join(files.where("by_line"), same, "left_semi").select(*out)
+    whole = rows.join(files.where(~F.col("by_line")), same, "left_semi").groupBy("path").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "at", "part", "line"))), lambda r: r["line"]), "\n").alias("content"), F.count("*").alias("pieces"))
+    arrays = whole.where((F.col("pieces") > 1) | F.startswith(F.col("content"), F.lit("["))).select("path", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("at"), F.posexplode(F.coalesce(_whole_json(F.col("content"), min_chars), F.array().cast("array<string>"))).alias("part", "text"))
+    return plain.unionByName(raw).unionByName(arrays)
 
 
 def scan(table: DataFrame, text: str = "text", min_chars: int = 1, partitions: tuple[str, list[str]] | None = None) -> DataFrame:
