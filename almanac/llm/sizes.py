@@ -10,11 +10,23 @@ MIN_BUCKETS = 64
 
 
 def buckets(df: DataFrame, bytes_each: int) -> int:
-    """Buckets of about ``bytes_each`` stored bytes, from the plan's size estimate (for file scans the file sizes; no job runs)."""
+    """Buckets of about ``bytes_each`` stored bytes."""
+    return max(MIN_BUCKETS, math.ceil(_stored(df) / bytes_each))
+
+
+def _stored(df: DataFrame) -> int:
+    """Bytes by the plan's size estimate (for file scans the file sizes; no job runs)."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size > 1 << 55:  # an estimate through joins has no meaning any more
-        size = df.count() * 4096
-    return max(MIN_BUCKETS, math.ceil(size / bytes_each))
+    return df.count() * 4096 if size > 1 << 55 else size  # an estimate through joins has no meaning any more
+
+
+#: Input bytes for each partition of a grouped shuffle, and partitions at most; larger tables have larger ones, whose groups still come one at a time.
+PARTITION_BYTES, MOST_PARTITIONS = 8 << 20, 100_000
+
+
+def partitions(df: DataFrame) -> int:
+    """Partitions of a shuffle by group that grow with the table, so that no task does."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(MOST_PARTITIONS, _stored(df) // PARTITION_BYTES))
 
 
 def fresh(df: DataFrame, name: str) -> str:
