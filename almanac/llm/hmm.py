@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .shared import cut
-from .sizes import buckets
+from .sizes import buckets, partitions
 
 STATES, CLASSES, SUFFIX = 12, 8192, 4
 #: Rounds over all documents at most, and the gain in log likelihood per token under which they end.
@@ -272,7 +272,7 @@ def train_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = buckets(docs, PART_BYTES)
     rows = docs.where(~held_out(docs[id_col])).select(docs[text_col].cast("string").alias("text"))
     both = gathered(rows, parts, n_classes)
-    seqs, words = both.where("part < 0").select("first", "cls"), cut(word_counts(both))
+    seqs, words = both.where("part < 0").select("first", "cls"), cut(word_counts(both, partitions(docs)))
     class_tokens, class_words = class_totals(words, n_classes)
     m, last = first_model((class_tokens + 1) / (class_tokens.sum() + n_classes), states), -math.inf
     for _ in range(rounds):
@@ -335,7 +335,7 @@ def gathered(train: DataFrame, parts: int, n_classes: int) -> DataFrame:
     return cut(train.mapInArrow(run, "part int, words binary, classes binary, counts binary, first binary, cls binary"))
 
 
-def word_counts(both: DataFrame) -> DataFrame:
+def word_counts(both: DataFrame, n_partitions: int) -> DataFrame:
     """(part, words, classes, counts): the training words of each part, sorted by hash, with their classes and counts."""
 
     def total(t: pa.Table) -> pa.Table:
@@ -349,7 +349,7 @@ def word_counts(both: DataFrame) -> DataFrame:
         return pa.table({"part": t.column("part").slice(0, 1), "words": pa.array([words.tobytes()], pa.binary()), "classes": pa.array([cls.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
     schema = "part int, words binary, classes binary, counts binary"
-    return both.where("part >= 0").select("part", "words", "classes", "counts").groupBy("part").applyInArrow(total, schema)
+    return both.where("part >= 0").select("part", "words", "classes", "counts").repartitionById(n_partitions, "part").groupBy("part").applyInArrow(total, schema)
 
 
 def class_totals(counted: DataFrame, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -418,6 +418,8 @@ def score(docs: DataFrame, trained: Trained, id_col: str = "doc_id", text_col: s
         whole = forward(cls, at[:-1], lengths, m) / math.log(10) + within
         return pa.table({"doc_id": t.column("doc_id"), "held_out": t.column("held_out"), "n_tokens": lengths, "n_known": known, "train_tokens": np.full(len(lengths), n), "base_score": base, "score": whole})
 
-    asked = dealt.groupBy("bucket").applyInArrow(ask, "part int, bucket int, words binary")
-    replies = asked.groupBy("part").cogroup(trained.words.select("part", "words", "counts").groupBy("part")).applyInArrow(reply, "bucket int, part int, counts binary")
-    return dealt.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(judge, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    k = partitions(docs)  # the same on both sides, so nothing is shuffled again
+    by = lambda df, c: df.repartitionById(k, c).groupBy(c)
+    asked = by(dealt, "bucket").applyInArrow(ask, "part int, bucket int, words binary")
+    replies = by(asked, "part").cogroup(by(trained.words.select("part", "words", "counts"), "part")).applyInArrow(reply, "bucket int, part int, counts binary")
+    return by(dealt, "bucket").cogroup(by(replies, "bucket")).applyInArrow(judge, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
