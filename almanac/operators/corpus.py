@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import crawl_year, snapshot_year, stable_seed, uniform
 from ..functions.fixed import SKILLS
-from .order import numbered, running_total
+from .order import numbered, permuted, running_total
 
 
 class CutoffError(ValueError):
@@ -113,12 +113,6 @@ def mix(rows: DataFrame, weights: DataFrame, source: str, order: str) -> DataFra
     return joined.withColumn("place", (F.col("_k") + 0.5) / F.col("weight")).drop("weight", "_k")
 
 
-def sequential(rows: DataFrame, names: list[str], source: str, order: str) -> DataFrame:
-    """Sources one after another in the listed order: sort by (source_pos, order)."""
-    listed = F.array(*map(F.lit, names))
-    return rows.where(F.col(source).isin(names)).withColumn("source_pos", F.array_position(listed, F.col(source)).cast("int"))
-
-
 def shuffled(rows: DataFrame, key: Column, seed: int = 0, epoch: int = 0) -> DataFrame:
     """Rows in a seeded order that the key decides: a range sort on a hash, the same on every cluster."""
     return rows.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed).cast("string"), F.lit(epoch).cast("string"), key.cast("string")).cast("binary"))).orderBy("shuffle_key", key)
@@ -242,3 +236,49 @@ def first_found(keys: DataFrame, key: str, value: str, *tables: DataFrame) -> Da
         names.append(f"_v{k}")
         keys = keys.join(t.select(key, F.col(value).alias(names[-1])), key, "left")
     return keys.withColumn(value, F.coalesce(*names)).drop(*names)
+
+
+#: What a local source's state looks like; older ones, which kept a table of the order, are refused.
+LOCAL_VERSION = "local_v4"
+
+
+def local_state(docs: DataFrame, path: str, order: list[str], text: str = "text", seed: int = 42, shuffle: bool = True, cycle: bool = True, start: int = 0) -> dict:
+    """The state of a local source that hasn't begun: its path and digest, the number of documents, and where it stands.
+
+    Epochs' orders follow from (seed, epoch), so no order is kept.
+    """
+    n, digest = docs.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64(*order, text).cast("decimal(38,0)")), F.lit(0)).cast("string")).first()
+    if not n:
+        raise ValueError(f"{path} has no usable documents")
+    start = max(0, start)
+    return {"version": LOCAL_VERSION, "path": path, "digest": digest, "n": n, "seed": seed, "shuffle": shuffle, "cycle_flag": cycle, "cycle": 0, "offset": start % n if cycle else min(start, n)}
+
+
+def local_scan(docs: DataFrame, state: dict, n_docs: int, order: list[str]) -> tuple[DataFrame, dict]:
+    """(the next ``n_docs`` documents with ``epoch`` and ``place``; the state behind them).
+
+    ``docs`` are in the order of ``order``, which is total. Every epoch has an order of its own, a
+    permutation computed row by row. Without ``cycle_flag`` the source ends with its first epoch. A state
+    belongs to documents: another number of them is an error.
+    """
+    if state.get("version") != LOCAL_VERSION:
+        raise ValueError(f"a local state of version {state.get('version')}")
+    n, first = state["n"], state["cycle"] * state["n"] + state["offset"]
+    last = first + n_docs if state["cycle_flag"] else min(first + n_docs, n)
+    at = numbered(docs, order, name="_pos")
+    if docs.count() != n:
+        raise ValueError(f"{state['path']} has another number of documents than {n}")
+    epochs_ = F.explode(F.sequence(F.lit(first // n).cast("long"), F.lit(max(first, last - 1) // n).cast("long")))
+    each = at.withColumn("epoch", epochs_)
+    place = permuted(F.col("_pos"), n, F.lit(state["seed"]), F.col("epoch")) if state["shuffle"] else F.col("_pos")
+    rows = each.withColumn("place", F.col("epoch") * n + place).where((F.col("place") >= first) & (F.col("place") < last)).drop("_pos")
+    cycle, offset = divmod(last, n) if state["cycle_flag"] else (0, last)
+    return rows, {**state, "cycle": cycle, "offset": offset}
+
+
+def checked_local_state(state: dict, docs: DataFrame, path: str, order: list[str], text: str = "text") -> dict:
+    """``state`` if it is of these documents; another path or other texts are an error."""
+    now = local_state(docs, path, order, text)
+    if state.get("path") != path or state.get("digest") != now["digest"]:
+        raise ValueError(f"a state of {state.get('path')}, not of {path} as it is")
+    return state

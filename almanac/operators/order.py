@@ -61,3 +61,27 @@ def running_total(rows: DataFrame, value: Column, order: list[str], by: list[str
 def numbered(rows: DataFrame, order: list[str], by: list[str] | None = None, n_ranges: int | None = None, name: str = "pos") -> DataFrame:
     """``rows`` with their place in the order (of the same ``by``), from 0; the order must be total."""
     return running_total(rows, F.lit(1).cast("long"), order, by, n_ranges, name)
+
+
+#: Steps of a walk back into the range; on domains this tight far fewer happen.
+WALK = 64
+
+
+def permuted(pos: Column, n: Column | int, *key: Column) -> Column:
+    """A place in [0, n) for every ``pos`` in [0, n), each place once: a permutation that the key decides, without a table of it.
+
+    Four rounds of a Feistel network on an a x b grid with a = b = ceil(sqrt(n)), walked on until the
+    place lies in the range again. Places can be computed anywhere, also for one row alone.
+    """
+    n = F.lit(n).cast("long") if isinstance(n, int) else n.cast("long")
+    side = F.ceil(F.sqrt(n.cast("double"))).cast("long") + 1
+
+    def step(x: Column) -> Column:
+        left, right = F.floor(x / side).cast("long"), x % side
+        for k in range(2):
+            left = F.pmod(left + F.pmod(F.xxhash64(F.lit(2 * k), right, *key), side), side)
+            right = F.pmod(right + F.pmod(F.xxhash64(F.lit(2 * k + 1), left, *key), side), side)
+        return left * side + right
+
+    walked = F.reduce(F.sequence(F.lit(2), F.lit(WALK)), step(pos.cast("long")), lambda x, _: F.when(x < n, x).otherwise(step(x)))
+    return let(walked, lambda x: F.when(x < n, x).otherwise(F.raise_error(F.lit("a permutation's walk didn't end")).cast("long")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,6 +12,7 @@ from ..functions.dates import drawn_swap
 from ..functions.fixed import BEST_SCORE, DEFAULTS, GATE_EPSILON
 from ..functions.vectors import log_softmax
 from .order import numbered
+from .selection import BUFFERED, largest_group, medians
 
 
 def upper_median(name: str) -> Column:
@@ -72,7 +75,12 @@ def gates(scores: DataFrame, keys: list[str], config: dict = DEFAULTS) -> DataFr
     limit = F.when(F.col("kind") == "known", config["known_threshold"]).otherwise(config["leak_threshold"])
     failed = F.sum(F.when(F.col("score") > config.get("leak_epsilon", GATE_EPSILON), F.col("weight")).otherwise(0))
     ratio = F.coalesce(F.try_divide(failed.cast("double"), F.sum("weight")), F.lit(0.0))
-    return scores.groupBy(*keys, "kind").agg(upper_median("score").alias("median"), ratio.alias("ratio")).withColumn("exceeded", F.col("ratio") > limit)
+    by = [*keys, "kind"]
+    if largest_group(scores, by) <= BUFFERED:
+        return scores.groupBy(*by).agg(upper_median("score").alias("median"), ratio.alias("ratio")).withColumn("exceeded", F.col("ratio") > limit)
+    met = medians(scores, by, "score").select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col("upper").alias("median"))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)))
+    return scores.groupBy(*by).agg(ratio.alias("ratio")).join(met, same, "left").select(*by, "median", "ratio").withColumn("exceeded", F.col("ratio") > limit)
 
 
 def year_scores(scores: DataFrame, config: dict = DEFAULTS) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import claims, dates
 from ..functions.fixed import DEFAULTS
-from ..operators import corpus, rank
+from ..operators import corpus, mixing, rank
 from ..operators.order import numbered
 from ..sources import text_files
 
@@ -79,15 +79,16 @@ def source(spark: SparkSession, spec: dict, cutoff: int) -> DataFrame:
     return out
 
 
-def build_corpus(spark: SparkSession, specs: list[dict], cutoff: int, sequential: bool = False) -> DataFrame:
-    """All sources mixed by weight (column ``place`` is the order), or one after another (``source_pos``, id)."""
+def build_corpus(spark: SparkSession, specs: list[dict], cutoff: int, sequential: bool = False, docs_per_turn: int | None = None, seed: int = 42) -> DataFrame:
+    """All sources mixed, in the order of ``place``: in turns of ``docs_per_turn`` rows, drawn by weight among the sources
+    that still have some or taken one after another (``sequential``); without turns interleaved by weight."""
     if not specs:
         raise corpus.CutoffError("at least one source is required")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [source(spark, s, cutoff) for s in specs])
-    if sequential:
-        return corpus.sequential(rows, [s["name"] for s in specs], "source", "id")
-    weights = spark.createDataFrame([(s["name"], float(s.get("weight", 1.0))) for s in specs], "source string, weight double")
-    return corpus.mix(rows, weights, "source", "id")
+    weights = {s["name"]: float(s.get("weight", 1.0)) for s in specs}
+    if sequential or docs_per_turn:
+        return mixing.mixed(rows, weights, mixing.mix_state(list(weights), docs_per_turn or 4096, seed, sequential))[0]
+    return corpus.mix(rows, spark.createDataFrame(list(weights.items()), "source string, weight double"), "source", "id")
 
 
 def two_model_duel(verdicts: DataFrame) -> DataFrame:

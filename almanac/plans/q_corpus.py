@@ -114,11 +114,6 @@ def source_mix(spark, sf_dir):
     return mixed.select("doc_id", "source", F.col("pos").cast("long").alias("pos"), "turn", F.round("place", 6).alias("place"))
 
 
-@query("SELECT doc_id, source, CAST(list_position(['src3', 'src1'], source) AS INTEGER) AS source_pos FROM crawl_docs WHERE source IN ('src1', 'src3')", ("crawl_docs",))
-def sequential_sources(spark, sf_dir):
-    return corpus.sequential(view(spark, sf_dir, "crawl_docs"), ["src3", "src1"], "source", "doc_id").select("doc_id", "source", "source_pos")
-
-
 @query("SELECT doc_id, epoch, md5('7|' || CAST(epoch AS STRING) || '|' || CAST(doc_id AS STRING)) AS shuffle_key FROM documents, range(2) AS r(epoch)")
 def shuffled_epochs(spark, sf_dir):
     """Every epoch in its own seeded order (the key is the sort key)."""

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from ..functions import names
 from ..functions.core import strip
 from ..functions.fixed import DEFAULTS, PUBLISHED
-from ..operators import rank
+from ..operators import rank, selection
 from ..operators.order import numbered
 from ..session import table
 from .registry import query
@@ -144,7 +144,18 @@ round(exp(least(sum(value * user_id) / sum(user_id), 20)), 3) AS perplexity FROM
 def three_medians(spark, sf_dir):
     """Upper and lower medians, and the perplexity of a weighted mean loss (capped at exp 20)."""
     e = table(spark, sf_dir, "events")
-    return e.groupBy(F.col("event_type").alias("layer")).agg(rank.upper_median("value").alias("upper_median"), rank.lower_median("value").alias("lower_median"), F.round(rank.perplexity("value", "user_id"), 3).alias("perplexity"))
+    m = selection.medians(e, ["event_type"], "value").select(F.col("event_type").alias("_t"), F.col("upper").alias("upper_median"), F.col("lower").alias("lower_median"))
+    p = e.groupBy(F.col("event_type").alias("layer")).agg(F.round(rank.perplexity("value", "user_id"), 3).alias("perplexity"))
+    return p.join(m, F.col("layer").eqNullSafe(F.col("_t"))).drop("_t")
+
+
+@query("""WITH x AS (SELECT l_returnflag AS flag, nullif(l_linenumber, 7) AS line, CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 2 = 0 THEN -l_extendedprice ELSE l_extendedprice * l_discount END AS x FROM lineitem)
+SELECT flag, line, list_sort(list(x))[CAST(floor((count(x) - 1) / 2) AS INTEGER) + 1] AS lower, list_sort(list(x))[CAST(floor(count(x) / 2) AS INTEGER) + 1] AS upper FROM x WHERE x IS NOT NULL GROUP BY ALL""")
+def exact_medians(spark, sf_dir):
+    """Both medians by radix selection, whatever the groups' sizes; prices of both signs, zeros and NULLs, a NULL key."""
+    price = F.when(F.col("l_orderkey") % 11 == 0, None).when(F.col("l_orderkey") % 2 == 0, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice") * F.col("l_discount"))
+    x = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), F.nullif("l_linenumber", F.lit(7)).alias("line"), price.alias("x"))
+    return selection.medians(x, ["flag", "line"], "x", buffered=0)
 
 
 @query("SELECT event_id, uid, row_number() OVER (ORDER BY coalesce(snapshot_at, '9999'), event_id) AS place FROM submissions", ("submissions",))

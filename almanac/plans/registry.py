@@ -22,7 +22,8 @@ def query(sql: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Quer
             text = sql.strip()
             if views:
                 heads = ", ".join(map(duck, views))
-                text = f"WITH {heads}, {text[5:]}" if text.upper().startswith("WITH ") else f"WITH {heads} {text}"
+                lead = next((w for w in ("WITH RECURSIVE ", "WITH ") if text.startswith(w)), None)
+                text = f"{lead}{heads}, {text.removeprefix(lead)}" if lead else f"WITH {heads} {text}"
             ORACLES[f.__name__] = text
         return f
 

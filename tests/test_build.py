@@ -34,8 +34,11 @@ def test_sources_obey_the_cutoff(spark):
 def test_sequential_corpus_and_preprocessing(spark):
     rows = spark.createDataFrame([(1, "The council was elected in 2018 by a margin."), (2, "no")], "doc_id long, text string")
     specs = [{"name": "b", "table": rows, "snapshot_year": 2018}, {"name": "a", "table": rows, "snapshot_year": 2018, "preprocess": {"denoise": True, "claim_filter": True, "probe_rewrite": True}}]
-    got = [(r.source, r.text) for r in build.build_corpus(spark, specs, 2018, sequential=True).orderBy("source_pos", "id").collect()]
+    got = [(r.source, r.text) for r in build.build_corpus(spark, specs, 2018, sequential=True).orderBy("place").collect()]
     assert got == [("b", "The council was elected in 2018 by a margin."), ("b", "no"), ("a", "In 2018, The council was elected by a margin.")]
+    turns = [(r.source, r.id, r.turn) for r in build.build_corpus(spark, specs, 2018, sequential=True, docs_per_turn=1).orderBy("place").collect()]
+    assert turns == [("b", 1, 0), ("a", 1, 1), ("b", 2, 2)]
+    assert {r.id for r in build.build_corpus(spark, specs[:1], 2018, docs_per_turn=1).collect()} == {1, 2}
 
 
 def test_places_and_running_totals(spark):
