@@ -179,3 +179,8 @@ def style_documents(rows: DataFrame, target_year: int = 2024, text: str = "text"
     once = first_of_each(singles, lambda x: F.substring(dedup_key(x["text"]), 1, 240))
     packed = F.filter(F.array(F.struct(F.lit("multistyle_pack").alias("style"), F.col(text).alias("text"))), lambda x: x["text"] != "")
     return rich.select(*keep, F.posexplode(F.concat(once, packed)).alias("pos", "doc")).select(*keep, "pos", "doc.style", "doc.text")
+
+
+def histogram(documents: DataFrame, style: str = "style", most: int = 24) -> DataFrame:
+    """(style, n) of the styles that occur most; ties go by name."""
+    return documents.groupBy(style).agg(F.count("*").alias("n")).orderBy(F.desc("n"), style).limit(most)

@@ -176,13 +176,26 @@ def pack_blocks(tokens: DataFrame, block: int, order: str = "doc_id", eos: int =
     return blocks.where(F.size("input_ids") == block)
 
 
-#: What a scan's state looks like; a state of another version is refused.
-SCAN_VERSION = 1
+#: What a scan's state looks like; one of version 1, which had no sources' names, is taken over.
+SCAN_VERSION = 2
 
 
 def scan_state(seed: int = 42) -> dict:
     """The state of a scan that hasn't begun: a few numbers, to be kept as JSON beside the consumer's own checkpoint."""
-    return {"version": SCAN_VERSION, "seed": seed, "next_turn": 0, "turns": {}}
+    return {"version": SCAN_VERSION, "seed": seed, "next_turn": 0, "turns": {}, "names": None}
+
+
+def _scan_restored(state: dict | None, names: list[str]) -> dict:
+    state = state or scan_state()
+    if state.get("version") == 1:
+        state = {**state, "version": SCAN_VERSION, "names": None}
+    if state.get("version") != SCAN_VERSION:
+        raise ValueError(f"a scan state of version {state.get('version')}, not {SCAN_VERSION}")
+    if state["names"] is not None and state["names"] != names:
+        raise ValueError(f"a state of sources {state['names']}, not {names}")
+    if unknown := set(state["turns"]) - set(names):
+        raise ValueError(f"a state of unknown sources {sorted(unknown)}")
+    return {**state, "names": names}
 
 
 def weighted_scan(rows: DataFrame, weights: DataFrame, n_turns: int, docs_per_turn: int, state: dict | None = None, source: str = "source", key: str = "id", keep: Column | None = None) -> tuple[DataFrame, dict]:
@@ -191,34 +204,46 @@ def weighted_scan(rows: DataFrame, weights: DataFrame, n_turns: int, docs_per_tu
     Every turn draws a source by its weight and takes its next ``docs_per_turn`` rows; a source
     that runs out begins its next cycle, and each cycle has a seeded order of its own. ``keep``
     filters rows before they count. Two scans that follow one another by their state give the
-    rows of one long scan. The turns and the sources are few; rows are numbered by ranges.
+    rows of one long scan. Sources and turns are few. Keys alone are numbered, by ranges; the wanted
+    ones meet their rows at the end. A key is one row within its source.
     """
-    state = state or scan_state()
-    if state.get("version") != SCAN_VERSION:
-        raise ValueError(f"a scan state of version {state.get('version')}, not {SCAN_VERSION}")
-    spark, first, seed = rows.sparkSession, state["next_turn"], state["seed"]
     kept = rows.where(keep) if keep is not None else rows
     sizes = {r[0]: r[1] for r in kept.groupBy(source).count().collect()}
-    living = weights.where(F.col(source).isin(list(sizes)))
-    drawn = pick_source(spark.range(first, first + n_turns).withColumnRenamed("id", "turn"), living, F.col("turn"), source, seed=seed)
-    before = spark.createDataFrame([(s, int(n)) for s, n in state["turns"].items()], "picked string, done long")
+    listed = sorted(((r[0], float(r[1] or 0.0)) for r in weights.select(source, "weight").collect()), key=lambda x: str(x[0]))
+    state = _scan_restored(state, [s for s, _ in listed])
+    spark, first, seed = rows.sparkSession, state["next_turn"], state["seed"]
+    living = [(s, w) for s, w in listed if s in sizes and w > 0]
+    total, low, bounds = sum(w for _, w in living), 0.0, []
+    for s, w in living:
+        low += w
+        bounds.append((s, low / total))
+    u, drawn = uniform(F.lit(seed), F.col("id")), F.lit(None).cast("string")
+    for k, (s, high) in reversed(list(enumerate(bounds))):
+        drawn = F.when((u < high) | F.lit(k == len(bounds) - 1), s).otherwise(drawn)
+    done = F.coalesce(F.create_map(*(F.lit(x) for s in sizes for x in (s, int(state["turns"].get(s, 0)))))[F.col("picked")], F.lit(0))
+    size = F.create_map(*(F.lit(x) for s, n in sizes.items() for x in (s, int(n))))[F.col("picked")]
     mine = F.row_number().over(Window.partitionBy("picked").orderBy("turn")) - 1
-    turns_ = drawn.withColumn("nth", mine).join(F.broadcast(before), "picked", "left").withColumn("nth", (F.col("nth") + F.coalesce("done", F.lit(0))).cast("long")).drop("done")
+    turns_ = spark.range(first, first + n_turns).select(F.col("id").alias("turn"), drawn.alias("picked")).withColumn("nth", (mine + done).cast("long"))
     counts = {r.picked: r.n for r in turns_.groupBy("picked").agg(F.max("nth").alias("n")).collect()}
-    size = spark.createDataFrame([(s, int(n)) for s, n in sizes.items()], "picked string, size long")
-    slot = turns_.join(F.broadcast(size), "picked").withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(docs_per_turn - 1)))).withColumn("index", F.col("nth") * docs_per_turn + F.col("slot"))
-    wanted = slot.select(F.col("picked").alias(source), "turn", (F.col("turn") * docs_per_turn + F.col("slot")).alias("place"), F.floor(F.col("index") / F.col("size")).cast("long").alias("cycle"), (F.col("index") % F.col("size")).alias("pos"))
-    cycles = wanted.select(source, "cycle").distinct()  # few: the turns bound them
-    shuffled_rows = seeded_shuffle(kept.join(F.broadcast(cycles), source), source, "cycle", key, seed)
-    out = wanted.join(shuffled_rows, [source, "cycle", "pos"]).drop("pos")
-    done = {**state["turns"], **{s: n + 1 for s, n in counts.items()}}
-    return out.select(*rows.columns, "turn", "place", "cycle"), {**state, "next_turn": first + n_turns, "turns": done}
+    slot = turns_.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(docs_per_turn - 1)))).withColumn("index", F.col("nth") * docs_per_turn + F.col("slot"))
+    wanted = slot.select(F.col("picked").alias(source), "turn", (F.col("turn") * docs_per_turn + F.col("slot")).alias("place"), F.floor(F.col("index") / size).cast("long").alias("cycle"), (F.col("index") % size).alias("pos"))
+    # the cycles that these turns go through follow from the sources' turns; only their keys are put in order
+    through = {s: (state["turns"].get(s, 0) * docs_per_turn // sizes[s], ((n + 1) * docs_per_turn - 1) // sizes[s]) for s, n in counts.items()}
+    cycle = F.create_map(*(F.lit(x) for s, (a, b) in through.items() for x in (s, F.sequence(F.lit(a), F.lit(b)))))[F.col(source)]
+    keys = kept.where(F.col(source).isin(list(through))).select(source, key, F.explode(cycle).alias("cycle"))
+    told = wanted.join(seeded_shuffle(keys, source, "cycle", key, seed), [source, "cycle", "pos"]).select(F.col(source).alias("_s"), F.col(key).alias("_k"), "turn", "place", "cycle")
+    out = kept.join(told, (F.col(source) == F.col("_s")) & (F.col(key) == F.col("_k")))
+    return out.select(*rows.columns, "turn", "place", "cycle"), {**state, "next_turn": first + n_turns, "turns": {**state["turns"], **{s: n + 1 for s, n in counts.items()}}}
+
+
+#: Values of an allow-list that are broadcast.
+BROADCAST_VALUES = 100_000
 
 
 def within(rows: DataFrame, column: str, values: list) -> DataFrame:
-    """Rows of an allow-list, a broadcast semi-join (the list is the caller's own)."""
+    """Rows of an allow-list, which is the caller's own: broadcast up to ``BROADCAST_VALUES``, else a join."""
     listed = rows.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` {rows.schema[column].dataType.simpleString()}")
-    return rows.join(F.broadcast(listed), column, "left_semi")
+    return rows.join(F.broadcast(listed) if len(values) <= BROADCAST_VALUES else listed, column, "left_semi")
 
 
 def over_limits(limits: dict[str, float]) -> Column:

@@ -116,8 +116,14 @@ def qualify(scores: DataFrame, config: dict = DEFAULTS) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order))).select("uid", "score", normalised(F.col("score"), config).alias("normalised"), "rank")
 
 
+#: Players of a round robin, whose table is broadcast to itself.
+MOST_PLAYERS = 10_000
+
+
 def pairs(players: DataFrame, order: str) -> DataFrame:
-    """Round robin: every pair once, (uid_a, uid_b) in list order. Players are the qualified few."""
+    """Round robin: every pair once, (uid_a, uid_b) in list order. Players are the qualified few; more than ``MOST_PLAYERS`` are an error."""
+    if (n := players.count()) > MOST_PLAYERS:
+        raise ValueError(f"{n} players for a round robin, more than {MOST_PLAYERS}")
     numbered = players.select("uid", F.row_number().over(Window.orderBy(order)).alias("_p"))
     a, b = numbered.withColumnsRenamed({"uid": "uid_a", "_p": "_a"}), numbered.withColumnsRenamed({"uid": "uid_b", "_p": "_b"})
     return a.join(F.broadcast(b), F.col("_a") < F.col("_b")).select("uid_a", "uid_b")
@@ -172,7 +178,7 @@ def mean_over_years(rates: DataFrame, n_years: int) -> DataFrame:
 
 def final_scores(qualified: DataFrame, rates: DataFrame, config: dict = DEFAULTS) -> DataFrame:
     """(uid, score, normalised, rank, win_rate, final); a single qualifier gets 1 without a duel."""
-    q = qualified.join(F.broadcast(rates.select("uid", "win_rate")), "uid", "left").withColumn("win_rate", F.coalesce("win_rate", F.lit(0.0)))
+    q = qualified.join(rates.select("uid", "win_rate"), "uid", "left").withColumn("win_rate", F.coalesce("win_rate", F.lit(0.0)))
     alone = F.count("*").over(Window.partitionBy(F.lit(1))) == 1
     return q.withColumn("final", F.when(alone, 1.0).otherwise(config["leak_weight"] * F.col("normalised") + config["quality_weight"] * F.col("win_rate")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import claims, dates
@@ -50,7 +50,7 @@ def skip(rows: DataFrame, order: list[str], offset: int) -> DataFrame:
 
 
 def source(spark: SparkSession, spec: dict, cutoff: int) -> DataFrame:
-    """(source, id, text, title, year) of one source.
+    """(source, id, text, title, year) of one source; ``counted_source`` also counts what its preprocessing skips.
 
     A specification has name, path (Parquet) or table (a DataFrame), and optionally text_field,
     title_field, date_field, id_field, min_chars, snapshot_year, min_year, require_date,
@@ -62,6 +62,9 @@ def source(spark: SparkSession, spec: dict, cutoff: int) -> DataFrame:
         raise corpus.CutoffError(f"{spec['name']}: snapshot {snapshot} after {cutoff}")
     column = lambda key, default: F.col(spec[key]) if spec.get(key) else default
     none = F.lit(None).cast("string")
+    # a year window without a date field looks at the column date
+    windowed = any(spec.get(k) is not None for k in ("date_year", "date_year_min", "date_year_max"))
+    spec = {**spec, "date_field": "date"} if windowed and not spec.get("date_field") and "date" in rows.columns else spec
     date = column("date_field", None)
     numeric = date is not None and dict(rows.dtypes)[spec["date_field"]] not in ("string",) if date is not None and "." not in spec["date_field"] else False
     year = F.lit(None).cast("int") if date is None else dates.year_of_number(date) if numeric else dates.year_of_text(date)
@@ -74,9 +77,20 @@ def source(spark: SparkSession, spec: dict, cutoff: int) -> DataFrame:
     kept = kept.where(corpus.passes_date(year, first, last, bool(spec.get("require_date"))))
     out = text_files.scan(kept, spec.get("text_field", "text"), spec.get("min_chars", 1)).select(F.lit(spec["name"]).alias("source"), column("id_field", F.col("doc_id") if "doc_id" in rows.columns else none).alias("id"), column("text_field", F.col("text")).alias("text"), column("title_field", none).alias("title"), year.alias("year"))
     out = skip(out, ["id"], spec.get("start_offset", 0))
-    if claims.preprocess_enabled(spec.get("preprocess")):
-        out = out.withColumn("text", claims.preprocess_by_config(F.col("text"), spec["preprocess"], cutoff, F.col("title"))).where("text IS NOT NULL")
-    return out
+    return preprocessed(out, spec, cutoff).where("text IS NOT NULL") if claims.preprocess_enabled(spec.get("preprocess")) else out
+
+
+def preprocessed(rows: DataFrame, spec: dict, cutoff: int) -> DataFrame:
+    """Rows with their text as the specification's preprocessing leaves it: NULL where it leaves none."""
+    return rows.withColumn("text", claims.preprocess_by_config(F.col("text"), spec["preprocess"], cutoff, F.col("title")))
+
+
+def counted_source(spark: SparkSession, spec: dict, cutoff: int) -> tuple[DataFrame, Observation]:
+    """(the rows of ``source``, counters that are there once an action has run): ``scanned`` rows of the source,
+    ``kept`` and ``skipped`` ones of its preprocessing, without a pass of their own."""
+    plain = source(spark, {k: v for k, v in spec.items() if k != "preprocess"}, cutoff)
+    rows = preprocessed(plain, spec, cutoff) if claims.preprocess_enabled(spec.get("preprocess")) else plain
+    return text_files.counted(rows, F.when(F.col("text").isNull(), "skipped").otherwise("kept"))
 
 
 def build_corpus(spark: SparkSession, specs: list[dict], cutoff: int, sequential: bool = False, docs_per_turn: int | None = None, seed: int = 42) -> DataFrame:

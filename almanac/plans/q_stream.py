@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, table
-from ..streaming import rounds
+from ..streaming import rounds, watch
 from .registry import query
 
 
@@ -58,8 +58,8 @@ def _drain(spark, build, sf_dir, schema):
     """Run a stream over the events file to its end into the shared folder, and read it back."""
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     source = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    q = build(source).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
+    writer = build(source).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True)
+    watch.started(writer, spark).awaitTermination()
     return spark.read.schema(schema).parquet(f"{folder}/out")
 
 
@@ -67,3 +67,25 @@ def _drain(spark, build, sf_dir, schema):
 def stream_daily_cap(spark, sf_dir):
     """The cap as a stateful stream: every attempt numbered, those beyond the cap marked."""
     return _drain(spark, lambda s: rounds.capped_stream(s, 2), sf_dir, "event_id long, user_id long, attempt long, accepted boolean")
+
+
+@query("""WITH c AS (SELECT user_id, event_type, ts, coalesce(event_type <> lag(event_type) OVER w, true) AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT user_id, event_type, ts AS since, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS until FROM c WHERE new),
+l AS (SELECT * FROM s WHERE since + INTERVAL 1 HOUR <= coalesce(until, (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE)),
+t AS (SELECT *, coalesce(event_type <> lag(event_type) OVER (PARTITION BY user_id ORDER BY since), true) AS told FROM l)
+SELECT CAST(user_id AS STRING) AS key, event_type AS value, epoch_us(since) AS since, epoch_us(since + INTERVAL 1 HOUR) AS told FROM t WHERE told""")
+def watched_states(spark, sf_dir):
+    """States of users that lasted an hour, told by timers of a stream, those behind the last sample of a user too."""
+    def build(s):
+        return watch.lasting(s.withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "event_type", "ts", 3600, "1 minute")
+
+    told = _drain(spark, build, sf_dir, watch.OUTPUT)
+    return told.select("key", "value", F.unix_micros("since").alias("since"), F.unix_micros("told").alias("told"))
+
+
+@query("""WITH r AS (SELECT date_trunc('week', ts - INTERVAL 12 HOUR) + INTERVAL 12 HOUR AS start, user_id, value FROM events)
+SELECT epoch_us(start) AS round_start, count(*) AS n, count(DISTINCT user_id) AS n_users, round(sum(value), 2) AS value FROM r WHERE start + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY start""")
+def stream_rounds(spark, sf_dir):
+    """Closed rounds of a stream with exact distinct users; a round closes a day after its end."""
+    closed = _drain(spark, lambda s: rounds.weekly_rounds(s.withColumn("ts", F.col("ts").cast("timestamp")), "1 day"), sf_dir, "round_start timestamp, n long, n_users long, value double")
+    return closed.select(F.unix_micros("round_start").alias("round_start"), "n", "n_users", F.round("value", 2).alias("value"))

@@ -210,11 +210,11 @@ def style_documents(spark, sf_dir):
     return styles.style_documents(view(spark, sf_dir, "claims").select("id", "text", "timestamp"), keep=("id",)).select("id", "style", "text")
 
 
-@query(f"WITH {_RICH}, {_SINGLES} SELECT style, count(*) AS n FROM docs GROUP BY style", ("claims",))
+@query(f"WITH {_RICH}, {_SINGLES} SELECT style, count(*) AS n FROM docs GROUP BY style ORDER BY n DESC, style LIMIT 24", ("claims",))
 def style_histogram(spark, sf_dir):
-    """How often each style occurs."""
+    """The 24 styles that occur most (a top-k report)."""
     d = styles.style_documents(view(spark, sf_dir, "claims").select("id", "text", "timestamp"), keep=("id",))
-    return d.groupBy("style").agg(F.count("*").alias("n"))
+    return styles.histogram(d)
 
 
 @query("""SELECT event_id, CASE event_id % 7 WHEN 0 THEN event_type WHEN 1 THEN event_type || chr(10) || CAST(user_id AS STRING) WHEN 2 THEN 'not { json' WHEN 3 THEN 'the body ' || event_type WHEN 4 THEN 'the title' WHEN 5 THEN NULL ELSE event_type END AS text FROM events""")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build(app: str = "almanac", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings every operator relies on: UTC and adaptive execution."""
+    """A session with the settings every operator relies on: UTC, adaptive execution, and checkpoints that go when they aren't used any more."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -18,6 +18,7 @@ def build(app: str = "almanac", master: str | None = None, **conf: str) -> Spark
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # a checkpoint goes when nothing refers to it any more
     }
     for k, v in {**base, **conf}.items():
         b = b.config(k, v)

@@ -14,17 +14,34 @@ from pyspark.sql.window import Window
 from ..session import file_system
 
 
+#: Length, step and begin of rounds.
+ROUND = ("7 days", "7 days", "4 days 12 hours")
+
+
 def round_window(ts: Column) -> Column:
     """Weeks from Monday 12:00 UTC (the epoch was a Thursday)."""
-    return F.window(ts, "7 days", "7 days", "4 days 12 hours")
+    return F.window(ts, *ROUND)
 
 
 def weekly_rounds(events: DataFrame, grace: str | None = None) -> DataFrame:
-    """(round_start, n, n_users, value) per week; a stream, which can't count distinct users exactly, has n_users_estimate. ``grace`` is how late a submission may come."""
+    """(round_start, n, n_users, value) per week, with exact distinct users. ``grace`` is how late a submission may come.
+
+    A stream has two stateful operators, one behind the other: one row per round and user, given
+    out when the round closes, and the rounds over these. Rows that come after their
+    round closed are dropped and counted (``late_rows``).
+    """
     rows = events.withWatermark("ts", grace) if grace else events
-    users = F.approx_count_distinct("user_id").alias("n_users_estimate") if rows.isStreaming else F.count_distinct("user_id").alias("n_users")
-    counted = rows.groupBy(round_window(F.col("ts")).alias("w")).agg(F.count("*").alias("n"), users, F.sum("value").alias("value"))
-    return counted.select(F.col("w.start").alias("round_start"), *counted.columns[1:])
+    if not rows.isStreaming:
+        counted = rows.groupBy(round_window(F.col("ts")).alias("w")).agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("n_users"), F.sum("value").alias("value"))
+        return counted.select(F.col("w.start").alias("round_start"), "n", "n_users", "value")
+    users = rows.groupBy(round_window(F.col("ts")), "user_id").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+    counted = users.groupBy(F.window(F.window_time("window"), *ROUND).alias("w")).agg(F.sum("n").alias("n"), F.count("user_id").alias("n_users"), F.sum("value").alias("value"))
+    return counted.select(F.col("w.start").alias("round_start"), "n", "n_users", "value")
+
+
+def late_rows(progress: list[dict]) -> int:
+    """How many rows a stream dropped because they came after their time, by the progress of its batches."""
+    return sum(int(o.get("numRowsDroppedByWatermark", 0)) for p in progress for o in p.get("stateOperators", []))
 
 
 def capped(events: DataFrame, cap: int = 12, key: str = "user_id", ts: str = "ts", tie: str = "event_id") -> DataFrame:
@@ -125,29 +142,6 @@ def mixed_stream(rows: DataFrame, docs_per_turn: int) -> DataFrame:
     return rows.select("source", "pos").groupBy("source").applyInPandasWithState(turn, "source string, pos long, kept long, turn long", "n long", "append", GroupStateTimeout.NoTimeout)
 
 
-def settled(samples: DataFrame, seconds: float) -> DataFrame:
-    """A watcher with debounce over a stream of (key, fingerprint, ts): a fingerprint is emitted once, when a sample
-    shows that it has not changed for ``seconds``; one that was the last to be emitted isn't emitted again.
-
-    The state of a key is its current fingerprint, since when, and the last one emitted.
-    """
-
-    def watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now, since, told = state.get if state.exists else (None, 0.0, None)
-        out = []
-        for r in pd.concat(list(batches)).sort_values("ts").itertuples():
-            at = r.ts.timestamp()
-            if r.fingerprint != now:
-                now, since = r.fingerprint, at
-            if at - since >= seconds and now != told:
-                told = now
-                out.append((key[0], now, r.ts))
-        state.update((now, since, told))
-        yield pd.DataFrame(out, columns=["key", "fingerprint", "ts"])
-
-    return samples.groupBy("key").applyInPandasWithState(watch, "key string, fingerprint string, ts timestamp", "now string, since double, told string", "append", GroupStateTimeout.NoTimeout)
-
-
 def interval_metrics(steps: DataFrame, keys: list[str], order: str, ts: str, value: str, every: int) -> DataFrame:
     """(…keys, point, loss, n, per_second): the mean between log points ``every`` steps apart, and steps by second (NULL in no time)."""
     seconds = (F.unix_micros(F.max(ts).cast("timestamp")) - F.unix_micros(F.min(ts).cast("timestamp"))) / 1e6

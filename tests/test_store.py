@@ -85,18 +85,6 @@ def test_outbox_sends_what_waits_until_it_is_acknowledged(spark, tmp_path):
     assert sent == [[1, 2], [2], [2, 3]] and s.read("outbox").where("synced").count() == 3
 
 
-def test_watcher_tells_each_settled_state_once(spark, tmp_path):
-    t = lambda m: dt.datetime(2024, 1, 1, 0, m)
-    batches = [[("d", "f1", t(0)), ("d", "f1", t(1))], [("d", "f1", t(5)), ("d", "f1", t(9))], [("d", "f2", t(10)), ("d", "f1", t(11)), ("d", "f1", t(20))], [("d", "f3", t(30)), ("d", "f3", t(36))]]
-    for k, b in enumerate(batches):
-        spark.createDataFrame(b, "key string, fingerprint string, ts timestamp").coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
-    s = spark.readStream.schema("key string, fingerprint string, ts timestamp").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
-    q = rounds.settled(s, 300).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    got = sorted((r.ts.minute, r.fingerprint) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert [f for _, f in got] == ["f1", "f3"] and got[0][0] == 5
-
-
 def test_a_batch_folder_replaces_what_a_crash_left(spark, tmp_path):
     f = rounds.once_per_batch(rounds.batch_folder(str(tmp_path / "out")), str(tmp_path / "ledger"))
     spark.range(5).write.parquet(str(tmp_path / "out/batch_id=0"))  # work without its entry in the ledger
