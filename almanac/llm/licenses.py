@@ -200,8 +200,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containe
         banded = F.broadcast(banded)
     pairs = keyed.join(banded, ["size", "key"]).groupBy("doc_id", "text_key", "size", "begin", "license_id").agg(F.first("words").alias("words"), F.first("exact").alias("exact"))
     own = let(F.col("words"), lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)), lambda i: F.array_join(F.slice(w, i, F.lit(SHINGLE)), " ")))
-    judged = pairs.withColumn("own", own).select(
-        "doc_id", "text_key", "license_id", "begin", (F.size(F.array_intersect("own", "exact")) / F.size("exact")).alias("share"),
-        F.array_min(F.filter(F.transform("own", lambda x, i: F.when(F.array_contains("exact", x), i)), lambda i: i.isNotNull())).alias("at"),
-    ).where(F.col("share") >= contained)
+    # an intersection keeps the window's order, so its first shingle is the first that is held; both are found through hash sets
+    common = pairs.withColumn("own", own).withColumn("common", F.array_intersect("own", "exact")).withColumn("share", F.size("common") / F.size("exact")).where(F.col("share") >= contained)
+    judged = common.select("doc_id", "text_key", "license_id", "begin", "share", (F.array_position("own", F.get("common", 0)) - 1).alias("at"))
     return judged.groupBy("doc_id", "text_key", "license_id").agg(F.max("share").alias("containment"), F.min(F.col("begin") + F.col("at")).cast("long").alias("first_word"), F.count("*").alias("n_windows")).drop("text_key")
