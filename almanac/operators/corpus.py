@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -307,3 +312,32 @@ def checked_local_state(state: dict, docs: DataFrame, path: str, order: list[str
     if state.get("path") != path or state.get("digest") != now["digest"]:
         raise ValueError(f"a state of {state.get('path')}, not of {path} as it is")
     return state
+
+
+def buffered_shuffle(rows: DataFrame, buffer: int, seed: int, name: str = "", cycle: int = 0) -> DataFrame:
+    """Rows shuffled as a stream shuffles them: a buffer of so many rows in each partition, of which every new row replaces a drawn one.
+
+    The draws follow from (seed, name, cycle) and the partition's number, so a partition that is done again gives the
+    same order, as long as its rows come in the same one. Nothing moves between partitions.
+    """
+    if buffer < 1:
+        raise ValueError("a buffer of at least one row")
+    base = int.from_bytes(hashlib.sha256(f"{seed}|{name}|{cycle}".encode()).digest()[4:8], "big") & 0x7FFFFFFF
+
+    def run(batches):
+        rng, held = np.random.default_rng([base, TaskContext.get().partitionId()]), None
+        for b in batches:
+            table = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])]).combine_chunks()
+            had = 0 if held is None else held.num_rows
+            fill = min(buffer, table.num_rows)
+            slots, out = list(range(fill)), []
+            for new, at in zip(range(fill, table.num_rows), rng.integers(0, buffer, table.num_rows - max(fill, had)).tolist(), strict=True):
+                out.append(slots[at])
+                slots[at] = new
+            if out:
+                yield from table.take(pa.array(out)).combine_chunks().to_batches()
+            held = table.take(pa.array(slots)).combine_chunks()
+        if held is not None:
+            yield from held.take(pa.array(rng.permutation(held.num_rows))).combine_chunks().to_batches()
+
+    return rows.mapInArrow(run, rows.schema)

@@ -40,6 +40,43 @@ def spectral_pairs(layers: DataFrame, threshold: float = SPECTRUM_DISTANCE) -> D
     return pairs.withColumn("duplicate", F.col("distance") < threshold)
 
 
+#: Pivots of each (layer, size); the first two make the cells that candidates meet in.
+PIVOTS = 4
+#: What rounding may add to a bound.
+SLACK = 1e-9
+
+
+def spectral_candidates(layers: DataFrame, threshold: float = SPECTRUM_DISTANCE) -> DataFrame:
+    """(uid, earlier): every pair that may be a spectral duplicate, found without comparing all pairs.
+
+    A mean distance below the threshold has a layer below it. The distance is a metric, so there the two
+    lie at distances from any pivot that differ by less than the threshold: both fall into the same or neighbouring cells
+    of that width for two pivots, in which they meet, and further pivots prune before any vector is looked at.
+    """
+    rows = _leading(layers)
+    pivots = rows.groupBy("layer", "n").agg(*(F.min_by("top", F.xxhash64("uid", F.lit(k))).alias(f"_p{k}") for k in range(PIVOTS)))
+    away = F.array(*(distance(F.col("top"), F.col(f"_p{k}")) for k in range(PIVOTS)))
+    cell = lambda k: F.floor(F.get("_d", k) / threshold)
+    placed = rows.join(pivots, ["layer", "n"]).select("uid", "ord", "layer", "n", away.alias("_d")).select("*", cell(0).alias("_c0"), cell(1).alias("_c1"))
+    near = lambda c: F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)).alias(c)
+    others = placed.select(F.col("uid").alias("earlier"), F.col("ord").alias("_ob"), "layer", "n", F.col("_d").alias("_e"), near("_c0"), "_c1").select("earlier", "_ob", "layer", "n", "_e", "_c0", near("_c1"))
+    within = F.forall(F.zip_with("_d", "_e", lambda x, y: F.abs(x - y) < threshold + SLACK), lambda ok: ok)
+    return placed.join(others, ["layer", "n", "_c0", "_c1"]).where((F.col("_ob") < F.col("ord")) & within).select("uid", "earlier").distinct()
+
+
+def _leading(layers: DataFrame) -> DataFrame:
+    return layers.withColumn("n", F.size("vec")).withColumn("top", top_prefix(F.col("vec")))
+
+
+def spectral_duplicates(layers: DataFrame, threshold: float = SPECTRUM_DISTANCE) -> DataFrame:
+    """(uid, earlier, distance): the duplicates of ``spectral_pairs``, exactly, from the candidates that the pivots leave."""
+    rows = _leading(layers)
+    a = rows.select("uid", "layer", "n", F.col("top").alias("_a"))
+    b = rows.select(F.col("uid").alias("earlier"), "layer", "n", F.col("top").alias("_b"))
+    met = spectral_candidates(layers, threshold).join(a, "uid").join(b, ["earlier", "layer", "n"])
+    return met.groupBy("uid", "earlier").agg(F.avg(distance(F.col("_a"), F.col("_b"))).alias("distance")).where(F.col("distance") < threshold)
+
+
 def cosine_pairs(layers: DataFrame, threshold: float = WEIGHT_COSINE) -> DataFrame:
     """(uid, earlier, cosine, duplicate): the mean cosine over shared layers of one size greater than one."""
     rows = layers.withColumn("n", F.size("vec")).where("n > 1")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from ..operators import duplicates
+from ..operators import duplicates, factor
 from ..session import table
 from .registry import query
 from .views import view
@@ -96,3 +96,21 @@ def singular_values(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings").select("vec_id", vectors.singular_values(F.col("embedding"), 8).alias("s"))
     power = lambda k: F.reduce("s", F.lit(0.0), lambda a, x: a + F.pow(x, F.lit(k)))
     return v.select("vec_id", F.round(power(2), 4).alias("squares"), F.round(power(4), 3).alias("fourth_powers"), F.size("s").alias("n"))
+
+
+@query(f"""WITH {_FP}, t AS (SELECT uid, ord, layer, {_UNIT.format('vec', _TOP.format('vec'))} AS vec FROM fp WHERE uid % 7 <> 3 OR layer > 2), {_PAIRS.replace('fp', 't')}
+SELECT uid, earlier, round(avg(list_distance(va, vb)), 9) AS distance FROM p GROUP BY ALL HAVING avg(list_distance(va, vb)) < 0.001""")
+def spectral_duplicates(spark, sf_dir):
+    """Spectral duplicates among models that don't all have the same layers, through pivots and not through all pairs."""
+    f = _fingerprints(spark, sf_dir).where("uid % 7 <> 3 OR layer > 2")
+    return duplicates.spectral_duplicates(f).withColumn("distance", F.round("distance", 9))
+
+
+@query("""WITH v AS (SELECT label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+g AS (SELECT label, i, j, sum(v[i] * v[j]) AS x FROM v, range(1, 65) AS a(i), range(1, 65) AS b(j) GROUP BY ALL)
+SELECT label, round(sum(CASE WHEN i = j THEN x END), 6) AS squares, round(sum(x * x), 4) AS fourth_powers, CAST(least(64, any_value(n)) AS INTEGER) AS n FROM g JOIN (SELECT label AS l, count(*) AS n FROM embeddings GROUP BY 1) ON l = label GROUP BY label""")
+def tall_spectra(spark, sf_dir):
+    """Spectra of all vectors of a label as one tall matrix M: their squares sum up to the trace of M'M, their fourth powers to that of its square."""
+    s = factor.spectra(table(spark, sf_dir, "embeddings"), "label", "embedding", 64)
+    power = lambda k: F.reduce("spectrum", F.lit(0.0), lambda a, x: a + F.pow(x, F.lit(k)))
+    return s.select("label", F.round(power(2), 6).alias("squares"), F.round(power(4), 4).alias("fourth_powers"), F.size("spectrum").alias("n"))
