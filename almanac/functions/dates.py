@@ -27,18 +27,39 @@ def year_of_text(text: Column) -> Column:
     return F.when(t.rlike(r"^\d{4}$|^\d{4}-\d{2}-\d{2}|^\d{8}"), F.substring(t, 1, 4).cast("int")).otherwise(iso)
 
 
+def _parts(at: Column) -> Column:
+    return F.struct(F.year(at).alias("year"), F.month(at).alias("month"), F.dayofmonth(at).alias("day"))
+
+
+def iso_date(t: Column) -> Column:
+    """The date of an ISO text, with a time behind it or not: YYYY-MM-DD, YYYYMMDD, YYYY-Www-D, YYYY-Www or those without dashes; NULL for any other."""
+    day = F.coalesce(
+        F.try_to_date(F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ].*)?$"), F.substring(t, 1, 10)), "yyyy-MM-dd"),
+        F.try_to_date(F.when(t.rlike(r"^\d{8}(?:[T ].*)?$"), F.substring(t, 1, 8)), "yyyyMMdd"),
+    )
+    part = lambda k: F.regexp_extract(t, r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?(?:[T ].*)?$", k).try_cast("int")
+    monday = F.date_trunc("week", F.make_date(part(1), F.lit(1), F.lit(4))).cast("date")
+    week = F.date_add(monday, (part(2) - 1) * 7 + F.coalesce(part(3), F.lit(1)) - 1)
+    # a year has 53 weeks if its 53rd Thursday is its own
+    real = part(2).between(1, 52) | ((part(2) == 53) & (F.year(F.date_add(monday, 52 * 7 + 3)) == part(1)))
+    return F.coalesce(day, F.when(real & (part(1) > 0), week))
+
+
 def ymd_of_text(text: Column) -> Column:
-    """struct(year, month, day) of a date in front of a text; NULL where there is none."""
+    """struct(year, month, day) of a date in front of a text, whatever follows and however high its numbers; else of an ISO date; NULL where there is none."""
     t = strip(text)
     part = lambda k: F.regexp_extract(t, r"^((?:19|20)\d{2})-(\d{2})-(\d{2})", k).cast("int")
-    return F.when(t.rlike(r"^(?:19|20)\d{2}-\d{2}-\d{2}"), F.struct(part(1).alias("year"), part(2).alias("month"), part(3).alias("day")))
+    iso = iso_date(t)
+    front = F.struct(part(1).alias("year"), part(2).alias("month"), part(3).alias("day"))
+    return F.when(t.rlike(r"^(?:19|20)\d{2}-\d{2}-\d{2}"), front).when(iso.isNotNull(), _parts(iso))
 
 
 def ymd_of_number(n: Column) -> Column:
+    """struct(year, month, day) of epoch milliseconds beyond 1e12 or seconds beyond 1e9; NULL for any other number."""
     x = n.cast("double")
     seconds = F.when(x > 1e12, x / 1000.0).otherwise(x)
     at = F.timestamp_seconds(seconds)
-    return F.when(seconds > 1e9, F.struct(F.year(at).alias("year"), F.month(at).alias("month"), F.dayofmonth(at).alias("day")))
+    return F.when(seconds > 1e9, _parts(at))
 
 
 def month_name(number: Column) -> Column:

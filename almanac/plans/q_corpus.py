@@ -38,11 +38,14 @@ def mixed_date_years(spark, sf_dir):
     return view(spark, sf_dir, "dated_rows").select("id", dates.year_of_text(F.col("raw_date")).alias("year_of_text"), dates.year_of_number(F.col("raw_number")).alias("year_of_number"))
 
 
-@query("""SELECT id, CASE WHEN m THEN CAST(substring(t, 1, 4) AS INTEGER) END AS y, CASE WHEN m THEN CAST(substring(t, 6, 2) AS INTEGER) END AS mo, CASE WHEN m THEN CAST(substring(t, 9, 2) AS INTEGER) END AS d
-FROM (SELECT id, trim(raw_date) AS t, coalesce(regexp_matches(trim(raw_date), '^(19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}'), false) AS m FROM dated_rows)""", ("dated_rows",))
+@query("""WITH t AS (SELECT id, trim(raw_date) AS t, CASE WHEN raw_number > 1e12 THEN raw_number / 1000 ELSE raw_number END AS x FROM dated_rows),
+k AS (SELECT *, coalesce(regexp_matches(t, '^[0-9]{4}-[0-9]{2}-[0-9]{2}'), false) AS m, coalesce(regexp_matches(t, '^[0-9]{8}$'), false) AS e, CASE WHEN x > 1e9 THEN make_timestamp(CAST(x * 1000000 AS BIGINT)) END AS tm FROM t)
+SELECT id, CASE WHEN m OR e THEN CAST(substring(t, 1, 4) AS INTEGER) END AS y, CASE WHEN m THEN CAST(substring(t, 6, 2) AS INTEGER) WHEN e THEN CAST(substring(t, 5, 2) AS INTEGER) END AS mo,
+    CASE WHEN m THEN CAST(substring(t, 9, 2) AS INTEGER) WHEN e THEN CAST(substring(t, 7, 2) AS INTEGER) END AS d, CAST(year(tm) AS INTEGER) AS ny, CAST(month(tm) AS INTEGER) AS nmo, CAST(day(tm) AS INTEGER) AS nd FROM k""", ("dated_rows",))
 def date_parts(spark, sf_dir):
-    p = dates.ymd_of_text(F.col("raw_date"))
-    return view(spark, sf_dir, "dated_rows").select("id", p["year"].alias("y"), p["month"].alias("mo"), p["day"].alias("d"))
+    """Year, month and day of texts (a date in front, or any ISO date) and of numbers (epoch seconds or milliseconds)."""
+    p, n = dates.ymd_of_text(F.col("raw_date")), dates.ymd_of_number(F.col("raw_number"))
+    return view(spark, sf_dir, "dated_rows").select("id", p["year"].alias("y"), p["month"].alias("mo"), p["day"].alias("d"), n["year"].alias("ny"), n["month"].alias("nmo"), n["day"].alias("nd"))
 
 
 @query(f"""SELECT id, CASE WHEN int_score IS NULL THEN true WHEN int_score < 3 THEN false WHEN score IS NULL THEN true ELSE score >= 2 END AS quality,
@@ -64,11 +67,15 @@ def source_keep_rule(spark, sf_dir):
         "id", rule(True, False).alias("snapshot_alone"), rule(True, True).alias("snapshot_dated"), rule(False, True).alias("dated_alone"), rule(True, True, min_year=2016).alias("with_minimum"), rule(True, True, require_date=True).alias("required"))
 
 
-@query("""SELECT id, mo FROM (SELECT id, substring(trim(raw_date), 1, 4) AS y, CAST(substring(trim(raw_date), 6, 2) AS INTEGER) AS mo FROM dated_rows
-WHERE regexp_matches(trim(raw_date), '^(19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}')) WHERE y = '2018' AND mo BETWEEN 2 AND 11""", ("dated_rows",))
+@query("""WITH k AS (SELECT id, trim(raw_date) AS t, CASE WHEN raw_number > 1e12 THEN raw_number / 1000 ELSE raw_number END AS x FROM dated_rows),
+d AS (SELECT id, 'text' AS kind, substring(t, 1, 4) AS y, CAST(CASE WHEN regexp_matches(t, '^[0-9]{8}$') THEN substring(t, 5, 2) ELSE substring(t, 6, 2) END AS INTEGER) AS mo FROM k WHERE regexp_matches(t, '^(19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|^[0-9]{8}$')
+    UNION ALL SELECT id, 'number', CAST(year(tm) AS VARCHAR), CAST(month(tm) AS INTEGER) FROM (SELECT id, make_timestamp(CAST(x * 1000000 AS BIGINT)) AS tm FROM k WHERE x > 1e9))
+SELECT id, kind, mo FROM d WHERE y = '2018' AND mo BETWEEN 1 AND 9""", ("dated_rows",))
 def month_window(spark, sf_dir):
-    rows = text_files.month_range(view(spark, sf_dir, "dated_rows"), 2018, 2, 11, "raw_date")
-    return rows.select("id", dates.ymd_of_text(F.col("raw_date"))["month"].alias("mo"))
+    """Some months of a year, by dates of text and of number."""
+    v = view(spark, sf_dir, "dated_rows")
+    of = lambda kind, c, ymd: text_files.month_range(v, 2018, 1, 9, c).select("id", F.lit(kind).alias("kind"), ymd(F.col(c))["month"].alias("mo"))
+    return of("text", "raw_date", dates.ymd_of_text).unionByName(of("number", "raw_number", dates.ymd_of_number))
 
 
 @query("""SELECT doc_id, CAST(regexp_extract(dump, '^CC-MAIN-([0-9]{4})-[0-9]+$', 1) AS INTEGER) AS crawl_year, CAST(substring(snapshot, 1, 4) AS INTEGER) AS snapshot_year,

@@ -199,3 +199,24 @@ def result_json(spark, sf_dir):
     """A round's results as one JSON object a row."""
     g = view(spark, sf_dir, "probe_scores").groupBy("uid", "year", "kind").agg(F.count("*").alias("items"), F.sum("weight").alias("weight"))
     return sinks.as_result(g, "uid")
+
+
+@query("""WITH p AS (SELECT CAST(event_id % 5 AS INTEGER) AS round, count(*) AS n FROM events GROUP BY 1), w AS (SELECT DISTINCT user_id % 20 AS week FROM events)
+SELECT 'prompts' AS kind, round, NULL AS uid, n AS items, true AS found FROM p
+UNION ALL SELECT 'completions', CAST(event_id % 5 AS INTEGER), user_id % 3, count(*) * CASE WHEN event_id % 5 = 2 THEN 2 ELSE 1 END, true FROM events GROUP BY event_id % 5, user_id % 3
+UNION ALL SELECT 'week', CAST(k AS INTEGER), NULL, NULL, k IN (SELECT week FROM w) FROM range(15, 25) AS t(k)""")
+def stored_payloads(spark, sf_dir):
+    """Prompts and completions of rounds as JSON in keyed tables, those of one round replaced, and whether a week has run."""
+    s = _store(spark)
+    e = table(spark, sf_dir, "events").withColumns({"round": (F.col("event_id") % 5).cast("int"), "uid": F.col("user_id") % 3})
+    s.upsert("quality_prompts", e.groupBy("round").agg(F.to_json(F.transform(F.sequence(F.lit(1), F.count("*").cast("int")), lambda i: F.struct(i.alias("prompt")))).alias("prompts_json")))
+    c = e.groupBy("round", "uid").agg(F.count("*").cast("int").alias("n")).withColumn("year", F.lit(2020))
+    texts = lambda n: F.to_json(F.transform(F.sequence(F.lit(1), n), lambda i: i.cast("string"))).alias("completions_json")
+    s.upsert("quality_completions", c.select("round", "year", "uid", texts(F.col("n"))))
+    s.upsert("quality_completions", c.where("round = 2").select("round", "year", "uid", texts(2 * F.col("n"))))
+    s.insert_ignore("eval_runs", e.select((F.col("user_id") % 20).alias("week")).distinct())
+    null = F.lit(None).cast("long")
+    items = lambda j: F.json_array_length(j).cast("long").alias("items")
+    weeks = spark.createDataFrame([("week", w, None, None, s.has("eval_runs", week=w)) for w in range(15, 25)], "kind string, round int, uid long, items long, found boolean")
+    prompts = s.read("quality_prompts").select(F.lit("prompts").alias("kind"), "round", null.alias("uid"), items("prompts_json"), F.lit(True).alias("found"))
+    return prompts.unionByName(s.read("quality_completions").select(F.lit("completions").alias("kind"), "round", "uid", items("completions_json"), F.lit(True).alias("found"))).unionByName(weeks)

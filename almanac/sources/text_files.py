@@ -6,9 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..functions.core import let, strip
-from ..functions.dates import ymd_of_text
+from ..functions.dates import ymd_of_number, ymd_of_text
 from ..functions.fixed import JSON_TEXT_KEYS
 from ..operators.rank import checked_benchmarks
 from ..session import file_system
@@ -189,7 +190,8 @@ def scan(table: DataFrame, text: str = "text", min_chars: int = 1, partitions: t
 
 
 def month_range(rows: DataFrame, year: int, first: int, last: int, column: str = "published_date") -> DataFrame:
-    d = ymd_of_text(F.col(column))
+    """Rows of some months of a year by a date of text or number."""
+    d = ymd_of_number(F.col(column)) if isinstance(rows.schema[column].dataType, NumericType) else ymd_of_text(F.col(column))
     return rows.where((d["year"] == year) & d["month"].between(first, last))
 
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from almanac.functions import claims, dates, skills, styles
 from pyspark.sql import functions as F
@@ -109,3 +111,23 @@ def test_style_documents(spark):
     docs = styles.style_documents(rows, keep=("id",)).orderBy("pos").collect()
     assert {d.id for d in docs} == {1} and docs[0].style == "fact" and docs[-1].style == "multistyle_pack"
     assert len({d.text for d in docs}) == len(docs)
+
+
+def test_dates_of_any_iso_form(spark):
+    import datetime as dt
+
+    texts = ["2018-03-04", "2018-13-45 x", " 2019-01-02T03:04:05Z", "20180131", "20181331", "1850-01-01", "1850-02-30", "2018-W05", "2018-W05-3", "2018W053", "2020-W53-7", "2019-W53", "2018-W00", "2018", "2018-01", "May 2018", "", None, "20180131T10:00:00", "2018-03-04x"]
+
+    def plain(x):
+        x = (x or "").strip()
+        m = re.match(r"^((?:19|20)\d{2})-(\d{2})-(\d{2})", x)
+        if m:
+            return tuple(map(int, m.groups()))
+        try:
+            d = dt.datetime.fromisoformat(x.replace("Z", "+00:00"))
+        except ValueError:
+            return None
+        return d.year, d.month, d.day
+
+    rows = spark.createDataFrame([(x,) for x in texts], "t string").select("t", dates.ymd_of_text(F.col("t")).alias("d")).collect()
+    assert {r.t: tuple(r.d) if r.d else None for r in rows} == {x: plain(x) for x in texts}
