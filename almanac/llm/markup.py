@@ -48,12 +48,19 @@ sidebar sidebars aside rail widget widgets blogroll tagcloud related recommended
 cookie cookies consent gdpr ccpa notice notices alert alerts banner popup modal overlay lightbox paywall toast disclaimer disclosure
 newsletter subscribe subscription signup signin login register optin search searchbox form forms
 share sharing sharebar social socials follow addthis
-comment comments commentlist commentform disqus respond replies reply discussion livefyre
+comment comments commentlist commentform disqus respond responses reactions replies reply discussion talkback livefyre
 pagination pager pagenav paging
 """.split())
+#: The same in words written together, such as sitefooter, cookiebar or relatedposts.
+_COMPOUND = re.compile(
+    r"(?:site|page|main|top|side|left|right|sub|global|primary|secondary|footer|header|bottom|mobile|user|reader|post|article)?"
+    r"(?:nav|navbar|menu|footer|sidebar|comments?|cookies?|adverts?|ads?|banner|newsletter|social|share|promo|related)"
+    r"(?:bar|box|list|links?|section|wrap|wrapper|container|area|block|panel|form|widget|posts|articles|banner|notice|s)?|(?:site|page|top)header")
 #: Words that make a header one of the article, and a word in front of a name that only tells of it.
 _OF_ARTICLE = frozenset("post entry article story content page title headline".split())
 _TELLS = frozenset("has with no without show is".split())
+#: Names of a whole article, alone as a class or id.
+WHOLE_NAMES = frozenset("article post entry hentry story blogpost".split())
 #: Container names that speak for an article.
 GOOD_NAMES = frozenset("article articles body content contents entry hentry main post posts story text prose page column blog news".split())
 _KEEP = frozenset(["article", "main", "html", "body"])
@@ -114,12 +121,16 @@ def _by_name(names: list[list[str]]) -> bool:
     for words in names:
         if words and words[0] in _TELLS:
             continue
-        hit = DROP_NAMES.intersection(words)
+        hit = {w for w in words if w in DROP_NAMES or _COMPOUND.fullmatch(w)}
         if hit and not (hit <= {"header", "banner"} and _OF_ARTICLE.intersection(words)):
             return True
     return False
 
 
+#: What an article's element, one named so, main and a name that speaks for an article raise a score by.
+ARTICLE, WHOLE, MAIN, NAMED = 4.0, 2.0, 1.8, 1.25
+
+
 @lru_cache(maxsize=1 << 14)
 def _judged(tag: str, text: str, in_article: bool) -> tuple[bool, bool, float, str]:
     """(dropped, weakly: unless an article lies inside, score bonus, generalised step) of a start tag with these attributes."""
@@ -137,12 +148,16 @@ def _kind(tag: str, attrs: dict[str, str], in_article: bool) -> tuple[bool, bool
     if tag in _KEEP and not (tag == "article" and comment):
         dropped = False
     else:
-        dropped = (tag in DROP_TAGS and not (tag == "header" and in_article)) or role in DROP_ROLES or _by_name(names)
-    bonus = 1.4 if tag == "article" or role == "article" else 1.2 if tag == "main" or role == "main" else 1.0
-    if "articlebody" in attrs.get("itemprop", "").lower():
-        bonus *= 1.5
-    if any(GOOD_NAMES.intersection(w) for w in names):
-        bonus *= 1.25
+        of_article = tag == "header" and (in_article or any(_OF_ARTICLE.intersection(w) for w in names))
+        dropped = (tag in DROP_TAGS and not of_article) or role in DROP_ROLES or _by_name(names)
+    if tag == "article" or role == "article" or "articlebody" in attrs.get("itemprop", "").lower():
+        bonus = ARTICLE
+    elif any(len(w) == 1 and w[0] in WHOLE_NAMES for w in names):
+        bonus = WHOLE
+    elif tag == "main" or role == "main":
+        bonus = MAIN
+    else:
+        bonus = NAMED if any(GOOD_NAMES.intersection(w) for w in names) else 1.0
     return dropped, True, bonus
 
 
@@ -263,7 +278,7 @@ def read(html: str) -> Page:
 def _settle(page: Page) -> None:
     """Decide what is dropped: what is marked and holds no article, main or page title, and all that lies in it."""
     els = page.elements
-    holds = [False] * len(els)
+    holds, titled, listed = [False] * len(els), [False] * len(els), [False] * len(els)
     chars = [0] * len(els)
     for k, text, linked in page.blocks:
         chars[k] += len(text) - linked
@@ -273,10 +288,14 @@ def _settle(page: Page) -> None:
         if holds[k] or (e.tag in ("article", "main") and not e.dropped):
             holds[e.up] = True
         chars[e.up] += chars[k]
+        titled[e.up] |= titled[k] or e.tag == "h1"
+        listed[e.up] |= listed[k] or e.tag in ("nav", "ul", "ol", "form")
     for k in range(1, len(els)):
         e = els[k]
         if e.dropped and e.weak and (holds[k] or (e.tag in ("form", "header") and 2 * chars[k] > total)):
             e.dropped = False
+        if e.dropped and e.tag == "header" and titled[k] and not listed[k] and _named_above(els, k):
+            e.dropped = False  # the header of an article that isn't an article element
         if els[e.up].dropped:
             e.dropped = True
     kept = [b for b in page.blocks if not els[b[0]].dropped]
@@ -290,6 +309,13 @@ def _settle(page: Page) -> None:
     page.blocks = kept
 
 
+def _named_above(els: list[Element], k: int) -> bool:
+    k = els[k].up
+    while k > 0 and els[k].bonus < WHOLE:
+        k = els[k].up
+    return k > 0
+
+
 #: What a container gets of text that lies so many containers below it: each one takes this share of the one inside it.
 FADE = 0.7
 
@@ -298,7 +324,8 @@ def scored(page: Page) -> int:
     """The container with the greatest score, after each container's is set; the page itself where no text speaks for one.
 
     A block counts with its characters outside links, less the more of it is links; headings
-    don't count. Its container gets all, the one around it ``FADE`` of that, and so on; names and tags that speak for articles raise a score.
+    don't count. Its container gets all, the one around it ``FADE`` of that, and so on, but for an
+    article's own element, which gets all that is in it; names and tags that speak for articles raise a score.
     """
     els = page.elements
     for e in els:
@@ -317,7 +344,7 @@ def scored(page: Page) -> int:
         e = els[k]
         u = e.up
         if e.tag in CONTAINERS:
-            els[u].score += FADE * e.score
+            els[u].score += (1.0 if els[u].bonus >= WHOLE else FADE) * e.score
         else:
             els[u].score += e.score
     for k, e in enumerate(els):

@@ -66,6 +66,25 @@ def test_small_pages(html, text):
     assert own(html) == text
 
 
+BODY = "<p>The first paragraph of the text, long enough to be one, with a comma.</p><p>And a second one that goes on for a while longer than the first.</p>"
+TEXT = "The first paragraph of the text, long enough to be one, with a comma. And a second one that goes on for a while longer than the first."
+
+
+@pytest.mark.parametrize("html, text", [
+    # a byline and what stands behind the body belong to the article
+    (f"<article><h1>T</h1><div class=meta>By A</div><div class='article-body'>{BODY}</div><div class=bio>About A</div></article><div class=x><p>{'other words ' * 40}</p></div>", f"T By A {TEXT} About A"),
+    (f"<div id=content><div class='post'><header><h1>T</h1></header><span>By A</span><div class='post-content'>{BODY}</div></div><div id=disqus_thread><p>{'c ' * 90}</p></div></div>", f"T By A {TEXT}"),
+    (f"<div class=wrap><header class=pageheader><h1>Site</h1></header><div class=sitenav><a>x</a> y</div><div class=entry-content>{BODY}</div><div class=cookiebar>We</div><div class=readercomments><p>no</p></div><div class=relatedposts>no</div><div class=siteFooter>no</div></div>", TEXT),
+    (f"<BODY CLASS='no-sidebar'><FORM id=aspnetForm><H1>T</H1><DIV CLASS=StoryBody>{BODY}</DIV><DIV CLASS=Advertisement>no</DIV></FORM><P>", f"T {TEXT}"),
+    (f"<main><h1>T</h1>{BODY}<ins class=adsbygoogle>no</ins><div role=search>no</div><section aria-label=c class='article-comments'><h2>3 comments</h2><article class=comment><p>no</p></article></section></main><aside>no</aside>", f"T {TEXT}"),
+    (f"<table><tr><td class=menu>no</td><td class=text>{BODY}</td></tr></table><div class='with-sidebar'></div>", TEXT),
+    (f"<article>{BODY}<div class='comment-form'><textarea>no</textarea></div><blockquote><p>quoted</p></blockquote><pre>a  b\n c</pre><figure><img alt=no><figcaption>cap</figcaption></figure></article>", f"{TEXT} quoted a b c cap"),
+    (f"<article>{BODY.replace('<p>', '<div>').replace('</p>', '</div>')}</article>", TEXT), (f"<div>{BODY.replace('<p>', '').replace('</p>', '<br><br>')}</div><div><ul><li><a>menu</a></ul></div>", TEXT),
+])
+def test_templates(html, text):
+    assert own(html) == text
+
+
 def test_consensus_helps_pages_with_little_text(spark):
     """Where the article is short and its neighbour long, a page alone takes the neighbour; its host knows better."""
     rnd = random.Random(4)
