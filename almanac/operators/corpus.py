@@ -171,14 +171,40 @@ def pack_blocks(tokens: DataFrame, block: int, order: str = "doc_id", eos: int =
     token either. Each document is cut at the block borders first, so only slices are gathered by
     block, never single tokens.
     """
+    return _filled(tokens, block, order, eos, []).where(F.size("input_ids") == block)
+
+
+def pack_on(tokens: DataFrame, block: int, state: dict | None = None, order: str = "doc_id", eos: int = 0) -> tuple[DataFrame, dict]:
+    """(blocks as ``pack_blocks`` gives them, the state behind them): packing that goes on where documents ended before.
+
+    The state is the number of blocks so far and the tokens that filled none, fewer than a block; a
+    packing of documents in parts by it gives the blocks of all of them together.
+    """
+    state = state or {"version": PACK_VERSION, "block": block, "blocks": 0, "buffer": []}
+    if state.get("version") != PACK_VERSION or state["block"] != block:
+        raise ValueError(f"a packing state of version {state.get('version')} and blocks of {state.get('block')}")
+    every = _filled(tokens, block, order, eos, state["buffer"])
+    n, rest = every.agg(F.count_if(F.size("input_ids") == block), F.max(F.when(F.size("input_ids") < block, F.col("input_ids")))).first()
+    full = every.where(F.size("input_ids") == block).withColumn("block_id", F.col("block_id") + state["blocks"])
+    return full, {**state, "blocks": state["blocks"] + n, "buffer": list(rest or ([] if n else state["buffer"]))}
+
+
+#: What a packing's state looks like.
+PACK_VERSION = "packed_v1"
+
+
+def _filled(tokens: DataFrame, block: int, order: str, eos: int, buffer: list[int]) -> DataFrame:
+    """(block_id, input_ids) of all blocks, the last one maybe not full; ``buffer`` lies in front, shorter than a block."""
     docs = token_offsets(tokens.where(F.size("ids") > 0).select(order, F.concat("ids", F.array(F.lit(eos).cast("int"))).alias("ids")), F.size("ids").cast("long"), order)
+    docs = docs.withColumn("offset", F.col("offset") + len(buffer))
     first, last = F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("n_tokens") - 1) / block)
     cut = docs.withColumn("block_id", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.lit(0).cast("long"), F.col("block_id") * block - F.col("offset"))
     end = F.least(F.col("n_tokens"), (F.col("block_id") + 1) * block - F.col("offset"))
     part = cut.select("block_id", F.struct((F.col("offset") + begin).alias("at"), F.slice("ids", (begin + 1).cast("int"), (end - begin).cast("int")).alias("ids")).alias("p"))
-    blocks = part.groupBy("block_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["ids"])).alias("input_ids"))
-    return blocks.where(F.size("input_ids") == block)
+    if buffer:
+        part = part.unionByName(tokens.sparkSession.createDataFrame([(0, (0, [int(x) for x in buffer]))], part.schema))
+    return part.groupBy("block_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["ids"])).alias("input_ids"))
 
 
 #: What a scan's state looks like; one of version 1, which had no sources' names, is taken over.

@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 from almanac.functions.fixed import SKILLS
-from almanac.operators import mixing, sampling
+from almanac.operators import corpus, mixing, sampling
 from pyspark.sql import functions as F
 
 
@@ -139,3 +139,19 @@ def test_exits_by_doubling():
         while at < 90:
             at = int(after[at])
         assert at == got
+
+
+def test_packing_goes_on_from_its_buffer(spark):
+    rnd = random.Random(6)
+    docs = [(k, [rnd.randrange(1, 99) for _ in range(rnd.choice([0, 1, 3, 8, 40]))] if k % 7 else None) for k in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, ids array<int>").repartition(3)
+    flat = [x for _, ids in docs if ids for x in [*ids, 0]]
+    want = {k: flat[16 * k : 16 * k + 16] for k in range(len(flat) // 16)}
+    got, state = {}, None
+    for lo, hi in ((0, 20), (20, 21), (21, 21), (21, 50), (50, 60)):
+        blocks, state = corpus.pack_on(df.where((F.col("doc_id") >= lo) & (F.col("doc_id") < hi)), 16, json.loads(json.dumps(state)) if state else None)
+        got |= {r.block_id: r.input_ids for r in blocks.collect()}
+    assert got == want and state["buffer"] == flat[16 * len(want) :] and state["blocks"] == len(want)
+    assert {r.block_id: r.input_ids for r in corpus.pack_blocks(df, 16).collect()} == want
+    with pytest.raises(ValueError):
+        corpus.pack_on(df, 8, state)
