@@ -15,19 +15,25 @@ import math
 import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
 from . import text as tx
 from .fmindex import FMIndex
+from .shared import cut
+from .sizes import fresh
 
 WINDOW = 13
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Benchmark windows in one block (about 150 bytes each in memory), and bytes of documents in one shard.
 BLOCK_WINDOWS, SHARD_BYTES = 50_000, 4 << 20
+#: Blocks that are broadcast at a time (about 250 MB).
+MOST_BLOCKS = 32
 
 
 @dataclass
@@ -136,28 +142,54 @@ def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, window: int, b
         yield pickle.loads(row.phrases)
 
 
-def _search(docs: DataFrame, benchmark: DataFrame, schema: str, make: Callable, item_col: str = "item_id", bench_text: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """``make(batch, column, first, begin, end, hit, items of each document)`` over shards; the last column of docs is the text."""
-    sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(block) for block in blocks_of(benchmark, item_col, bench_text, window, block_windows)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, j in tx.pieces(b.column(b.num_columns - 1), SHARD_BYTES):
-                part = b.slice(i, j - i)
-                column = tx.plain(part.column(b.num_columns - 1))
-                shard = Shard(column, blocks[0].value.words if len(blocks) == 1 else None)
-                items: list[set[str]] = [set() for _ in range(len(column))]
-                for block in blocks:
-                    ph = block.value
-                    for d, x in zip(*(y.tolist() for y in shard.search(ph)), strict=True):
-                        items[d].add(ph.names[x])
-                    if len(blocks) > 1:
-                        block.__dict__.pop("_value", None)  # read again from the executor's disk for the next shard
-                yield make(part, column, shard.first, shard.begin, shard.end, shard.hit, items)
-        tx.trim()
-
-    return docs.mapInArrow(run, schema)
+def _search(docs: DataFrame, benchmark: DataFrame, schema: str, make: Callable, item_col: str = "item_id", bench_text: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, most_blocks: int = MOST_BLOCKS) -> DataFrame:
+    """``make(batch, column, first, begin, end, hit, items of each document)`` over shards; the last column of docs is the text.
+
+    At most ``most_blocks`` blocks are broadcast at a time. A benchmark of more is searched for in
+    several passes, between which every document's hits and items are kept by a checkpoint beside it.
+    """
+    sc, text = docs.sparkSession.sparkContext, docs.schema.fields[-1]
+    hit_name, met_name = fresh(docs, "_hit"), fresh(docs, "_met")
+    beside = StructType([*docs.schema.fields[:-1], StructField(hit_name, BinaryType()), StructField(met_name, ArrayType(StringType())), text])
+
+    def searched(blocks: list, before: bool, only: bool, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i, j in tx.pieces(b.column(b.num_columns - 1), SHARD_BYTES):
+                    part = b.slice(i, j - i)
+                    column = tx.plain(part.column(b.num_columns - 1))
+                    shard = Shard(column, blocks[0].value.words if only else None)
+                    items: list[set[str]] = [set() for _ in range(len(column))]
+                    if before:
+                        for d, bits in enumerate(part.column(b.num_columns - 3)):
+                            n = shard.first[d + 1] - shard.first[d]
+                            shard.hit[shard.first[d] : shard.first[d + 1]] = np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), count=n).astype(bool)
+                        items = [set(x) for x in part.column(b.num_columns - 2).to_pylist()]
+                        part = part.drop_columns([hit_name, met_name])
+                    for block in blocks:
+                        ph = block.value
+                        for d, x in zip(*(y.tolist() for y in shard.search(ph)), strict=True):
+                            items[d].add(ph.names[x])
+                        if not only:
+                            block.__dict__.pop("_value", None)  # read again from the executor's disk for the next shard
+                    if last:
+                        yield make(part, column, shard.first, shard.begin, shard.end, shard.hit, items)
+                    else:
+                        bits = [np.packbits(shard.hit[lo:hi]).tobytes() for lo, hi in zip(shard.first[:-1], shard.first[1:], strict=True)]
+                        yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(bits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), part.columns[-1]], beside.names)
+            tx.trim()
+
+        return run
+
+    found = blocks_of(benchmark, item_col, bench_text, window, block_windows)
+    group, first = list(islice(found, most_blocks)), True
+    while following := list(islice(found, most_blocks)):
+        shared = [sc.broadcast(x) for x in group]
+        docs = cut(docs.mapInArrow(searched(shared, not first, False, False), beside))
+        for x in shared:
+            x.unpersist()
+        group, first = following, False
+    return docs.mapInArrow(searched([sc.broadcast(x) for x in group], not first, first and len(group) == 1, True), schema)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opts) -> DataFrame:

@@ -37,12 +37,12 @@ def bench_rows(spark, sf):
     return [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
 
 
-@pytest.mark.parametrize("block_windows", [decontaminate.BLOCK_WINDOWS, 300])
-def test_matches_brute_force(spark, sf, docs, odd, block_windows):
+@pytest.mark.parametrize("block_windows, most_blocks", [(decontaminate.BLOCK_WINDOWS, decontaminate.MOST_BLOCKS), (300, decontaminate.MOST_BLOCKS), (300, 2)])
+def test_matches_brute_force(spark, sf, docs, odd, block_windows, most_blocks):
     b = bench_rows(spark, sf)
     b += [(900, "the of"), (901, "Of, THE!"), (902, None), (903, " .. "), (None, b[0][1]), (904, b[1][1]), (905, "a b c d e f g h i j k l m n"), b[2]]
     bench = spark.createDataFrame(b, "item_id long, text string")
-    got = sorted((tuple(r) for r in decontaminate.digest(docs, bench, block_windows=block_windows).collect()), key=str)
+    got = sorted((tuple(r) for r in decontaminate.digest(docs, bench, block_windows=block_windows, most_blocks=most_blocks).collect()), key=str)
     want = brute([(r[0], r[1]) for r in odd], b)
     assert got == want
     n = len(list(decontaminate.blocks_of(bench, "item_id", "text", 13, block_windows)))
@@ -57,6 +57,8 @@ def test_clean(spark, docs, no_docs):
     rows = spark.createDataFrame([(1, f"{long} ({p.upper()}). End", 0, "a"), (2, f"x {p}", 0, "b"), (3, "clean text", 10, None), (4, None, None, None)], "doc_id long, text string, n_chars long, extra string")
     out = {r.doc_id: r for r in decontaminate.clean(rows, bench).collect()}
     assert set(out) == {1, 3, 4} and out[1].text == f"{long} (). End" and out[1].n_chars == len(out[1].text) and out[3].text == "clean text"
+    many = spark.createDataFrame([(k, " ".join(f"z{k}q{i}" for i in range(13))) for k in range(40)] + [(1, p)], "item_id long, text string")
+    assert {r.doc_id: r for r in decontaminate.clean(rows, many, block_windows=40, most_blocks=3).collect()} == out
     assert decontaminate.clean(no_docs, bench).count() == 0 and decontaminate.digest(no_docs, bench).count() == 0
     none = decontaminate.digest(docs, bench.limit(0)).collect()
     assert none and not any(r.n_hit for r in none)
