@@ -25,6 +25,8 @@ from .shared import cut
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Entries of a ball that isn't divided any more, and vectors that go through a tree together.
 LEAF, TOGETHER = 16, 4096
+#: What the rounding of a squared bound may come to, as a share of it.
+SLACK = 1e-12
 #: Labels whose error sums are broadcast; more of them meet their rows in a shuffle.
 BROADCAST_LABELS = 200_000
 
@@ -54,12 +56,13 @@ def ball(book: np.ndarray, entries: np.ndarray) -> Ball:
     return Ball(centre, radius, entries, (ball(book, entries[left]), ball(book, entries[~left])))
 
 
-def exact(*blocks: np.ndarray) -> None:
-    """Raise where squared distances of integer vectors could leave what a double holds exactly."""
+def largest_distance(*blocks: np.ndarray) -> int:
+    """What squared distances of integer vectors stay below; an error where that is beyond 64-bit integers."""
     most = max((int(np.abs(b).max()) for b in blocks if b.size), default=0)
     width = max((b.shape[-1] for b in blocks), default=1)
-    if width * (2 * most + 1) ** 2 >= 1 << 53:
-        raise ValueError(f"components of up to {most} in parts of {width} have squared distances beyond 2^53")
+    if (bound := width * (2 * most + 1) ** 2) >= 1 << 62:
+        raise ValueError(f"components of up to {most} in parts of {width} have squared distances beyond 2^62")
+    return bound
 
 
 class Nearest:
@@ -75,34 +78,37 @@ class Nearest:
 
     def find(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index, squared distance) for each row of integers."""
-        exact(x, self.book)
-        best, at = np.full(len(x), np.inf), np.full(len(x), len(self.book))
+        best, at = np.full(len(x), np.iinfo(np.int64).max), np.full(len(x), len(self.book))
         real = x.astype(float)
-        self._visit(self.top, real, (real * real).sum(1), np.arange(len(x)), best, at)
-        return at, best.astype(np.int64)
+        # doubles hold integers below 2^53 exactly; larger ones are multiplied as integers
+        small = largest_distance(x, self.book) < 1 << 53
+        self._visit(self.top, x, real, (real * real).sum(1) if small else None, np.arange(len(x)), best, at)
+        return at, best
 
-    def _visit(self, b: Ball, x: np.ndarray, squares: np.ndarray, rows: np.ndarray, best: np.ndarray, at: np.ndarray) -> None:
+    def _visit(self, b: Ball, x: np.ndarray, real: np.ndarray, squares: np.ndarray | None, rows: np.ndarray, best: np.ndarray, at: np.ndarray) -> None:
         if b.inner is None:
             e = b.entries
             self.compared += len(rows) * len(e)
-            # integers below 2^53, so the doubles are exact
-            d = squares[rows, None] + self.squares[e] - 2.0 * (x[rows] @ self.real[e].T)
+            if squares is not None:
+                d = (squares[rows, None] + self.squares[e] - 2.0 * (real[rows] @ self.real[e].T)).astype(np.int64)
+            else:
+                d = np.stack([((x[rows] - self.book[k]) ** 2).sum(1) for k in e], 1)
             k = d.argmin(1)  # entries ascend, so a tie gives the smaller index
             least, who = d[np.arange(len(rows)), k], e[k]
             better = (least < best[rows]) | ((least == best[rows]) & (who < at[rows]))
             best[rows[better]], at[rows[better]] = least[better], who[better]
             return
         # a distance rounded down less a radius rounded up
-        near = [np.floor(np.sqrt(((x[rows] - c.centre) ** 2).sum(1))) - c.radius for c in b.inner]
+        near = [np.floor(np.sqrt(((real[rows] - c.centre) ** 2).sum(1))) - 1 - c.radius for c in b.inner]
         first = near[0] <= near[1]
         for turn in (0, 1):
             for k, c in enumerate(b.inner):
                 mine = first if (turn == 0) == (k == 0) else ~first
                 bound = near[k][mine]
                 r = rows[mine]
-                open_ = (bound <= 0) | (bound * bound <= best[r])
+                open_ = (bound <= 0) | (bound * bound * (1 - SLACK) <= best[r])
                 if open_.any():
-                    self._visit(c, x, squares, r[open_], best, at)
+                    self._visit(c, x, real, squares, r[open_], best, at)
 
 
 def integers(vectors: pa.Array, width: int) -> np.ndarray:
@@ -191,7 +197,7 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     squared distance to what the code stands for and ``label_error`` its sum over the label (nulls
     are one label). Fewer vectors than entries make smaller codebooks; an empty table gives no rows
     and no codebooks. Vectors must have one size, a multiple of the number of parts, and components
-    that keep squared distances exact (below 2^53); others are an error.
+    whose squared distances fit into 64-bit integers (below 2^62); others are an error.
     """
     rows = kept_rows(vectors, id_col, vector_col, label_col)
     books, width = train(rows, rounds)
