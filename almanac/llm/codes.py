@@ -24,7 +24,7 @@ from .shared import cut
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Entries of a ball that isn't divided any more, and vectors that go through a tree together.
-LEAF, TOGETHER = 16, 4096
+LEAF, TOGETHER = 64, 8192
 #: What the rounding of a squared bound may come to, as a share of it.
 SLACK = 1e-12
 #: Labels whose error sums are broadcast; more of them meet their rows in a shuffle.
@@ -78,37 +78,40 @@ class Nearest:
 
     def find(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index, squared distance) for each row of integers."""
-        best, at = np.full(len(x), np.iinfo(np.int64).max), np.full(len(x), len(self.book))
         real = x.astype(float)
         # doubles hold integers below 2^53 exactly; larger ones are multiplied as integers
         small = largest_distance(x, self.book) < 1 << 53
-        self._visit(self.top, x, real, (real * real).sum(1) if small else None, np.arange(len(x)), best, at)
-        return at, best
+        best, at = np.full(len(x), np.inf if small else np.iinfo(np.int64).max, float if small else np.int64), np.full(len(x), len(self.book))
+        self._visit(self.top, None if small else x, real, (real * real).sum(1), np.arange(len(x)), best, at)
+        return at, best.astype(np.int64)
 
-    def _visit(self, b: Ball, x: np.ndarray, real: np.ndarray, squares: np.ndarray | None, rows: np.ndarray, best: np.ndarray, at: np.ndarray) -> None:
+    def _visit(self, b: Ball, x: np.ndarray | None, real: np.ndarray, squares: np.ndarray, rows: np.ndarray, best: np.ndarray, at: np.ndarray) -> None:
+        """Look for nearer entries of a ball for some rows; ``x`` are their integers where doubles aren't exact."""
+        mine = real[rows]
         if b.inner is None:
             e = b.entries
             self.compared += len(rows) * len(e)
-            if squares is not None:
-                d = (squares[rows, None] + self.squares[e] - 2.0 * (real[rows] @ self.real[e].T)).astype(np.int64)
+            if x is None:
+                d = mine @ (-2.0 * self.real[e].T)
+                d += self.squares[e]
+                d += squares[rows, None]
             else:
                 d = np.stack([((x[rows] - self.book[k]) ** 2).sum(1) for k in e], 1)
             k = d.argmin(1)  # entries ascend, so a tie gives the smaller index
-            least, who = d[np.arange(len(rows)), k], e[k]
-            better = (least < best[rows]) | ((least == best[rows]) & (who < at[rows]))
+            least, who, before = d[np.arange(len(rows)), k], e[k], best[rows]
+            better = (least < before) | ((least == before) & (who < at[rows]))
             best[rows[better]], at[rows[better]] = least[better], who[better]
             return
-        # a distance rounded down less a radius rounded up
-        near = [np.floor(np.sqrt(((real[rows] - c.centre) ** 2).sum(1))) - 1 - c.radius for c in b.inner]
+        # distances rounded down less radii rounded up; what rounding does to large squares is far below the 1 taken off
+        near = [np.floor(np.sqrt(((mine - c.centre) ** 2).sum(1))) - 1 - c.radius for c in b.inner]
         first = near[0] <= near[1]
-        for turn in (0, 1):
-            for k, c in enumerate(b.inner):
-                mine = first if (turn == 0) == (k == 0) else ~first
-                bound = near[k][mine]
-                r = rows[mine]
-                open_ = (bound <= 0) | (bound * bound * (1 - SLACK) <= best[r])
-                if open_.any():
-                    self._visit(c, x, real, squares, r[open_], best, at)
+        for turn in (True, False):
+            for c, bound, own in zip(b.inner, near, (first == turn, first != turn), strict=True):
+                r, bound = rows[own], bound[own]
+                if len(r):
+                    open_ = (bound <= 0) | (bound * bound * (1 - SLACK) <= best[r])
+                    if open_.any():
+                        self._visit(c, x, real, squares, r[open_], best, at)
 
 
 def integers(vectors: pa.Array, width: int) -> np.ndarray:
