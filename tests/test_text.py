@@ -131,3 +131,17 @@ def test_dates_of_any_iso_form(spark):
 
     rows = spark.createDataFrame([(x,) for x in texts], "t string").select("t", dates.ymd_of_text(F.col("t")).alias("d")).collect()
     assert {r.t: tuple(r.d) if r.d else None for r in rows} == {x: plain(x) for x in texts}
+
+
+def test_equal_inputs_are_worked_through_once(spark):
+    from almanac.session import once
+
+    rows = spark.createDataFrame([(k, [None, "a", "b"][k % 3], k % 2) for k in range(60)], "id long, t string, y int")
+    seen = []
+
+    def work(d):
+        seen.append(d.count())
+        return d.where("t IS NULL OR t <> 'b'").withColumn("n", F.concat(F.coalesce("t", F.lit("-")), F.col("y").cast("string")))
+
+    got = {r.id: (r.t, r.y, r.n) for r in once(rows, ["t", "y"], work).collect()}
+    assert seen == [6] and got == {k: ([None, "a"][k % 3], k % 2, f"{'-a'[k % 3]}{k % 2}") for k in range(60) if k % 3 < 2}
