@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import SKILLS
 from ..functions.skills import classify_skill
 from ..operators import mixing, sampling
-from ..session import table
+from ..session import once, table
 from .registry import query
 from .views import view
 
@@ -62,5 +62,6 @@ SELECT c.id, draw, w.s AS start, CASE w.hunted {' '.join(f"WHEN {k} THEN '{n}'"
 def skill_sampling(spark, sf_dir):
     """Three draws in ten hunt for a skill over up to twenty claims; all blocks are short, so the chain crosses many."""
     d = view(spark, sf_dir, "claims").select("id", "text")
-    s = sampling.sampled(d, classify_skill(F.col("text")), "id", 0.3, max_skips=20, min_chars=60, block=400)
+    d = once(d, ["text"], lambda t: t.withColumn("found", classify_skill(F.col("text"))))
+    s = sampling.sampled(d, F.col("found"), "id", 0.3, max_skips=20, min_chars=60, block=400)
     return s.select("id", "draw", "start", "hunted")
