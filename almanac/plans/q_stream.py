@@ -77,7 +77,7 @@ SELECT CAST(user_id AS STRING) AS key, event_type AS value, epoch_us(since) AS s
 def watched_states(spark, sf_dir):
     """States of users that lasted an hour, told by timers of a stream, those behind the last sample of a user too."""
     def build(s):
-        return watch.lasting(s.withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "event_type", "ts", 3600, "1 minute")
+        return watch.lasting(s.withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "event_type", "ts", 3600, "1 minute", order="event_id")
 
     told = _drain(spark, build, sf_dir, watch.OUTPUT)
     return told.select("key", "value", F.unix_micros("since").alias("since"), F.unix_micros("told").alias("told"))

@@ -52,6 +52,24 @@ def test_a_restart_goes_on_with_state_and_timers(spark, tmp_path):
     assert sorted(got, key=str) == sorted(WANT, key=str)
 
 
+def test_the_watermark_alone_ends_a_last_state(spark, tmp_path):
+    ms = lambda m, k: at(m) + dt.timedelta(milliseconds=k)
+    rows = [("again", "a", at(4)), ("again", "a", ms(9, 500)), ("reached", "r", at(4)), ("beyond", "b", ms(4, 1)), ("last", "l", at(10))]
+    got, _ = drain(watch.lasting(folder(spark, tmp_path, [rows]).parquet(str(tmp_path / "in")), "key", "fingerprint", "ts", 300, "1 minute"), tmp_path, "out")
+    assert got == [("again", "a", at(4), at(9)), ("reached", "r", at(4), at(9))]  # the watermark is at 9: there to the millisecond
+    rows = [("again", "a", at(5)), ("again", "a", at(10))]
+    got, _ = drain(watch.lasting(folder(spark, tmp_path / "b", [rows]).parquet(str(tmp_path / "b/in")), "key", "fingerprint", "ts", 300, "1 minute"), tmp_path, "early")
+    assert got == []  # five minutes of the same state, of which the watermark has seen four
+
+
+def test_samples_of_one_time_go_by_their_order(spark, tmp_path):
+    rows = [("k", v, at(m), n) for v, m, n in (("b", 0, 2), ("a", 0, 1), ("c", 10, 4), ("b", 10, 3), ("c", 20, 5), ("b", 30, 6))]
+    spark.createDataFrame(rows, f"{SCHEMA}, n long").coalesce(1).write.parquet(str(tmp_path / "in"))
+    s = spark.readStream.schema(f"{SCHEMA}, n long").parquet(str(tmp_path / "in"))
+    got, _ = drain(watch.lasting(s, "key", "fingerprint", "ts", 300, order="n"), tmp_path, "out")
+    assert got == [("k", "b", at(0), at(5)), ("k", "c", at(10), at(15))]
+
+
 def test_a_stall_is_told_while_nothing_arrives(spark, tmp_path):
     s = folder(spark, tmp_path, [[("download", "1000 bytes", at(0))]]).parquet(str(tmp_path / "in"))
     w = watch.lasting(s, "key", "fingerprint", "ts", 2, by_clock=True, forget=dt.timedelta(hours=1)).writeStream.format("memory").queryName("stalls").option("checkpointLocation", str(tmp_path / "state")).trigger(processingTime="1 second")
