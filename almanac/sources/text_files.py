@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions.core import let, strip
+from ..functions.core import let, non_blank, strip
 from ..functions.dates import ymd_of_number, ymd_of_text
 from ..functions.fixed import JSON_TEXT_KEYS
 from ..operators.rank import checked_benchmarks
-from ..session import file_system
+from ..session import file_system, shared_folder
 
 SUFFIXES = ("txt", "md", "jsonl", "json")
 #: Ends of lines.
@@ -60,13 +60,12 @@ def text_chunks(content: Column, min_chars: int = 1) -> Column:
 
 def _string(value: Column, path: str) -> Column:
     """The string at a path of a JSON value; NULL where there is none or it is of another kind."""
-    at = F.try_variant_get(value, path, "variant")
-    return F.when(F.schema_of_variant(at) == "STRING", at.cast("string"))
+    return let(F.try_variant_get(value, path, "variant"), lambda at: F.when(F.schema_of_variant(at) == "STRING", at.cast("string")))
 
 
 def text_of_json(value: Column) -> Column:
     """The text of a parsed JSON value: a string itself, the first key whose value is a string with text, else prompt and completion; NULL where there is none."""
-    some = lambda c: F.when(strip(c) != "", strip(c))
+    some = lambda c: let(strip(c), non_blank)
     prompt, completion = _string(value, "$.prompt"), _string(value, "$.completion")
     pair = some(F.concat(strip(prompt), F.lit("\n"), strip(completion)))
     return F.coalesce(some(_string(value, "$")), *(some(_string(value, f"$.{k}")) for k in JSON_TEXT_KEYS), pair)
@@ -76,10 +75,11 @@ def parsed_json(text: Column) -> Column:
     """The JSON value that a text is, whole, as a variant; NULL where it isn't one.
 
     The parser stops behind the first value, so the text is put between brackets, where it must be
-    the only item, and between braces, where nothing may close the brackets early.
+    the only item, and between braces, where nothing may close the brackets early; a text without a
+    closing bracket can't.
     """
     items = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast("array<variant>")
-    closed = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    closed = ~F.contains(text, F.lit("]")) | F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
     return let(items, lambda xs: F.when((F.size(xs) == 1) & closed, F.get(xs, 0)))
 
 
@@ -147,7 +147,7 @@ def split_documents(spark: SparkSession, path: str, min_chars: int = 1) -> DataF
     Files are read in byte ranges of ``spark.sql.files.maxPartitionBytes``; Spark's reader looks
     for a record's end beyond its range. Text files end their records at an empty line, which every
     separator of paragraphs is made of. JSON files are read by lines; which of them are one JSON value
-    over all their lines is told by an aggregate of each file's lines, and only those files' lines
+    over all their lines is told by an aggregate of each file's lines (this job runs at once), and only those files' lines
     are put together again. A single paragraph, line or such value must fit into a task, as it is one
     document; so must a text file whose lines end in carriage returns alone.
     """
@@ -164,23 +164,35 @@ def split_documents(spark: SparkSession, path: str, min_chars: int = 1) -> DataF
     return reduce(DataFrame.unionByName, parts)
 
 
+def _parsed(rows: DataFrame, *keep: str) -> DataFrame:
+    """``rows`` of a ``line`` with whether it is JSON (``valid``) and its ``text``, in one generator: filters on them can't be pushed below it, where each would parse the line again."""
+    found = F.transform(F.array(parsed_json(F.col("line"))), lambda v: F.struct(v.isNotNull().alias("valid"), F.when(v.isNotNull(), text_of_json(v)).otherwise(F.col("line")).alias("text")))
+    return rows.select(*keep, F.inline(found))
+
+
 def _split_json(lines: DataFrame, min_chars: int) -> DataFrame:
     pieces = F.filter(F.transform(F.split(strip(F.col("value")), LINE_ENDS), strip), lambda x: x != "")
-    rows = lines.where(strip(F.col("value")) != "").withColumn("p", pieces).withColumn("n", F.size(F.filter(F.split("value", "\n"), lambda x: strip(x) != ""))).select("path", "block", "at", "n", F.size("p").alias("pieces"), F.posexplode("p").alias("part", "line"))
+    n = F.when(F.contains("value", F.lit("\n")), F.size(F.filter(F.split("value", "\n"), lambda x: strip(x) != ""))).otherwise(1)
+    rows = lines.select("path", "block", "at", n.alias("n"), pieces.alias("p")).select("path", "block", "at", "n", F.size("p").alias("pieces"), F.posexplode("p").alias("part", "line"))
     long = F.col("text").isNotNull() & (F.length("text") >= min_chars)
-    seen = rows.withColumn("value", parsed_json(F.col("line"))).withColumn("valid", F.col("value").isNotNull()).withColumn("text", F.when(F.col("valid"), text_of_json(F.col("value"))).otherwise(F.col("line"))).drop("value")
+    # the text of a file's line that is one JSON value is the same either way, unless that is an array
+    sure = F.endswith(F.lower("path"), F.lit(".jsonl")) | (F.col("valid") & (F.col("pieces") == 1))
     # a line is a record of its own in lines files and in files of several lines
     in_lines = F.endswith(F.lower("path"), F.lit(".jsonl")) | (F.col("lines") > 1)
-    files = seen.groupBy("path").agg(F.sum(F.when(F.col("part") == 0, F.col("n"))).alias("lines"), F.count_if(long).alias("texts")).withColumn("by_line", in_lines & (F.col("texts") > 0)).select(F.col("path").alias("of"), "by_line")
+    seen = _parsed(rows.withColumn("opens", F.startswith("line", F.lit("["))), "path", "n", "pieces", "part", "opens")
+    sums = seen.groupBy("path").agg(F.sum(F.when(F.col("part") == 0, F.col("n"))).alias("lines"), F.count_if(long).alias("texts"), F.count_if(long & ~sure).alias("unsure"), F.count("*").alias("parts"), F.bool_or("opens").alias("opens"))
+    shared_folder(lines.sparkSession)
+    files = sums.select(F.col("path").alias("of"), (in_lines & (F.col("texts") > 0)).alias("by_line"), "unsure", "parts", "opens").checkpoint()
     same = F.col("path") == F.col("of")
     out = ["path", "block", "at", "part", "text"]
-    # the text of a file's line that is one JSON value is the same either way, unless that is an array
-    sure = F.endswith(F.lower("path"), F.lit(".jsonl")) | (F.col("valid") & (F.col("pieces") == 1))
-    plain = seen.where(long & sure).select(*out)
-    raw = seen.where(long & ~sure).join(files.where("by_line"), same, "left_semi").select(*out)
-    whole = rows.join(files.where(~F.col("by_line")), same, "left_semi").groupBy("path").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "at", "part", "line"))), lambda r: r["line"]), "\n").alias("content"), F.count("*").alias("pieces"))
-    arrays = whole.where((F.col("pieces") > 1) | F.startswith(F.col("content"), F.lit("["))).select("path", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("at"), F.posexplode(F.coalesce(_whole_json(F.col("content"), min_chars), F.array().cast("array<string>"))).alias("part", "text"))
-    return plain.unionByName(raw).unionByName(arrays)
+    parts = [_parsed(rows, "path", "block", "at", "part", "pieces").where(long & sure).select(*out)]
+    raw, joined = files.where("by_line AND unsure > 0"), files.where("NOT by_line AND (parts > 1 OR opens)")
+    if not raw.isEmpty():
+        parts.append(_parsed(rows.join(raw, same, "left_semi"), "path", "block", "at", "part", "pieces").where(long & ~sure).select(*out))
+    if not joined.isEmpty():
+        whole = rows.join(joined, same, "left_semi").groupBy("path").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "at", "part", "line"))), lambda r: r["line"]), "\n").alias("content"), F.count("*").alias("pieces"))
+        parts.append(whole.where((F.col("pieces") > 1) | F.startswith(F.col("content"), F.lit("["))).select("path", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("at"), F.posexplode(F.coalesce(_whole_json(F.col("content"), min_chars), F.array().cast("array<string>"))).alias("part", "text")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan(table: DataFrame, text: str = "text", min_chars: int = 1, partitions: tuple[str, list[str]] | None = None) -> DataFrame:

@@ -100,3 +100,12 @@ def test_single_files_and_folders_without_texts(spark, folder, tmp_path):
             read(spark, str(tmp_path))
         with pytest.raises(FileNotFoundError):
             read(spark, str(tmp_path / "none"))
+
+
+def test_lines_of_json_are_parsed_once(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"text": "one"}\n{"body": "two ]"}\nno json\n{"text": "x"}], [{"y": 1}\n')
+    (tmp_path / "b.json").write_text('{"text": "three"}\n{"text": "four"}\n')
+    found = text_files.split_documents(spark, str(tmp_path))
+    assert sorted(r.text for r in found.collect()) == ["four", "no json", "one", "three", "two ]", '{"text": "x"}], [{"y": 1}']
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("parseJson") <= 4  # filters on the text don't parse a line again, nor does a second look that no file needs
