@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -112,6 +113,31 @@ def test_bpe_merges_equal_a_plain_count(spark, sf):
     assert len(got) == 1000 and got == plain_merges(counts, 1000)
 
 
+def test_bpe_ids_are_those_of_plain_merging_also_where_words_are_forgotten(spark, monkeypatch):
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choice("aab") for _ in range(rnd.randrange(1, 15))) for _ in range(200)) for _ in range(20)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    merges = bpe.train(bpe.word_counts(docs, "doc_id", sample_docs=7), 30)
+    assert merges == bpe.train(bpe.word_counts(docs.where("doc_id < 7"), "doc_id"), 30)
+    names = [bytes([b]) for b in range(256)] + [a + b for a, b in merges]
+    for r in bpe.encode(docs, merges).collect():
+        want = []
+        for w in re.findall(r" ?[a-z]+", texts[r.doc_id]):
+            parts = [bytes([b]) for b in w.encode()]
+            for m in merges:
+                parts = bpe.merge_word(parts, m)
+            want += parts
+        assert [names[i] for i in r.ids] == want
+
+
+def test_bpe_sample_is_found_among_keys_alone(spark, tmp_path):
+    spark.range(40).selectExpr("id AS doc_id", "concat('word ', id) AS text").repartition(4).write.parquet(str(tmp_path / "d"))
+    words = bpe.word_counts(spark.read.parquet(str(tmp_path / "d")), "doc_id", sample_docs=5)
+    assert sorted(r.word for r in words.collect()) == sorted(["word", *(f" {k}" for k in range(5))])
+    assert "LessThanOrEqual(doc_id,4)" in words._jdf.queryExecution().executedPlan().toString()  # texts beyond the last key aren't sorted
+
+
 def test_greedy_chain(spark):
     c = spark.createDataFrame([(1,), (2,), (3,), (4,)], "uid long")
     d = spark.createDataFrame([(2, 1), (3, 2), (4, 3)], "uid long, earlier long")
