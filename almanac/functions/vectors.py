@@ -31,9 +31,10 @@ def unit(a: Column) -> Column:
 LEAST_NORM = 1e-8
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """The cosine of two vectors; 0 where one of them is zero."""
-    return dot(a, b) / (F.greatest(norm(a), F.lit(LEAST_NORM)) * F.greatest(norm(b), F.lit(LEAST_NORM)))
+def cosine(a: Column, b: Column, norm_a: Column | None = None, norm_b: Column | None = None) -> Column:
+    """The cosine of two vectors, whose norms may be known; 0 where one of them is zero."""
+    of = lambda v, n: F.greatest(norm(v) if n is None else n, F.lit(LEAST_NORM))
+    return dot(a, b) / (of(a, norm_a) * of(b, norm_b))
 
 
 def top_prefix(spectrum: Column, share: float = SPECTRUM_TOP) -> Column:
@@ -55,6 +56,16 @@ def symmetric_kl(a: Column, b: Column) -> Column:
     return _sum(F.zip_with(a, b, lambda x, y: (F.exp(x) - F.exp(y)) * (x - y))) / 2
 
 
+def with_probability(lp: Column) -> Column:
+    """Log-probabilities, each with its probability: found once a row, not once a pair."""
+    return F.transform(lp, lambda x: F.struct(x.alias("lp"), F.exp(x).alias("p")))
+
+
+def symmetric_kl_known(a: Column, b: Column) -> Column:
+    """``symmetric_kl`` of two arrays of ``with_probability``."""
+    return _sum(F.zip_with(a, b, lambda x, y: (x["p"] - y["p"]) * (x["lp"] - y["lp"]))) / 2
+
+
 def singular_values(matrix: Column, columns: int) -> Column:
     """Singular values of row-major matrices, in Arrow batches (same-shape matrices are stacked)."""
     @F.pandas_udf("array<double>")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import OUTPUT_KL, SPECTRUM_DISTANCE, WEIGHT_COSINE
-from ..functions.vectors import cosine, distance, log_softmax, symmetric_kl, top_prefix
+from ..functions.vectors import cosine, distance, log_softmax, norm, symmetric_kl_known, top_prefix, with_probability
 from ..session import shared_folder
 from .rank import lower_median
 
@@ -79,8 +79,9 @@ def spectral_duplicates(layers: DataFrame, threshold: float = SPECTRUM_DISTANCE)
 
 def cosine_pairs(layers: DataFrame, threshold: float = WEIGHT_COSINE) -> DataFrame:
     """(uid, earlier, cosine, duplicate): the mean cosine over shared layers of one size greater than one."""
-    rows = layers.withColumn("n", F.size("vec")).where("n > 1")
-    pairs = _earlier(rows, ["layer", "n"], "vec").groupBy("uid", "earlier").agg(F.avg(cosine(F.col("_a"), F.col("_b"))).alias("cosine"))
+    rows = layers.withColumn("n", F.size("vec")).where("n > 1").withColumn("v", F.struct("vec", norm(F.col("vec")).alias("norm")))
+    a, b = F.col("_a"), F.col("_b")
+    pairs = _earlier(rows, ["layer", "n"], "v").groupBy("uid", "earlier").agg(F.avg(cosine(a["vec"], b["vec"], a["norm"], b["norm"])).alias("cosine"))
     return pairs.withColumn("duplicate", F.col("cosine") >= threshold)
 
 
@@ -89,10 +90,10 @@ def output_pairs(logits: DataFrame, threshold: float = OUTPUT_KL) -> DataFrame:
 
     One probe with unlike vocabularies makes the whole pair pass: it doesn't occur.
     """
-    rows = logits.withColumn("lp", log_softmax(F.col("logits")))
+    rows = logits.withColumn("lp", with_probability(log_softmax(F.col("logits"))))
     met = _earlier(rows, ["probe_type", "probe_idx"], "lp")
     alike = F.size("_a") == F.size("_b")
-    kl = met.select("uid", "earlier", "probe_type", (~alike).alias("_unlike"), F.when(alike, symmetric_kl(F.col("_a"), F.col("_b"))).alias("kl"))
+    kl = met.select("uid", "earlier", "probe_type", (~alike).alias("_unlike"), F.when(alike, symmetric_kl_known(F.col("_a"), F.col("_b"))).alias("kl"))
     med = kl.groupBy("uid", "earlier", "probe_type").agg(F.bool_or("_unlike").alias("_unlike"), lower_median("kl").alias("m"))
     pairs = med.groupBy("uid", "earlier").agg(F.bool_or("_unlike").alias("_unlike"), F.max("m").alias("kl")).where(~F.col("_unlike")).drop("_unlike")
     return pairs.withColumn("duplicate", F.col("kl") < threshold)
@@ -140,7 +141,8 @@ def greedy_any_test(layers: DataFrame, logits: DataFrame, spectrum: float = SPEC
 
     The match with the least name is reported with its three figures.
     """
-    pairs = any_test(layers, logits, spectrum, weight, output)
+    shared_folder(layers.sparkSession)
+    pairs = any_test(layers, logits, spectrum, weight, output).checkpoint()  # three figures a pair, asked for twice
     decided = greedy(layers.select("uid").unionByName(logits.select("uid")).distinct(), pairs.where("duplicate"))
     found = pairs.withColumnsRenamed({"uid": "_u", "earlier": "_e"}).drop("duplicate")
     return decided.join(found, (F.col("uid") == F.col("_u")) & (F.col("matched") == F.col("_e")), "left").drop("_u", "_e")

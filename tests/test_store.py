@@ -106,6 +106,13 @@ def test_any_of_three_tests_rejects(spark):
     assert alike == {1: True, 2: False, 3: False, 4: False}
 
 
+def test_pairs_are_compared_once(spark):
+    layers = spark.createDataFrame([(u, u, 0, [float(u), 1.0, 2.0]) for u in range(1, 4)], "uid long, ord long, layer long, vec array<double>")
+    logits = layers.select("uid", "ord", F.lit("k").alias("probe_type"), F.col("layer").alias("probe_idx"), F.col("vec").alias("logits"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in plan(duplicates.greedy_any_test(layers, logits))
+
+
 def test_undecided_candidates_are_an_error(spark):
     c = spark.createDataFrame([(1,), (2,), (3,)], "uid long")
     d = spark.createDataFrame([(2, 1), (3, 2)], "uid long, earlier long")
